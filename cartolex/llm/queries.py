@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartolex.llm import near_dedup
+from cartolex.llm import language, near_dedup, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,12 +17,41 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(id_col: str, n: int) -> Column:
+    """crc32 of the id as text, modulo ``n``; a null id is in fold -1."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % n, F.lit(-1))
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.QualityModel:
+    """The quality model: vectors from all of ``docs``, the network from labels outside fold 2 of 4."""
+    return quality.train(docs, _table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+
+
+def language_model(docs: DataFrame) -> language.LanguageModel:
+    """The language model, from rows outside fold 1 of 3."""
+    return language.train(docs, fold("doc_id", 3) != 1)
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned outside fold 1 of 3."""
+    docs = _table(spark, sf_dir, "documents")
+    found = language_model(docs).predict(docs.select("doc_id", "text"))
+    return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned outside fold 2 of 4."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality_model(spark, docs, sf_dir).transform(docs)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 5-word shingles, similarity of 0.75 or more."""
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES["op3_minhash"] = op3_minhash
+QUERIES |= {"op3_minhash": op3_minhash, "op4_language_id": op4_language_id, "op9_quality": op9_quality}
 ORACLES["op3_minhash"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
@@ -31,8 +61,8 @@ s AS (
     ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
 n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles FROM s),
 e AS (SELECT doc_id, unnest(sh) AS x FROM s),
-c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
-l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * both >= 75 * (na.n_shingles + nb.n_shingles - both)),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * n_both >= 75 * (na.n_shingles + nb.n_shingles - n_both)),
 u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r(node, seen) AS (SELECT doc_id, doc_id FROM n UNION SELECT u.b, r.seen FROM r JOIN u ON u.a = r.node),
 m AS (SELECT node, min(seen) AS component_id FROM r GROUP BY 1)

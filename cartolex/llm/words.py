@@ -138,3 +138,23 @@ def distinct_shingles(column: pa.Array, width: int) -> Iterator[tuple[int, list[
                 u = u[np.concatenate(([True], u[1:] != u[:-1]))]
             sets.append(u)
         yield row, sets
+
+
+#: Byte classes of :func:`runs`: 0 white space, 1 letters and all bytes of other scripts, 2 digits, 3 the rest.
+CLASSES = np.full(256, 3, np.uint8)
+CLASSES[_SPACE] = 0
+CLASSES[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+CLASSES[48:58] = 2
+
+
+def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like :func:`spans`, for the longest runs of bytes of one class (white space left out)."""
+    kind = CLASSES[data]
+    edge = np.ones(len(data), bool)
+    edge[1:] = kind[1:] != kind[:-1]
+    edge[offsets[offsets < len(data)]] = True
+    begins = np.flatnonzero(edge)
+    ends = np.append(begins[1:], len(data))
+    keep = kind[begins] != 0
+    starts = begins[keep]
+    return starts, ends[keep], np.searchsorted(starts, offsets)
