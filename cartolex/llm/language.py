@@ -28,7 +28,7 @@ DIM = 1 << DIM_BITS
 CENTROIDS = 4
 #: About so many training rows of each language, and at most so many in all.
 PER_LANGUAGE, MOST = 800, 20_000
-MARGIN = 0.03
+MARGIN = 0.15
 SIZE_CLASSES, SHORT = 16, 5
 UNKNOWN = "und"
 

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartolex.llm import language, near_dedup, quality
+from cartolex.llm import language, mixing, near_dedup, pieces, preference, quality, url_rules
+
+#: The vocabulary of the token query: any ``.model`` file with identity normalisation.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +35,14 @@ def language_model(docs: DataFrame) -> language.LanguageModel:
     return language.train(docs, fold("doc_id", 3) != 1)
 
 
+def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations of equal first turns as preference pairs: prompts, completions and masks, digested."""
+    found = preference.preferences(_table(spark, sf_dir, "conversations"))
+    digest = lambda c: F.md5(F.col(c).cast("binary")).alias(f"{c}_md5")
+    trained = lambda c: F.aggregate(f"{c}_mask", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"]).alias(f"{c}_trained")
+    return found.select("chosen_id", "rejected_id", "n_prompt_turns", digest("prompt"), digest("chosen"), digest("rejected"), trained("chosen"), trained("rejected"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned outside fold 1 of 3."""
     docs = _table(spark, sf_dir, "documents")
@@ -39,6 +50,18 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of every document, and whether they decode to its text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, PIECE_MODEL).drop("text")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated sampling probabilities of every document, and which are sampled."""
+    found = mixing.mix(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "mix_topic", "mix_tokens", F.round("mix_prob", 6).alias("mix_prob"), "sampled")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document, learned outside fold 2 of 4."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -46,12 +69,25 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict by rule, or by its aliases."""
+    return url_rules.judge(_table(spark, sf_dir, "pages")).drop("component")
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 5-word shingles, similarity of 0.75 or more."""
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
-QUERIES |= {"op3_minhash": op3_minhash, "op4_language_id": op4_language_id, "op9_quality": op9_quality}
+QUERIES |= {
+    "op2_preference": op2_preference,
+    "op3_minhash": op3_minhash,
+    "op4_language_id": op4_language_id,
+    "op5_pieces": op5_pieces,
+    "op6_mixing": op6_mixing,
+    "op9_quality": op9_quality,
+    "op10_url_rules": op10_url_rules,
+}
 ORACLES["op3_minhash"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
@@ -68,3 +104,79 @@ r(node, seen) AS (SELECT doc_id, doc_id FROM n UNION SELECT u.b, r.seen FROM r J
 m AS (SELECT node, min(seen) AS component_id FROM r GROUP BY 1)
 SELECT n.doc_id, n.n_shingles, m.component_id, n.doc_id = m.component_id AS kept FROM n JOIN m ON m.node = n.doc_id
 """
+
+ORACLES["op2_preference"] = """
+WITH c AS (
+  SELECT conv_id, list({'role': coalesce(role, 'unknown'), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+k AS (SELECT conv_id, md5(turns[1].role || chr(31) || turns[1].text) AS key FROM c),
+n AS (SELECT *, count(*) OVER (PARTITION BY key) AS n FROM k),
+s AS (SELECT *, CAST('0x' || substr(md5(CAST(conv_id AS VARCHAR)), 1, 8) AS BIGINT) % CAST(ceil(n / 128) AS BIGINT) AS salt FROM n),
+d AS (SELECT *, row_number() OVER w AS k, lead(conv_id) OVER w AS nxt FROM s WINDOW w AS (PARTITION BY key, salt ORDER BY conv_id)),
+f AS (SELECT key, conv_id AS chosen_id, nxt AS rejected_id FROM d WHERE k % 2 = 1),
+l AS (SELECT *, row_number() OVER w AS k, lead(chosen_id) OVER w AS nxt FROM f WHERE rejected_id IS NULL WINDOW w AS (PARTITION BY key ORDER BY chosen_id)),
+p AS (SELECT chosen_id, rejected_id FROM f WHERE rejected_id IS NOT NULL UNION ALL SELECT chosen_id, nxt FROM l WHERE k % 2 = 1),
+j AS (SELECT p.*, a.turns AS c, b.turns AS r FROM p JOIN c a ON a.conv_id = p.chosen_id LEFT JOIN c b ON b.conv_id = p.rejected_id),
+x AS (SELECT *, CASE WHEN r IS NULL THEN len(c) - 1
+  ELSE coalesce(list_min(list_filter(range(1, least(len(c), len(r)) + 1), lambda i: c[i] <> r[i])) - 1, least(len(c), len(r))) END AS n FROM j),
+y AS (SELECT chosen_id, rejected_id, n, c[:n] AS p, c[n + 1:] AS ct, CASE WHEN r IS NOT NULL THEN r[n + 1:] END AS rt FROM x)
+SELECT chosen_id, rejected_id, CAST(n AS INTEGER) AS n_prompt_turns,
+  md5(coalesce(array_to_string(list_transform(p, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), ''), '')) AS prompt_md5,
+  md5(coalesce(array_to_string(list_transform(ct, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), ''), '')) AS chosen_md5,
+  CASE WHEN rt IS NOT NULL THEN md5(coalesce(array_to_string(list_transform(rt, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), ''), '')) END AS rejected_md5,
+  CAST(coalesce(list_sum(list_transform(list_filter(ct, lambda t: t.role = 'assistant'), lambda t: length(t.text) + 8)), 0) AS BIGINT) AS chosen_trained,
+  CASE WHEN rt IS NOT NULL THEN CAST(coalesce(list_sum(list_transform(list_filter(rt, lambda t: t.role = 'assistant'), lambda t: length(t.text) + 8)), 0) AS BIGINT) END AS rejected_trained
+FROM y
+"""
+
+
+def _mixing_sql() -> str:
+    """The raking rounds, one common table a marginal."""
+    dims, steps, last = mixing.DIMENSIONS, [], "w0"
+    for k in range(mixing.ROUNDS):
+        for d in dims:
+            name = f"w{k}_{d}"
+            steps.append(f"{name} AS MATERIALIZED (SELECT w.source, w.lang, w.topic, w.tokens, w.weight * coalesce(g.goal / m.m, 0) AS weight FROM {last} w LEFT JOIN (SELECT {d} AS v, sum(weight) AS m FROM {last} GROUP BY 1 HAVING sum(weight) > 0) m ON m.v = w.{d} LEFT JOIN goal_{d} g ON g.v = w.{d})")
+            last = name
+    topics = " ".join(f"WHEN text LIKE '%{sign}%' THEN '{name}'" for name, sign in mixing.TOPICS.items())
+    goals = ", ".join(f"goal_{d} AS (SELECT v, pow(CAST(t AS DOUBLE), {mixing.TEMPER[d]}) / sum(pow(CAST(t AS DOUBLE), {mixing.TEMPER[d]})) OVER () AS goal FROM (SELECT {d} AS v, sum(tokens) AS t FROM cells GROUP BY 1) WHERE t > 0)" for d in dims)
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce('=' || source, '') AS source, coalesce('=' || lang, '') AS lang,
+    CASE WHEN text IS NULL THEN 'none' {topics} ELSE 'prose' END AS topic,
+    CAST(coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0) AS BIGINT) AS n FROM documents),
+cells AS (SELECT source, lang, topic, sum(n) AS tokens FROM d GROUP BY ALL),
+{goals},
+w0 AS (SELECT *, tokens / (SELECT sum(tokens) FROM cells) AS weight FROM cells),
+{", ".join(steps)},
+f AS (SELECT *, CASE WHEN tokens > 0 THEN weight * (SELECT sum(tokens) FROM cells) / tokens ELSE 0 END AS factor FROM {last}),
+p AS (SELECT *, CASE WHEN tokens > 0 THEN least(1.0, factor / least((SELECT max(factor) FROM f), {mixing.MOST})) ELSE 1.0 END AS prob FROM f)
+SELECT d.doc_id, d.topic AS mix_topic, d.n AS mix_tokens, round(p.prob, 6) AS mix_prob,
+  CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), 'null') || ':7'), 1, 12) AS BIGINT) / pow(2.0, 48) < p.prob AS sampled
+FROM d JOIN p USING (source, lang, topic)
+"""
+
+
+ORACLES["op6_mixing"] = _mixing_sql()
+
+_CASES = lambda value: " ".join(
+    f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{value(r)}'" for r in sorted(url_rules.RULES, key=lambda r: (-len(r.name), r.name, r.verdict))
+)
+_HOST_PATH = r"""translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path"""
+_NODE = r"""translate(regexp_extract({0}, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_replace(regexp_replace({0}, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', ''), '(?s)#.*$', '')"""
+ORACLES["op10_url_rules"] = rf"""
+WITH RECURSIVE t AS (
+  SELECT url, unnest([regexp_extract(html, '(?is)<link[^>]*rel\s*=\s*["'']?\s*canonical[^>]*href\s*=\s*["'']?\s*([^\s"''>]+)', 1),
+    regexp_extract(html, '(?is)<link[^>]*href\s*=\s*["'']?\s*([^\s"''>]+)[^>]*rel\s*=\s*["'']?\s*canonical', 1),
+    regexp_extract(html, '(?is)<meta[^>]*http-equiv\s*=\s*["'']?\s*refresh[^>]*url\s*=\s*([^\s"''>]+)', 1)]) AS target FROM pages WHERE url IS NOT NULL),
+e AS (SELECT {_NODE.format("trim(url)")} AS a,
+    {_NODE.format("(CASE WHEN target LIKE '//%' THEN regexp_extract(url, '^([^:/?#]+:)//', 1) || target WHEN target LIKE '/%' THEN regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) || target ELSE target END)")} AS b FROM t WHERE target <> ''),
+u AS (SELECT a, b FROM e WHERE b LIKE '%://%' AND a <> b UNION SELECT b, a FROM e WHERE b LIKE '%://%' AND a <> b),
+r(node, seen) AS (SELECT a, a FROM u UNION SELECT u.b, r.seen FROM r JOIN u ON u.a = r.node),
+c AS (SELECT node, min(seen) AS component FROM r GROUP BY 1),
+cv AS (SELECT component, CASE {_CASES(lambda r: r.verdict)} END AS v FROM (SELECT component, {_HOST_PATH} FROM (SELECT component, substr(node, instr(node, '://') + 3) AS rest FROM c))),
+w AS (SELECT component, bool_or(v = 'allow') AS allowed, bool_or(v = 'block') AS blocked FROM cv GROUP BY 1),
+p AS (SELECT page_id, node, {_HOST_PATH} FROM (SELECT page_id, {_NODE.format("trim(url)")} AS node, coalesce(CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END, '') AS rest FROM pages))
+SELECT page_id, host, path, CASE {_CASES(lambda r: r.name)} END AS rule,
+  coalesce(CASE {_CASES(lambda r: r.verdict)} END, CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN c USING (node) LEFT JOIN w USING (component)
+"""
