@@ -211,3 +211,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = F.coalesce("component_id", "id")
     repeated = out.select("id", "n_shingles", component.alias("component_id"))
     return repeated.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = WIDTH) -> DataFrame:
+    """One row of each component of :func:`near_duplicates`, the smallest id's, with all columns.
+
+    Rows that repeat an id are one document, of which one row stays. Rows with a null id all stay.
+    """
+    kept = near_duplicates(docs, id_col, text_col, percent, width).where("kept and id is not null").select(F.col("id").alias("_kept")).distinct()
+    named = docs.where(F.col(id_col).isNotNull()).join(cut(kept, "kept"), F.col(id_col).cast("long") == F.col("_kept"), "left_semi")
+    return named.dropDuplicates([id_col]).union(docs.where(F.col(id_col).isNull()))

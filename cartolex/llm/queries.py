@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartolex.llm import language, mixing, near_dedup, pieces, preference, quality, url_rules
+from cartolex.llm import embedding_dedup, language, lm_scoring, mixing, near_dedup, nearest, pieces, preference, quality, url_rules
 
 #: The vocabulary of the token query: any ``.model`` file with identity normalisation.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -35,6 +35,11 @@ def language_model(docs: DataFrame) -> language.LanguageModel:
     return language.train(docs, fold("doc_id", 3) != 1)
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at a cosine of 0.95 or more."""
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations of equal first turns as preference pairs: prompts, completions and masks, digested."""
     found = preference.preferences(_table(spark, sf_dir, "conversations"))
@@ -62,6 +67,18 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "mix_topic", "mix_tokens", F.round("mix_prob", 6).alias("mix_prob"), "sampled")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document: labelled good documents against the whole corpus."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_scoring.train(docs, good).score(docs).drop("text")
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest others of every fiftieth embedding."""
+    return nearest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document, learned outside fold 2 of 4."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,14 +97,26 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_preference": op2_preference,
     "op3_minhash": op3_minhash,
     "op4_language_id": op4_language_id,
     "op5_pieces": op5_pieces,
     "op6_mixing": op6_mixing,
+    "op7_lm_scoring": op7_lm_scoring,
+    "op8_nearest": op8_nearest,
     "op9_quality": op9_quality,
     "op10_url_rules": op10_url_rules,
 }
+ORACLES["op1_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY 1),
+r(node, seen) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.seen FROM r JOIN l ON l.a = r.node),
+m AS (SELECT node, min(seen) AS component_id FROM r GROUP BY 1)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, m.component_id, v.vec_id = m.component_id AS kept FROM v JOIN m ON m.node = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+"""
 ORACLES["op3_minhash"] = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
@@ -143,7 +172,8 @@ def _mixing_sql() -> str:
     return rf"""
 WITH d AS (SELECT doc_id, coalesce('=' || source, '') AS source, coalesce('=' || lang, '') AS lang,
     CASE WHEN text IS NULL THEN 'none' {topics} ELSE 'prose' END AS topic,
-    CAST(coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0) AS BIGINT) AS n FROM documents),
+    CAST(coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0) AS BIGINT) AS n FROM documents),
 cells AS (SELECT source, lang, topic, sum(n) AS tokens FROM d GROUP BY ALL),
 {goals},
 w0 AS (SELECT *, tokens / (SELECT sum(tokens) FROM cells) AS weight FROM cells),
