@@ -6,7 +6,7 @@
    mantissa.
 2. Documents of one digest are one class; only the smallest doc_id of each goes on.
 3. Four registers make a band; equal bands make a group. Star round: each member is paired with its
-   group's smallest member. A pair whose collision-corrected estimate is within six standard errors
+   group's smallest member. A pair whose collision-corrected estimate is within five standard errors
    of the threshold is confirmed on the full sets, and confirmed links make components.
 4. Cross round: groups that still hold several components are compared in blocks, only across
    components, by their registers; what the estimate lets pass is confirmed likewise. So a group
@@ -31,7 +31,7 @@ from cartolex.llm.scratch import cut
 WIDTH = 5
 REGISTERS, MANTISSA, BANDS = 128, 10, 32
 BLOCK = 1024
-SIGMAS = 6.0
+SIGMAS = 5.0
 #: Expected collisions of two disjoint sets: this constant times registers / 2^mantissa, at equal sizes.
 COLLISION = 0.169919487159739
 
@@ -65,11 +65,18 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
 
 
 def plausible(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sets with these registers and sizes may be similar: sizes allow it and the estimate is within six standard errors."""
+    """Whether sets with these registers and sizes may be similar: sizes allow it and the estimate is within five standard errors.
+
+    The registers in use hold a random choice, without replacement, from the union; a pair at the
+    threshold has a union of (size_a + size_b) / (1 + t), so small sets are known almost exactly.
+    """
     about, used = estimate(a, b, size_a, size_b)
     t = percent / 100
     fits = 100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)
-    return fits & (about >= t - SIGMAS * np.sqrt(t * (1 - t) / np.maximum(1, used)))
+    union = np.maximum((size_a + size_b) / (1 + t), used)
+    unseen = (union - used) / np.maximum(1, union - 1)
+    error = np.sqrt(t * (1 - t) / np.maximum(1, used) * unseen) + 0.5 / np.maximum(1, used)
+    return fits & (about >= t - SIGMAS * error)
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
