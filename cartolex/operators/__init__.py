@@ -1 +1 @@
-
+"""Operators on documents, sections, chunks, references and graphs."""

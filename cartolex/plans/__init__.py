@@ -1 +1 @@
-
+"""Plans made of operators, and the registered queries."""

@@ -1 +1 @@
-
+"""Sources: link lists, files, pages."""
