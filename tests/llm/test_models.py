@@ -24,7 +24,7 @@ def documents(spark, n=300):
         words = [rng.choice(WORDS[lang].split()) + ("" if good else rng.choice(["!!", "***", "$$"])) for _ in range(rng.randint(5, 80))]
         rows.append((i, " ".join(words), lang, int(good)))
     docs = spark.createDataFrame([r[:3] for r in rows] + ODD, "doc_id long, text string, lang string").withColumn("score", F.lit("x"))
-    labels = spark.createDataFrame([(r[0], r[3]) for r in rows] + [(5, rows[5][3]), (9002, None), (None, 1)], "doc_id long, quality int")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows] + [(0, rows[0][3]), (9002, None), (None, 1)], "doc_id long, quality int")
     return docs, labels, rows
 
 
@@ -102,7 +102,11 @@ def plain_losses(texts, marked, size):
 
 
 def test_lm_scores_equal_plain_counts(spark):
-    docs, labels, rows = documents(spark, 80)
+    rng = random.Random(9)
+    few = WORDS["it"].split()  # so few bigrams that no two share a cell
+    rows = [(i, " ".join(rng.choice(few[: 4 + 6 * (i % 2)]) for _ in range(rng.randint(1, 40))), "it", i % 2) for i in range(80)]
+    docs = spark.createDataFrame([r[:3] for r in rows] + ODD, "doc_id long, text string, lang string").withColumn("n_words", F.lit("old"))
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows] + [(1, 1), (None, 1)], "doc_id long, quality int")
     texts = [r[1] for r in rows] + [t for _, t, _ in ODD]
     ids = [r[0] for r in rows] + [i for i, *_ in ODD]
     good = {r[0] for r in rows if r[3]}
@@ -121,7 +125,7 @@ def test_lm_scores_equal_plain_counts(spark):
 def test_lm_of_nothing(spark):
     docs, labels, _ = documents(spark, 5)
     assert lm_scoring.train(docs.limit(0), labels.select("doc_id")).score(docs.limit(0)).count() == 0
-    assert lm_scoring.train(docs, labels.select("doc_id").limit(0)).score(docs).where("ce_difference is not null").count() == 7
+    assert lm_scoring.train(docs, labels.select("doc_id").limit(0)).score(docs).where("ce_difference is not null").count() == 8
 
 
 def test_bigrams_of_one_text_do_not_reach_into_the_next():
