@@ -32,6 +32,9 @@ WIDTH = 5
 REGISTERS, MANTISSA, BANDS = 128, 10, 32
 BLOCK = 1024
 SIGMAS = 5.0
+#: Bands in which a document must have the same group leader to be tried in the star round; a similar
+#: pair shares ten on average. What the star round leaves out, the cross round still finds.
+STAR_BANDS = 4
 #: Expected collisions of two disjoint sets: this constant times registers / 2^mantissa, at equal sizes.
 COLLISION = 0.169919487159739
 
@@ -195,7 +198,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = reps.select("id", F.posexplode("bands").alias("band", "value")).where("value <> 0").select("id", F.xxhash64("band", "value").alias("key"))
     groups = cut(banded.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1"), "groups")
     members = cut(banded.join(groups, "key").select("key", "n", "a", "id"), "members")
-    pairs = members.where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    shared = members.where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.count("*").alias("bands"))
+    pairs = shared.where(F.col("bands") >= STAR_BANDS).select("a", "b")
     sketch = lambda x: reps.select(F.col("id").alias(x), F.col("n_shingles").alias(f"{x}_n"), F.col("bands").alias(f"{x}_bands"))
     pairs = pairs.join(sketch("b"), "b").join(sketch("a"), "a").where(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)")
     pairs = cut(pairs.mapInArrow(_filter_pairs(percent), "a long, b long"), "star_pairs")
@@ -215,7 +219,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     by_class = cut(classes.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id")), "class_components")
     out = made.drop("bands").join(by_class, "digest", "left")
-    component = F.coalesce("component_id", "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     repeated = out.select("id", "n_shingles", component.alias("component_id"))
     return repeated.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
