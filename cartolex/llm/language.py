@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartolex.llm import words
+from cartolex.llm.scratch import give_back
 
 DIM_BITS = 14
 DIM = 1 << DIM_BITS
@@ -52,7 +53,7 @@ def _features(column: pa.Array) -> Iterator[tuple[int, list[tuple[np.ndarray, np
         for a, b in zip(where[:-1], where[1:], strict=True):
             counts = np.bincount(two[a : max(a, b - 1)], minlength=DIM) + np.bincount(three[a : max(a, b - 2)], minlength=DIM)
             used = np.flatnonzero(counts)
-            out.append((used, counts[used]))
+            out.append((used.astype(np.int16), counts[used].astype(np.int32)))
         yield row, out
 
 
@@ -141,7 +142,7 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str
     draw = F.pmod(F.xxhash64(F.lit(11), F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
     sample = usable_rows.where(draw < share).select(F.col(id_col).cast("string").alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t")).limit(MOST).toPandas().sort_values(["l", "i", "t"])
     languages = sorted(set(sample["l"]))
-    features = [x for _, part in _features(pa.array(sample["t"].tolist(), pa.string())) for x in part]
+    features = [x for _, part in _features(pa.array(sample.pop("t"), pa.string())) for x in part]
     present = np.zeros(DIM)
     for used, _ in features:
         present[used] += 1
@@ -163,4 +164,6 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str
         owners += [k] * len(c)
     model.centroids = np.ascontiguousarray(np.concatenate(centroids).T.astype(np.float32))
     model.owners = np.array(owners)
+    del features, x
+    give_back()
     return model

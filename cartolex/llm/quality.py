@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartolex.llm import words
+from cartolex.llm.scratch import give_back
 
 VOCABULARY_BITS, DIM, WINDOW = 14, 32, 2
 VOCABULARY = 1 << VOCABULARY_BITS
@@ -196,5 +197,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
         found = rows.mapInArrow(run, "_id long, _label int, x array<double>").toPandas().drop_duplicates("_id").sort_values("_id").head(sample)
-    x = np.stack(found["x"].to_list()) if len(found) else np.zeros((0, 2 * DIM))
-    return QualityModel(vectors, fit(x, found["_label"].to_numpy(np.float64)))
+    x = np.stack(found.pop("x").to_list()) if len(found) else np.zeros((0, 2 * DIM))
+    model = QualityModel(vectors, fit(x, found["_label"].to_numpy(np.float64)))
+    del found, x
+    give_back()
+    return model
