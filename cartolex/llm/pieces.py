@@ -12,7 +12,8 @@ Two kinds of model are read from a ``.model`` file:
   ids equal those of pairwise merging without ever merging whole texts.
 
 A space is written as U+2581. No piece goes on from a later sign into such a mark or into a line
-break, so texts fall into independent units there, which a bounded cache remembers.
+break, nor from a letter into most punctuation, so texts fall into independent units there, which a
+bounded cache remembers.
 """
 
 from __future__ import annotations
@@ -31,8 +32,10 @@ SPACE = "▁"
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
-CACHE = 150_000
+CACHE = 250_000
 BATCH_CHARS = 4 << 20
+#: Lengths of unit beginnings whose search is remembered, longest first.
+HEADS = (8, 5)
 
 
 class PieceModel:
@@ -74,11 +77,22 @@ class PieceModel:
         self.names = [p.piece for p in proto.pieces]
         self.unknown_score = min((self.scores[i] for i in self.ids.values()), default=0.0) - UNKNOWN_PENALTY
         self.pairs: dict[int, bool] = {}
-        crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) or "\n" in p[1:] for p in self.ids)
-        self.units = re.compile("(?s).+" if crossing else f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+        self.heads: dict[str, tuple] = {}
+        self.units = self._unit_pattern()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _unit_pattern(self) -> re.Pattern[str]:
+        """Runs of signs that pieces may span: they end before a space mark or line break, and between a letter and a sign that no piece has after a letter."""
+        neighbours = {(p[i], p[i + 1]) for p in self.ids for i in range(len(p) - 1)}
+        if any(b == "\n" or b == SPACE != a for a, b in neighbours):
+            return re.compile("(?s).+")
+        follow = {b for a, b in neighbours if a.isalpha()}
+        apart = "".join(re.escape(c) for c in "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~" if c not in follow)
+        if not apart:
+            return re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+        return re.compile(f"\n|{SPACE}*[^{SPACE}\n](?:[^{SPACE}\n{apart}]|(?<![A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff])[{apart}])*|{SPACE}+")
+
     # -- what merging does to a short string ------------------------------------------------------
 
     def merged(self, text: str) -> list[str]:
@@ -116,7 +130,13 @@ class PieceModel:
         back, last, score = [0], [-1], [0.0]  # by position - base; -1: nothing before, -3: no path
         bpe, n, longest = self.kind == BPE, len(unit), self.longest
         endings, scores, pairs = self.endings.get, self.scores, self.pairs.get
-        for end in range(1, n + 1):
+        first = 1
+        for head in HEADS:  # what the search finds up to a position depends on nothing behind it
+            if n > head and (known := self.heads.get(unit[:head])):
+                back, last, score = map(list, known)
+                first = head + 1
+                break
+        for end in range(first, n + 1):
             best_back, best, best_score = -1, -3, 0.0
             for start in range(end - 1, max(base, end - longest) - 1, -1):
                 found = endings(unit[start:end])
@@ -142,6 +162,10 @@ class PieceModel:
             back.append(best_back)
             last.append(best)
             score.append(best_score)
+            if end in HEADS and end < n and not base:
+                if len(self.heads) > CACHE:
+                    self.heads.clear()
+                self.heads[unit[:end]] = (tuple(back), tuple(last), tuple(score))
             if end - base >= 4 * longest and end < n:
                 meet = self._meeting(back, last, base, end)
                 if meet > base:
