@@ -57,9 +57,24 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_vocabulary(texts: DataFrame, size: int = VOCABULARY) -> np.ndarray:
-    """Sorted hashes of the most frequent words of every row of ``texts`` (one string column), ties to the smaller hash."""
+    """Sorted hashes of the most frequent words of every row of ``texts`` (one string column), ``size`` at most.
+
+    Words are taken by classes of frequency (single counts up to 4096, then steps of about one percent); the
+    class that would pass ``size`` and all below it are left out. So no task sends more than its share.
+    """
     counts = texts.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(size).toPandas()  # at most ``size`` rows
+    step = F.when(F.col("n") <= 4096, F.col("n")).otherwise(4096 + F.floor(64 * (F.log2("n") - 12))).cast("long")
+    counts = cut(counts.select("word", step.alias("step")), "word_counts")
+    sizes = counts.groupBy("step").agg(F.count("*").alias("words")).collect()  # some thousand classes at most
+    least, taken = None, 0
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        taken += row["words"]
+        if taken > size:
+            break
+        least = row["step"]
+    if least is None:
+        return np.zeros(0, np.uint64)
+    top = counts.where(F.col("step") >= least).select("word").toPandas()  # at most ``size`` rows
     return np.sort(top["word"].to_numpy(np.int64).view(np.uint64))
 
 
@@ -180,7 +195,7 @@ def train(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col:
     shared = docs.sparkSession.sparkContext.broadcast(known)
     ids = cut(target.select(F.col(target.columns[0]).alias("_id")).where("_id is not null").distinct().withColumn("_marked", F.lit(True)), "target_ids")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    marked = texts.join(ids, "_id", "left").select("_text", "_marked")
+    marked = texts.join(ids.hint("merge"), "_id", "left").select("_text", "_marked")  # the same plan at every size
     counts = marked.mapInArrow(_count(shared), "block int, counts array<bigint>").repartition("block").mapInArrow(_add, "block int, counts array<bigint>")
     width = 1 << BLOCK_BITS
     blocks = CELLS // width + -(-(len(known) + 2) // width)
