@@ -5,12 +5,15 @@
    which keeps the smallest of the other bits as 6 bits of leading-zero count and 10 bits of
    mantissa.
 2. Documents of one digest are one class; only the smallest doc_id of each goes on.
-3. Four registers make a band; equal bands make a group. Star round: each member is paired with its
-   group's smallest member. A pair whose collision-corrected estimate is within five standard errors
-   of the threshold is confirmed on the full sets, and confirmed links make components.
+3. Four registers make a band; equal bands make a group. Star round: each document is paired with the
+   one group's smallest member with which it shares most bands. A pair whose collision-corrected
+   estimate is within five standard errors of the threshold is confirmed on the full sets, and
+   confirmed links make components.
 4. Cross round: groups that still hold several components are compared in blocks, only across
-   components, by their registers; what the estimate lets pass is confirmed likewise. So a group
-   of n near copies costs n confirmations, not n^2 / 2, and no link between components is lost.
+   components, by their registers; what the estimate lets pass is confirmed likewise. A document
+   that may be similar to many members of one component is not paired with each: it probes the
+   component. Probes meet the members' full sets in blocks and end at the first link, so a group
+   of n near copies makes rows in proportion to n, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -32,9 +35,10 @@ WIDTH = 5
 REGISTERS, MANTISSA, BANDS = 128, 10, 32
 BLOCK = 1024
 SIGMAS = 5.0
-#: Bands in which a document must have the same group leader to be tried in the star round; a similar
-#: pair shares ten on average. What the star round leaves out, the cross round still finds.
-STAR_BANDS = 4
+#: A document with this many possible partners of one component in a unit probes the component instead.
+MANY = 8
+#: Shingles a side that a unit of probes holds on average (8 bytes each).
+PROBE_SHINGLES = 1 << 20
 #: Expected collisions of two disjoint sets: this constant times registers / 2^mantissa, at equal sizes.
 COLLISION = 0.169919487159739
 
@@ -134,10 +138,7 @@ def _confirm(percent: int, width: int):
                 left = [s for _, sets in words.distinct_shingles(batch.column("a_text").slice(low, high - low), width) for s in sets]
                 right = [s for _, sets in words.distinct_shingles(batch.column("b_text").slice(low, high - low), width) for s in sets]
                 for i, (x, y) in enumerate(zip(left, right, strict=True)):
-                    if len(x) and len(y):
-                        where = np.searchsorted(y, x)
-                        both = int((y[np.minimum(where, len(y) - 1)] == x).sum())
-                        keep[low + i] = 100 * both >= percent * (len(x) + len(y) - both)
+                    keep[low + i] = _similar(x, y, percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
@@ -160,25 +161,119 @@ def _cross(percent: int):
                 j = j[(label[j] != label[i]) & ((side[i] != 2) | (ids[j] > ids[i]))]
                 if len(j):
                     j = j[plausible(own[i][None], own[j], size[i], size[j], percent)]
-                    found_a.append(np.full(len(j), ids[i]))
-                    found_b.append(ids[j])
+                    found_a.append(np.full(len(j), i))
+                    found_b.append(j)
             if found_a:
-                a, b = np.concatenate(found_a), np.concatenate(found_b)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                yield _pairs_and_probes(ids, label, np.concatenate(found_a), np.concatenate(found_b))
 
     return run
 
 
+def _pairs_and_probes(ids: np.ndarray, label: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Rows ``(a, b, target)`` for the possible links ``a[k]``-``b[k]``: pairs of ids, or a document ``a`` that probes component ``target``."""
+    _, code = np.unique(label, return_inverse=True)
+
+    def partners(node: np.ndarray, other: np.ndarray) -> np.ndarray:
+        _, where, count = np.unique(node * len(ids) + code[other], return_inverse=True, return_counts=True)
+        return count[where]
+
+    of_a, of_b = partners(a, b), partners(b, a)
+    turn = of_b > of_a
+    a, b = np.where(turn, b, a), np.where(turn, a, b)
+    probe = np.maximum(of_a, of_b) >= MANY
+    pairs = np.stack([ids[a[~probe]], ids[b[~probe]]], 1)
+    pairs.sort(axis=1)
+    probes = np.unique(np.stack([ids[a[probe]], label[b[probe]]], 1), axis=0)
+    none = np.zeros(len(pairs), bool), np.ones(len(probes), bool)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([pairs[:, 0], probes[:, 0]])),
+            pa.array(np.concatenate([pairs[:, 1], probes[:, 0]]), mask=np.concatenate(none)),
+            pa.array(np.concatenate([pairs[:, 0], probes[:, 1]]), mask=~np.concatenate(none)),
+        ],
+        ["a", "b", "target"],
+    )
+
+
+def _probe(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in units(batches, UNIT):
+            side = unit.column("side").to_numpy()
+            ids, label, size = (unit.column(c).to_numpy() for c in ("id", "label", "n_shingles"))
+            bands, sets = _matrix(unit.column("bands")), unit.column("hashes")
+            members = np.flatnonzero(side == 1)
+            linked: dict[int, tuple[int, int]] = {}
+            for i in np.flatnonzero(side == 0):
+                if label[i] in linked or not len(members):
+                    continue
+                j = members[plausible(bands[i][None], bands[members], size[i], size[members], percent)]
+                about, _ = estimate(bands[i][None], bands[j], size[i], size[j])
+                own = np.frombuffer(sets[i].as_buffer(), np.uint64)
+                for k in j[np.argsort(-about, kind="stable")]:
+                    if _similar(own, np.frombuffer(sets[k].as_buffer(), np.uint64), percent):
+                        linked[label[i]] = ids[i], ids[k]
+                        break
+            if linked:
+                found = np.array(list(linked.values()), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found.min(1)), pa.array(found.max(1))], ["a", "b"])
+
+    return run
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are similar enough; empty sets never are."""
+    if not len(x) or not len(y):
+        return False
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(id, text)`` once for each of ``ids``; ``docs`` has (id, text)."""
+    return docs.join(cut(ids.distinct(), "involved"), "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar; ``docs`` has (id, text)."""
-    involved = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "involved")
-    texts = docs.join(involved, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
-    texts = cut(texts, "texts")
+    texts = cut(_texts_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), docs), "texts")
     left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("a_text")), "a")
     both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("b_text")), "b")
     return both.select("a", "b", "a_text", "b_text").mapInArrow(_confirm(percent, width), "a long, b long")
 
 
+def _full_sets(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, sets in words.distinct_shingles(batch.column("text"), width):
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(row, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "hashes"])
+
+    return run
+
+
+def _probed(probes: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """A link (a, b) of each probing document's component with its ``target`` component, wherever there is one.
+
+    ``probes`` has (id, target), ``labels`` (node, component). Both sides of a target are dealt into
+    blocks by their shingles, and each pair of blocks is one unit of work.
+    """
+    members = labels.select(F.col("node").alias("id"), F.col("component").alias("target"))
+    members = members.join(probes.select("target").distinct(), "target", "left_semi")
+    rows = probes.select("id", "target", F.lit(0).alias("side")).union(members.select("id", "target", F.lit(1)))
+    own = labels.select(F.col("node").alias("id"), F.col("component").alias("label"))
+    rows = rows.join(reps, "id").join(own, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    rows = cut(rows.select("id", F.col("target").alias("key"), "side", "label", "n_shingles", "bands"), "probe_rows")
+    held = lambda side: F.greatest(F.ceil(F.sum(F.when(F.col("side") == side, F.col("n_shingles"))) / PROBE_SHINGLES), F.lit(1)).cast("int")
+    blocks = cut(rows.groupBy("key").agg(held(0).alias("left_blocks"), held(1).alias("right_blocks")), "probe_blocks")
+    sets = cut(_texts_of(rows.select("id"), docs).mapInArrow(_full_sets(width), "id long, hashes binary"), "probe_sets")
+    mine = lambda count: F.pmod(F.xxhash64("id"), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    placed = rows.join(blocks, "key")
+    left = placed.where("side = 0").withColumn("left_block", mine("left_blocks")).withColumn("right_block", every("right_blocks"))
+    right = placed.where("side = 1").withColumn("right_block", mine("right_blocks")).withColumn("left_block", every("left_blocks"))
+    dealt = left.unionByName(right).drop("left_blocks", "right_blocks").join(sets, "id")
+    return dealt.repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(_probe(percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = WIDTH) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` for every row of ``docs``.
 
@@ -195,13 +290,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = cut(sets.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
     reps = sets.join(classes, "digest").where("id = rep").groupBy("id", "digest").agg(F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     reps = cut(reps, "representatives")
-    banded = reps.select("id", F.posexplode("bands").alias("band", "value")).where("value <> 0").select("id", F.xxhash64("band", "value").alias("key"))
-    groups = cut(banded.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1"), "groups")
-    members = cut(banded.join(groups, "key").select("key", "n", "a", "id"), "members")
-    shared = members.where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.count("*").alias("bands"))
-    pairs = shared.where(F.col("bands") >= STAR_BANDS).select("a", "b")
+    banded = reps.select("id", "n_shingles", F.posexplode("bands").alias("band", "value")).where("value <> 0").select("id", "n_shingles", F.xxhash64("band", "value").alias("key"))
+    groups = banded.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("a"), F.count("*").alias("n")).where("n > 1")
+    groups = cut(groups.select("key", "n", F.col("a.id").alias("a"), F.col("a.n_shingles").alias("a_size")), "groups")
+    members = cut(banded.join(groups, "key").select("key", "n", "a", "a_size", "id", "n_shingles"), "members")
+    fits = f"100 * least(a_size, n_shingles) >= {percent} * greatest(a_size, n_shingles)"
+    shared = members.where("id <> a").where(fits).groupBy("a", F.col("id").alias("b")).agg(F.count("*").alias("bands"))
+    pairs = shared.groupBy("b").agg(F.max_by("a", F.struct("bands", -F.col("a"))).alias("a")).select("a", "b")
     sketch = lambda x: reps.select(F.col("id").alias(x), F.col("n_shingles").alias(f"{x}_n"), F.col("bands").alias(f"{x}_bands"))
-    pairs = pairs.join(sketch("b"), "b").join(sketch("a"), "a").where(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)")
+    pairs = pairs.join(sketch("b"), "b").join(sketch("a"), "a")
     pairs = cut(pairs.mapInArrow(_filter_pairs(percent), "a long, b long"), "star_pairs")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     links = cut(_confirmed(pairs, texts, percent, width), "star_links")
@@ -212,9 +309,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = cut(mixed, "mixed")
     apart = named.join(mixed, "key").join(reps.select("id", "n_shingles", "bands"), "id")
     dealt = block_pairs(apart, F.ceil(F.col("n") / BLOCK), "id").repartition(*UNIT).sortWithinPartitions(*UNIT)
-    cross = dealt.mapInArrow(_cross(percent), "a long, b long").distinct()
-    cross = cut(cross.join(pairs, ["a", "b"], "left_anti"), "cross_pairs")
-    more = _confirmed(cross, texts, percent, width)
+    cross = cut(dealt.mapInArrow(_cross(percent), "a long, b long, target long").distinct(), "cross")
+    cross_pairs = cut(cross.where("target is null").select("a", "b").join(pairs, ["a", "b"], "left_anti"), "cross_pairs")
+    probes = cross.where("target is not null").select(F.col("a").alias("id"), "target")
+    more = _confirmed(cross_pairs, texts, percent, width).union(_probed(probes, labels, reps.select("id", "n_shingles", "bands"), texts, percent, width))
     whole = cut(connected_components(links.union(more), "a", "b"), "components")
 
     by_class = cut(classes.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id")), "class_components")

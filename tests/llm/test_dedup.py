@@ -157,3 +157,31 @@ def test_nearest_in_few_or_no_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [-1.0, 0.0]), (50, None), (None, [1.0, 0.0])], schema)
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in nearest.search(df, F.col("vec_id") % 50 == 0).orderBy("rank").collect()] == [(0, 1, 1, 1.0), (0, 2, 2, -1.0)]
     assert nearest.search(spark.createDataFrame([], schema), F.lit(True)).count() == 0
+
+
+def test_near_duplicates_of_one_large_group(spark, monkeypatch):
+    """Components met by probes, in one block or several, equal those of brute force."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(900)}" for _ in range(120)]
+    texts = []
+    for _ in range(150):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5])):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(9000)}"
+        texts.append(" ".join(copy))
+    sets = [shingle_set(t) for t in texts]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    want = components(len(sets), links)
+    assert 1 < len(set(want)) < 100
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for held in (near_dedup.PROBE_SHINGLES, 1000):
+        monkeypatch.setattr(near_dedup, "PROBE_SHINGLES", held)
+        got = {r.id: r.component_id for r in near_dedup.near_duplicates(df).collect()}
+        assert got == dict(enumerate(want))
+
+
+def test_probes_take_the_place_of_many_pairs():
+    ids, label = np.arange(12) * 10, np.array([0] * 10 + [100, 110])
+    rows = near_dedup._pairs_and_probes(ids, label, np.array([*range(10), 10, 3]), np.array([10] * 10 + [11, 11])).to_pylist()
+    assert sorted((r["a"], r["b"], r["target"]) for r in rows if r["target"] is None) == [(30, 110, None), (100, 110, None)]
+    assert [r for r in rows if r["target"] is not None] == [{"a": 100, "b": None, "target": 0}]
