@@ -1,13 +1,15 @@
 """LM scoring by cross-entropy difference.
 
-A target and a background bigram model share one vocabulary: the ``VOCABULARY`` most frequent words of
-the whole corpus, and one unknown word. Both models are counted over whole texts: the background over
-every document, the target over those marked. A word's probability is interpolated from its
-bigram, its unigram and a uniform share, with the same weights in both models. A document's score
-is the mean over its words of target loss minus background loss; lower is closer to the target.
-
-Bigrams are counted in ``CELLS`` hashed cells. So a model has one fixed size at any scale and may be
-broadcast, at the price that bigrams of one cell share a count.
+A target and a background bigram model share one vocabulary: every word of the whole corpus, and one
+unknown word for texts that training did not see. Both models are counted over whole texts: the
+background over every document, the target over those marked. A word's probability is interpolated
+from its bigram, its unigram and a uniform share, with the same weights in both models. A document's
+score is the mean over its words of target loss minus background loss; lower is closer to the target.
+
+Words and bigrams are counted exactly, by 64-bit hashes, in tables that grow with the corpus; no task holds
+them all. Documents are dealt by id into blocks of about ``BLOCK_BYTES``. A block's distinct keys go
+to parts of the key range, each part adds up its keys over all blocks, and sends each block the
+counts of the keys it has. So a frequent pair costs one number a block.
 """
 
 from __future__ import annotations
@@ -17,190 +19,202 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartolex.llm import words
-from cartolex.llm.scratch import cut
+from cartolex.llm.scratch import cut, give_back
 
-VOCABULARY, CELL_BITS, BLOCK_BITS = 1 << 15, 21, 10
-CELLS = 1 << CELL_BITS
+#: Text of one block of documents, and of one part of the key range.
+BLOCK_BYTES, PART_BYTES = 4 << 20, 8 << 20
 #: Weights of bigram, unigram and uniform shares; a history that was never seen gives its weight to the unigram.
 BIGRAM, UNIGRAM, UNIFORM = 0.6, 0.39, 0.01
-FLUSH = 1 << 21
-
-
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
-
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([k for k, _ in held])
-        unique, where = np.unique(keys, return_inverse=True)
-        return unique, np.bincount(where, np.concatenate([c for _, c in held])).astype(np.int64)
-
-    for batch in batches:
-        for _, _, data, offsets in words.slices(batch.column(0)):
-            starts, ends, _ = words.spans(data, offsets)
-            held.append(np.unique(words.hashes(data, starts, ends), return_counts=True))
-            size += len(held[-1][0])
-            if size > FLUSH:
-                held = [merged()]
-                size = len(held[0][0])
-                if size > FLUSH // 2:
-                    yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], ["word", "n"])
-                    held, size = [], 0
-    if held:
-        keys, n = merged()
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["word", "n"])
-
-
-def shared_vocabulary(texts: DataFrame, size: int = VOCABULARY) -> np.ndarray:
-    """Sorted hashes of the most frequent words of every row of ``texts`` (one string column), ``size`` at most.
-
-    Words are taken by classes of frequency (single counts up to 4096, then steps of about one percent); the
-    class that would pass ``size`` and all below it are left out. So no task sends more than its share.
-    """
-    counts = texts.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    step = F.when(F.col("n") <= 4096, F.col("n")).otherwise(4096 + F.floor(64 * (F.log2("n") - 12))).cast("long")
-    counts = cut(counts.select("word", step.alias("step")), "word_counts")
-    sizes = counts.groupBy("step").agg(F.count("*").alias("words")).collect()  # some thousand classes at most
-    least, taken = None, 0
-    for row in sorted(sizes, key=lambda r: -r["step"]):
-        taken += row["words"]
-        if taken > size:
-            break
-        least = row["step"]
-    if least is None:
-        return np.zeros(0, np.uint64)
-    top = counts.where(F.col("step") >= least).select("word").toPandas()  # at most ``size`` rows
-    return np.sort(top["word"].to_numpy(np.int64).view(np.uint64))
-
-
-def _bigrams(column: pa.Array, vocabulary: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """First row, word numbers (0: unknown), the cells of (word before, word), and each text's first word.
-
-    The word before a text's first one is number ``len(vocabulary) + 1``.
+_U = np.uint64
+#: The word before a text's first one.
+START = _U(0x5BF03635D1E2A9C7)
+_ZSTD = pa.Codec("zstd", compression_level=1)
+_ROWS = "part long, _block long, n_keys long, keys binary, n0 binary, n1 binary"
+_ANSWERS = "_block long, part long, n_keys long, n0 binary, n1 binary, words long, total0 long, total1 long"
+_MADE = ("n_words", "ce_target", "ce_background", "ce_difference")
+
+
+def _bigrams(column: pa.Array, vocabulary: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """First row, word hashes, the keys of (word before, word), and each text's first word.
+
+    With a ``vocabulary`` of sorted hashes, words outside it are 0.
     """
     for row, _, data, offsets in words.slices(column):
         starts, ends, first = words.spans(data, offsets)
-        h = words.hashes(data, starts, ends)
-        at = np.minimum(np.searchsorted(vocabulary, h), max(0, len(vocabulary) - 1))
-        ids = np.where(vocabulary[at] == h, at + 1, 0) if len(vocabulary) else np.zeros(len(h), np.int64)
+        ids = words.hashes(data, starts, ends)
+        if vocabulary is not None:
+            ids = np.where(np.isin(ids, vocabulary), ids, _U(0))
         before = np.empty_like(ids)
         before[1:] = ids[:-1]
-        before[first[:-1][first[:-1] < len(ids)]] = len(vocabulary) + 1
-        cells = words.mix((before.astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64)) >> np.uint64(64 - CELL_BITS)
-        yield row, ids, cells.astype(np.int64), first
-
-
-def _count(vocabulary):
-    """Rows (block, counts): cells of the background, then of the target; then words likewise."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary.value
-        size, width = len(known) + 2, 1 << BLOCK_BITS
-        padded = -(-size // width) * width
-        total = np.zeros((2, CELLS + padded), np.int64)
-        for batch in batches:
-            marked = np.asarray(batch.column(1).fill_null(False).to_numpy(zero_copy_only=False), bool)
-            for row, ids, cells, first in _bigrams(batch.column(0), known):
-                n = np.diff(first)
-                target = np.repeat(marked[row : row + len(n)], n)
-                for k, chosen in ((0, slice(None)), (1, target)):
-                    np.add.at(total[k], cells[chosen], 1)
-                    np.add.at(total[k], ids[chosen] + CELLS, 1)
-                full = first[:-1][n > 0]
-                total[0, CELLS + size - 1] += len(full)
-                total[1, CELLS + size - 1] += int(marked[row : row + len(n)][n > 0].sum())
-        blocks = total.reshape(2, -1, width)
-        used = np.argwhere(blocks.any(2))
-        flat = blocks[used[:, 0], used[:, 1]]
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(used) + 1, dtype=np.int32) * width), pa.array(flat.reshape(-1)))
-        yield pa.RecordBatch.from_arrays([pa.array((used[:, 0] * blocks.shape[1] + used[:, 1]).astype(np.int32)), lists], ["block", "counts"])
-
-    return run
-
-
-def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        column = batch.column(1)
-        rows = column.flatten().to_numpy().reshape(len(column), -1)
-        for block, counts in zip(batch.column(0).to_pylist(), rows, strict=True):
-            if block in total:
-                total[block] += counts
-            else:
-                total[block] = counts.copy()
-    if total:
-        flat = np.stack(list(total.values()))
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * flat.shape[1]), pa.array(flat.reshape(-1)))
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), lists], ["block", "counts"])
+        before[first[:-1][first[:-1] < len(ids)]] = START
+        yield row, ids, words.mix(words.mix(before + _U(0x9E3779B97F4A7C15)) + ids), first
+
+
+def _read(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, bigram keys and words a text of a whole block."""
+    ids, keys, sizes = [np.zeros(0, _U)], [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+    for _, i, k, first in _bigrams(column):
+        ids.append(i)
+        keys.append(k)
+        sizes.append(np.diff(first))
+    return np.concatenate(ids), np.concatenate(keys), np.concatenate(sizes)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """64-bit numbers, compressed: first all their lowest bytes, then the next, as most of the high ones are 0."""
+    return _ZSTD.compress(values.view(np.uint8).reshape(-1, 8).T.tobytes(), asbytes=True)
+
+
+def _unpack(packed: list[bytes], sizes: list[int], kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(_ZSTD.decompress(p, 8 * n, asbytes=True), np.uint8).reshape(8, n).T.copy().reshape(-1).view(kind) for p, n in zip(packed, sizes, strict=True)]
+
+
+def _block_of(docs: DataFrame, id_col: str, text_col: str, blocks: int) -> Column:
+    """The block of a document; rows without an id are dealt by their text."""
+    by_text = F.xxhash64(F.col(text_col).cast("string"))
+    by_id = F.when(F.col(id_col).isNull(), by_text).otherwise(F.xxhash64(F.col(id_col).cast("string"))) if id_col in docs.columns else by_text
+    return F.pmod(by_id, F.lit(blocks)).cast("long")
+
+
+def _n_blocks(docs: DataFrame, text_col: str, size: int) -> tuple[int, int]:
+    """Bytes of text, and how many blocks of ``size`` they fill."""
+    whole = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")).cast("long"))).first()[0] or 0
+    return whole, max(1, -(-whole // size))
+
+
+def _keys_of_blocks(docs: DataFrame, target: DataFrame | None, id_col: str, text_col: str, blocks: int, parts: int) -> DataFrame:
+    """Each block's distinct keys by part (even numbers: words; odd: bigrams), counted in all texts and in the target's.
+
+    Without a ``target`` the counts are null: the block only asks for its keys.
+    """
+    key = F.col(id_col).cast("string") if id_col in docs.columns else F.lit(None).cast("string")
+    texts = docs.select(_block_of(docs, id_col, text_col, blocks).alias("_block"), key.alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    count = target is not None
+    if count:
+        marks = target.select(F.col(target.columns[0]).cast(docs.schema[id_col].dataType).cast("string").alias("_id")).where("_id is not null").distinct()
+    else:
+        marks = texts.select("_id").limit(0)
+    marks = marks.select(F.pmod(F.xxhash64("_id"), F.lit(blocks)).cast("long").alias("_block"), "_id")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[list] = [[], [], [], [], [], []]
+        ids, keys, sizes = _read(left["_text"])
+        known = set(right["_id"].to_pylist())
+        marked = np.fromiter((i in known for i in left["_id"].to_pylist()), bool, len(sizes))
+        begins = sizes > 0
+        of_words = np.repeat(marked, sizes)
+        for kind, (seen, weight) in enumerate(((ids, of_words), (np.append(keys, np.full(begins.sum(), START)), np.append(of_words, marked[begins])))):
+            unique, at = np.unique(seen, return_inverse=True)
+            n = [np.bincount(at, minlength=len(unique)).astype(np.int64), np.bincount(at[weight], minlength=len(unique)).astype(np.int64)]
+            edges = np.searchsorted(((unique >> _U(32)) * _U(parts)) >> _U(32), np.arange(parts + 1, dtype=_U))
+            for p in np.flatnonzero(np.diff(edges)):
+                here = slice(edges[p], edges[p + 1])
+                row = (2 * int(p) + kind, left["_block"][0].as_py(), int(edges[p + 1] - edges[p]), _pack(np.diff(unique[here], prepend=_U(0))), _pack(n[0][here]) if count else None, _pack(n[1][here]) if count else None)
+                for column, value in zip(out, row, strict=True):
+                    column.append(value)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], [c.split()[0] for c in _ROWS.split(", ")])
+
+    return texts.groupBy("_block").cogroup(marks.groupBy("_block")).applyInArrow(run, _ROWS)
+
+
+def _answer(rows: pa.Table) -> pa.Table:
+    """One part's counts over all blocks, for each row with a block in the order of its keys; and one row of sums."""
+    sizes = rows["n_keys"].to_numpy()
+    unique, at = np.unique(np.concatenate([np.cumsum(k, dtype=_U) for k in _unpack(rows["keys"].to_pylist(), sizes, _U)]), return_inverse=True)
+    nothing = {int(n): _pack(np.zeros(n, np.int64)) for n in (set(sizes.tolist()) if rows["n0"].null_count else ())}
+    total = []
+    for column in (rows["n0"], rows["n1"]):
+        n = np.concatenate(_unpack([nothing[int(size)] if c is None else c for c, size in zip(column.to_pylist(), sizes, strict=True)], sizes, np.int64))
+        total.append(np.bincount(at, n, len(unique)).astype(np.int64))  # exact up to 2^53
+    part, ends = rows["part"][0].as_py(), np.cumsum(sizes)
+    asked = [(b, slice(e - s, e)) for b, s, e in zip(rows["_block"].to_pylist(), sizes, ends, strict=True) if b is not None]
+    none = [None] * len(asked)
+    sums = [int((total[0] > 0).sum()), int(total[0].sum()), int(total[1].sum())]
+    columns = [[b for b, _ in asked] + [None], [part] * (len(asked) + 1), [here.stop - here.start for _, here in asked] + [None], *([_pack(t[at[here]]) for _, here in asked] + [None] for t in total), *(none + [s] for s in sums)]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in _ANSWERS.split(", ")])
 
 
 @dataclass
 class PairedModels:
-    """Counts of bigram cells and words, for background (0) and target (1)."""
+    """The plan of counts of words and bigrams by block and part, for background (0) and target (1), and the documents counted.
 
-    vocabulary: np.ndarray
-    cells: np.ndarray
-    words: np.ndarray
+    The counts are made when documents are scored, so that they are on disk once only.
+    """
 
-    def losses(self, ids: np.ndarray, cells: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Background and target loss of each word, in nats."""
-        n_words = len(self.vocabulary) + 1
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
-        before[first[:-1][first[:-1] < len(ids)]] = n_words
-        out = []
-        for k in range(2):
-            total = max(1.0, float(self.words[k, :n_words].sum()))
-            unigram = self.words[k, ids] / total
-            history = self.words[k, before].astype(np.float64)
-            bigram = np.minimum(self.cells[k, cells], history) / np.maximum(history, 1)
-            p = np.where(history > 0, BIGRAM * bigram + UNIGRAM * unigram, (BIGRAM + UNIGRAM) * unigram) + UNIFORM / n_words
-            out.append(-np.log(p))
-        return out[0], out[1]
+    counts: DataFrame
+    docs: DataFrame
+    id_col: str
+    text_col: str
+    blocks: int
+    parts: int
 
     def score(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
         """``docs`` with n_words, ce_target, ce_background and ce_difference; all rows and other columns stay.
 
         A null, empty or blank text has 0 words and null losses. Columns already called so are replaced.
         """
-        docs = docs.drop("n_words", "ce_target", "ce_background", "ce_difference")
-        shared, at = docs.sparkSession.sparkContext.broadcast(self), docs.columns.index(text_col)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            model = shared.value
-            for batch in batches:
-                for row, ids, cells, first in _bigrams(batch.column(at), model.vocabulary):
-                    n = np.diff(first)
-                    empty = n == 0
-                    sums = []
-                    for loss in model.losses(ids, cells, first):
-                        running = np.concatenate([[0.0], np.cumsum(loss)])
-                        sums.append((running[first[1:]] - running[first[:-1]]) / np.maximum(n, 1))
-                    part = batch.slice(row, len(n))
-                    made = [pa.array(n.astype(np.int64)), *(pa.array(x, mask=empty) for x in (sums[1], sums[0], sums[1] - sums[0]))]
-                    yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, "n_words", "ce_target", "ce_background", "ce_difference"])
-
-        made = [T.StructField("n_words", T.LongType()), *(T.StructField(c, T.DoubleType()) for c in ("ce_target", "ce_background", "ce_difference"))]
-        return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *made]))
-
-
-def train(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY) -> PairedModels:
+        if text_col == self.text_col and docs.sameSemantics(self.docs):
+            blocks, rows = self.blocks, self.counts
+        else:
+            blocks = _n_blocks(docs, text_col, BLOCK_BYTES)[1]
+            asked = _keys_of_blocks(docs, None, self.id_col, text_col, blocks, self.parts)
+            rows = self.counts.withColumn("_block", F.lit(None).cast("long")).unionByName(asked)
+        answers = cut(rows.groupBy("part").applyInArrow(_answer, _ANSWERS), "block_answers")
+        del rows
+        for _ in range(2):  # lets Spark delete the shuffle files of the counts
+            give_back()
+            docs.sparkSession.sparkContext._jvm.System.gc()
+        sums = answers.where("_block is null and part % 2 = 0").agg(F.sum("words"), F.sum("total0"), F.sum("total1")).first()
+        n_words, totals = (sums[0] or 0) + 1, [max(1.0, float(s or 0)) for s in sums[1:]]
+        docs = docs.drop(*_MADE)
+        kept = docs.withColumn("_block", _block_of(docs, self.id_col, text_col, blocks))
+
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            if not left.num_rows:
+                return pa.table([*left.drop_columns("_block").columns, *([pa.nulls(0)] * 4)], [*left.drop_columns("_block").column_names, *_MADE])
+            right = right.sort_by("part")
+            odd = right["part"].to_numpy() % 2 == 1
+            ids, keys, sizes = _read(left[text_col].cast(pa.string()))
+            unique, at = np.unique(ids, return_inverse=True)
+            full, ends = sizes > 0, np.cumsum(sizes)
+            starts = (ends - sizes)[full]
+            pairs, pair_at = np.unique(np.append(keys, START) if full.any() else keys, return_inverse=True)
+            means = []
+            for k in range(2):
+                counts = _unpack(right[f"n{k}"].to_pylist(), right["n_keys"].to_pylist(), np.int64)
+                uni, bi = (np.concatenate([np.zeros(0), *(c for c, o in zip(counts, odd, strict=True) if o == kind)]) for kind in (False, True))
+                if len(uni) != len(unique) or len(bi) != len(pairs):
+                    raise ValueError("the documents differ between two reads")
+                n = uni[at]
+                history = np.empty_like(n)
+                history[1:] = n[:-1]
+                if len(starts):
+                    history[starts] = bi[pair_at[-1]]
+                unigram, bigram = n / totals[k], bi[pair_at[: len(ids)]] / np.maximum(history, 1)
+                p = np.where(history > 0, BIGRAM * bigram + UNIGRAM * unigram, (BIGRAM + UNIGRAM) * unigram) + UNIFORM / n_words
+                mean = np.zeros(len(sizes))
+                if len(starts):
+                    mean[full] = np.add.reduceat(-np.log(p), starts) / sizes[full]
+                means.append(mean)
+            made = [pa.array(sizes), *(pa.array(x, mask=~full) for x in (means[1], means[0], means[1] - means[0]))]
+            plain = left.drop_columns("_block")
+            return pa.table([*plain.columns, *made], [*plain.column_names, *_MADE])
+
+        made = [T.StructField(_MADE[0], T.LongType()), *(T.StructField(c, T.DoubleType()) for c in _MADE[1:])]
+        asking = answers.where("_block is not null").select("_block", "part", "n_keys", "n0", "n1")
+        return kept.groupBy("_block").cogroup(asking.groupBy("_block")).applyInArrow(run, T.StructType([*docs.schema.fields, *made]))
+
+
+def train(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> PairedModels:
     """Both models over all of ``docs``; the target's documents are those whose id is in ``target`` (one id column)."""
-    known = shared_vocabulary(docs.select(F.col(text_col).cast("string")), vocabulary)
-    shared = docs.sparkSession.sparkContext.broadcast(known)
-    ids = cut(target.select(F.col(target.columns[0]).alias("_id")).where("_id is not null").distinct().withColumn("_marked", F.lit(True)), "target_ids")
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    marked = texts.join(ids.hint("merge"), "_id", "left").select("_text", "_marked")  # the same plan at every size
-    counts = marked.mapInArrow(_count(shared), "block int, counts array<bigint>").repartition("block").mapInArrow(_add, "block int, counts array<bigint>")
-    width = 1 << BLOCK_BITS
-    blocks = CELLS // width + -(-(len(known) + 2) // width)
-    total = np.zeros((2 * blocks, width), np.int64)
-    for row in counts.toLocalIterator(prefetchPartitions=True):  # a fixed number of blocks
-        total[row["block"]] = row["counts"]
-    total = total.reshape(2, -1)
-    return PairedModels(known, np.ascontiguousarray(total[:, :CELLS].astype(np.float32)), total[:, CELLS : CELLS + len(known) + 2])
+    size, blocks = _n_blocks(docs, text_col, BLOCK_BYTES)
+    parts = max(1, -(-size // PART_BYTES))
+    counts = _keys_of_blocks(docs, target, id_col, text_col, blocks, parts)
+    return PairedModels(counts, docs, id_col, text_col, blocks, parts)

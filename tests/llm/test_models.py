@@ -132,3 +132,21 @@ def test_bigrams_of_one_text_do_not_reach_into_the_next():
     vocabulary = np.zeros(0, np.uint64)
     _, ids, cells, first = next(lm_scoring._bigrams(pa.array(["a b", None, "", "c"]), vocabulary))
     assert list(ids) == [0, 0, 0] and list(first) == [0, 2, 2, 2, 3] and cells[0] == cells[2] != cells[1]
+
+
+def test_lm_counts_stay_exact_as_words_and_pairs_grow(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 200_000)
+    monkeypatch.setattr(lm_scoring, "PART_BYTES", 300_000)
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{int(rng.random() ** 2 * 60_000)}" for _ in range(400))) for i in range(400)]  # more words than 2^15, and many pairs
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm_scoring.train(docs, docs.where("doc_id % 3 = 0").select(F.col("doc_id").cast("int")))
+    assert model.blocks > 3 and model.parts > 1
+    background, target = plain_losses([t for _, t in rows], [i % 3 == 0 for i, _ in rows], 1 << 30)
+    for scored in (docs, docs.where("doc_id < 100").withColumn("more", F.lit(1))):  # the same documents, and a part of them
+        got = {r.doc_id: r for r in model.score(scored).collect()}
+        assert len(got) == scored.count()
+        for i in got:
+            assert got[i].ce_background == pytest.approx(background[i], rel=1e-9) and got[i].ce_target == pytest.approx(target[i], rel=1e-9)
+    new = model.score(spark.createDataFrame([("never seen",)], "text string")).first()
+    assert new.n_words == 2 and new.ce_background == pytest.approx(-np.log(lm_scoring.UNIFORM / (len({w for _, t in rows for w in t.split()}) + 1)))
