@@ -66,15 +66,30 @@ def node(url: Column) -> Column:
     return F.concat(F.translate(head, _UPPER, _LOWER), F.substring(bare, F.length(head) + 1, F.length(bare)))
 
 
+def resolved(target: Column, url: Column) -> Column:
+    """A link's target against its page's url, by RFC 3986; a target with a scheme stays as it is."""
+    bare = F.regexp_replace(url, r"(?s)#.*$", "")
+    head = F.regexp_extract(bare, r"^([^:/?#]+://[^/?#]*)", 1)
+    path = F.regexp_extract(bare, r"^[^:/?#]+://[^/?#]*([^?#]*)", 1)
+    folder = F.concat(F.lit("/"), F.regexp_extract(path, r"^/(.*/)?", 1))
+    to = F.when(target.startswith("/"), target).when(target.rlike(r"^[?#]"), F.concat(path, target)).otherwise(F.concat(folder, target))
+    steps = F.split(F.regexp_extract(to, r"^/?([^?#]*)", 1), "/")
+    up = lambda done: F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+    kept = F.aggregate(steps, F.array().cast("array<string>"), lambda done, x: F.when(x == "..", up(done)).when(x == ".", done).otherwise(F.concat(done, F.array(x))))
+    kept = F.when(F.element_at(steps, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    walked = F.concat(F.when(to.startswith("/"), "/").otherwise(""), F.array_join(kept, "/"), F.regexp_extract(to, r"(?s)^[^?#]*(.*)$", 1))
+    whole = F.when(target.startswith("//"), F.concat(F.regexp_extract(bare, r"^([^:/?#]+:)//", 1), target))
+    return whole.when(target.rlike(r"^[^:/?#]+:"), target).when(head != "", F.concat(head, walked)).otherwise("")
+
+
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(src, dst)`` nodes of the canonical links and immediate refreshes that pages state; relative targets are resolved."""
+    """``(src, dst)`` nodes of all canonical links and immediate refreshes that pages state; relative targets are resolved."""
     link = r"(?is)<link\b(?=[^>]*\brel" + _QUOTED + r"canonical\b)[^>]*\bhref" + _QUOTED + r"([^\s\"'>]+)"
     refresh = r"(?is)<meta\b(?=[^>]*\bhttp-equiv" + _QUOTED + r"refresh\b)[^>]*\burl\s*=\s*([^\s\"'>]+)"
-    targets = F.array(F.regexp_extract(html_col, link, 1), F.regexp_extract(html_col, refresh, 1))
-    stated = pages.where(F.col(html_col).rlike(r"(?i)\bcanonical\b|\bhttp-equiv")).select(F.col(url_col).alias("u"), F.explode(targets).alias("to"))
-    own_head = F.regexp_extract("u", r"^([^:/?#]+://[^/?#]*)", 1)
-    to = F.when(F.col("to").startswith("//"), F.concat(F.regexp_extract("u", r"^([^:/?#]+:)//", 1), "to")).when(F.col("to").startswith("/"), F.concat(own_head, "to")).otherwise(F.col("to"))
-    return stated.where("u is not null and to <> ''").select(node(F.col("u")).alias("src"), node(to).alias("dst")).where("instr(dst, '://') > 0")
+    targets = F.concat(*[F.regexp_extract_all(html_col, F.lit(pattern), 1) for pattern in (link, refresh)])
+    stated = pages.where(F.col(html_col).rlike(r"(?i)\bcanonical\b|\bhttp-equiv")).select(F.trim(url_col).alias("u"), F.explode(targets).alias("to"))
+    to = resolved(F.regexp_replace("to", r"(?i)&(?:amp|#0*38|#x0*26);", "&"), F.col("u"))
+    return stated.where("u is not null and to <> ''").select(node(F.col("u")).alias("src"), node(to).alias("dst")).where(F.col("dst").rlike(r"^[^:/?#]+://"))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, redirects: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

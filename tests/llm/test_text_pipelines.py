@@ -169,3 +169,16 @@ def test_pipeline_stages_do_what_they_say(spark, tmp_path):
     assert distinct == {r.id for r in sets} and not distinct & set(range(240, 245))
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in out} == names[3] and all(r.round_trip and r.n_tokens for r in out)
+
+
+def test_every_link_of_a_page_counts(spark):
+    link, refresh = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+    base = "http://a.net/x/y/p?q=1#f"
+    to = {"page2.html": "http://a.net/x/y/page2.html", "../z": "http://a.net/x/z", "?id=1&amp;b=2": "http://a.net/x/y/p?id=1&b=2", "./": "http://a.net/x/y/", "../../../w/./v?a=../b": "http://a.net/w/v?a=../b", "/r//s": "http://a.net/r//s", "//B.net/t": "http://b.net/t", "http://c.net/u": "http://c.net/u"}
+    html = "".join(link.format(t) for t in to) + refresh.format("next") + refresh.format("http://d.net/?x=1&#38;y=2") + link.format("mailto:x")
+    df = spark.createDataFrame([(1, base, html), (2, "http://e.net", link.format("k")), (3, "no scheme", link.format("?x=http://f.net"))], "page_id long, url string, html string")
+    got = {(r.src, r.dst) for r in url_rules.page_links(df).collect()}
+    own = "http://a.net/x/y/p?q=1"
+    assert got == {(own, t) for t in to.values()} | {(own, "http://a.net/x/y/next"), (own, "http://d.net/?x=1&y=2"), ("http://e.net", "http://e.net/k")}
+    pages = spark.createDataFrame([(1, "http://a.net/x/p", link.format("q?a=1&amp;b=2") + link.format("http://b.example.com/de/q")), (2, "http://a.net/x/q?a=1&b=2", None)], "page_id long, url string, html string")
+    assert {r.page_id: r.verdict for r in url_rules.judge(pages).collect()} == {1: "block", 2: "block"}
