@@ -9,6 +9,8 @@ those three small tables are all that a round rewrites, in the shared folder.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,10 @@ DIMENSIONS = ("source", "lang", "topic")
 #: Without given targets, a marginal's target shares are its observed shares to this power, made to sum to 1.
 TEMPER = {"source": 0.7, "lang": 0.8, "topic": 1.0}
 ROUNDS = 6
-#: A factor beyond so many times the mean is not reached by sampling: such a cell is kept whole.
+#: After so many rounds, more follow until each marginal value is this close to its goal (as a share of the goal),
+#: or a round no longer brings them closer by a hundredth (targets that no weights meet), or LAST_ROUND is reached.
+TOLERANCE, LAST_ROUND = 1e-3, 60
+#: The bound of factors in the SQL. Sampling has none of its own: the given tables' factors stay below it.
 MOST = 4.0
 #: Topics by a sign or word that their texts hold; the first that fits, else ``prose``.
 TOPICS = {"credentials": "token = ", "tables": " | ", "markup": "***", "shouting": "!! "}
@@ -48,7 +53,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, temper:
 
     ``targets`` may give a (value, share) table for a dimension; values it lacks have no tokens, and
     its shares are made to sum to 1 over the values that have any. Cells without tokens have a
-    weight of 0 and a factor of 0.
+    weight of 0 and a factor of 0. There are at least ``rounds`` rounds; if marginals stay further than
+    ``TOLERANCE`` from their goals, a warning names the largest gap of each.
     """
     temper = TEMPER if temper is None else temper
     start = cut(cells, "cells")
@@ -70,28 +76,50 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, temper:
         return table
 
     total = start.agg(F.sum("tokens").alias("whole"))
-    for k in range(rounds):
+
+    def gaps() -> dict[str, float]:
+        """The largest distance of a value from its goal, as a share of the goal, by dimension."""
+        now, found = scaled(list(DIMENSIONS)), None
+        for d in DIMENSIONS:
+            m = now.groupBy(F.col(d).alias("value")).agg(F.sum(F.col("tokens") * F.col("factor")).alias("m"))
+            gap = F.abs(F.coalesce("m", F.lit(0.0)) / (F.col("goal") * F.col("whole")) - 1)
+            part = goals[d].where("goal > 0").join(m, "value", "left").join(total).agg(F.lit(d).alias("d"), F.max(gap).alias("gap"))
+            found = part if found is None else found.union(part)
+        return {r["d"]: r["gap"] or 0.0 for r in found.collect()}
+
+    k, gap, last = 0, {}, float("inf")
+    while k < max(rounds, LAST_ROUND):
         for d in DIMENSIONS:
             margin = scaled([x for x in DIMENSIONS if x != d]).groupBy(F.col(d).alias("value")).agg(F.sum(F.col("tokens") * F.col("factor")).alias("m")).where("m > 0")
             fitted = margin.join(goals[d], "value").join(total).select("value", (F.col("goal") * F.col("whole") / F.col("m")).alias("scale"))
             scales[d] = cut(fitted, f"round_{k}_{d}")
+        k += 1
+        if k >= rounds:
+            gap = gaps()
+            if max(gap.values()) <= TOLERANCE or max(gap.values()) > 0.99 * last:
+                break
+            last = max(gap.values())
+    if gap and max(gap.values()) > TOLERANCE:
+        warnings.warn(f"after {k} rounds, marginals are off their goals by up to {gap}", stacklevel=2)
     out = scaled(list(DIMENSIONS)).join(total)
     return out.select(*DIMENSIONS, "tokens", F.coalesce(F.col("tokens") * F.col("factor") / F.col("whole"), F.lit(0.0)).alias("weight"), F.when(F.col("tokens") > 0, F.col("factor")).otherwise(0.0).alias("factor"))
 
 
-def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, temper: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topics: dict[str, str] | None = None, rounds: int = ROUNDS, most: float = MOST, seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, temper: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topics: dict[str, str] | None = None, rounds: int = ROUNDS, most: float | None = None, seed: int = 7) -> DataFrame:
     """``docs`` with mix_topic, mix_tokens, mix_factor, mix_prob and sampled; all rows and other columns stay.
 
     A null source or language is a value of its own. A text without tokens weighs nothing; its
     document follows its cell, and is kept where the whole cell has no tokens. Equal ids
-    have equal draws. Columns already called like the five are replaced.
+    have equal draws. Columns already called like the five are replaced. Documents are sampled by
+    their cell's factor over the largest one, so a cell that must grow much makes the whole sample smaller.
+    With ``most``, larger factors count as that, and marginals fall short of their goals by what it takes off.
     """
     docs = docs.drop("mix_topic", "mix_tokens", "mix_factor", "mix_prob", "sampled")
     named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
     keys = {"source": named(source_col), "lang": named(lang_col), "topic": topic(F.col(text_col), topics)}
     cells = docs.select(*[v.alias(k) for k, v in keys.items()], tokens(F.col(text_col)).alias("n")).groupBy(*DIMENSIONS).agg(F.sum("n").alias("tokens"))
     raked = cut(rake(cells, targets, temper, rounds), "raked")
-    top = raked.agg(F.least(F.max("factor"), F.lit(float(most))).alias("_top"))
+    top = raked.agg((F.max("factor") if most is None else F.least(F.max("factor"), F.lit(float(most)))).alias("_top"))
     prob = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("factor") / F.col("_top"))).otherwise(1.0)
     cell = raked.join(top).select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], F.col("factor").alias("mix_factor"), prob.alias("mix_prob"))
     keyed = docs.select("*", *[v.alias(f"_{k}") for k, v in keys.items()], tokens(F.col(text_col)).alias("mix_tokens"))

@@ -182,3 +182,22 @@ def test_every_link_of_a_page_counts(spark):
     assert got == {(own, t) for t in to.values()} | {(own, "http://a.net/x/y/next"), (own, "http://d.net/?x=1&y=2"), ("http://e.net", "http://e.net/k")}
     pages = spark.createDataFrame([(1, "http://a.net/x/p", link.format("q?a=1&amp;b=2") + link.format("http://b.example.com/de/q")), (2, "http://a.net/x/q?a=1&b=2", None)], "page_id long, url string, html string")
     assert {r.page_id: r.verdict for r in url_rules.judge(pages).collect()} == {1: "block", 2: "block"}
+
+
+def test_default_mixing_of_skewed_sources_meets_its_marginals(spark):
+    rows = [(i, "w " * 50, f"s{i % 20}", ("en", "en", "de")[(i // 20) % 3]) for i in range(3000)] + [(9000, "w " * 15, "rare", "en"), (9001, "w " * 15, "rare", "fr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    out = mixing.mix(df).cache()
+    assert out.agg(F.max("mix_factor")).first()[0] > mixing.MOST
+    for d in ("source", "lang"):
+        t = {r[d]: (r.t, r.m) for r in out.groupBy(d).agg(F.sum("mix_tokens").alias("t"), F.sum(F.col("mix_tokens") * F.col("mix_prob")).alias("m")).collect()}
+        whole, mixed = sum(a ** mixing.TEMPER[d] for a, _ in t.values()), sum(m for _, m in t.values())
+        for a, m in t.values():
+            assert m / mixed == pytest.approx(a ** mixing.TEMPER[d] / whole, rel=2 * mixing.TOLERANCE)
+
+
+def test_mixing_warns_of_targets_that_no_weights_meet(spark):
+    df = spark.createDataFrame([(0, "w w", "a", "en"), (1, "w w", "b", "de")], "doc_id long, text string, source string, lang string")
+    share = lambda a, b: spark.createDataFrame([(f"={a}", 0.9), (f"={b}", 0.1)], "value string, share double")
+    with pytest.warns(UserWarning, match="off their goals"):
+        mixing.mix(df, targets={"source": share("a", "b"), "lang": share("de", "en")}).collect()
