@@ -201,3 +201,16 @@ def test_mixing_warns_of_targets_that_no_weights_meet(spark):
     share = lambda a, b: spark.createDataFrame([(f"={a}", 0.9), (f"={b}", 0.1)], "value string, share double")
     with pytest.warns(UserWarning, match="off their goals"):
         mixing.mix(df, targets={"source": share("a", "b"), "lang": share("de", "en")}).collect()
+
+
+def test_preference_sql_on_a_table_with_pairs(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    rng = random.Random(6)
+    rows = [(c, k, ("user", "assistant")[k % 2], f"q{c % 5}" if k == 0 else f"t{rng.randint(0, 1)}") for c in range(31) for k in range(rng.randint(1, 5))]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op2_preference(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLES['op2_preference']})").fetchall()
+    rows = [tuple(r) for r in got.collect()]
+    assert sorted(rows, key=str) == sorted(want, key=str) and sum(r[1] is not None for r in rows) > 10
