@@ -5,6 +5,8 @@ The JVM's ``\\s``, ``\\w`` and case folding are ASCII unless flagged; patterns h
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,3 +39,8 @@ def normalized_name(name: Column) -> Column:
 def non_empty(c: Column) -> Column:
     """Neither null nor empty."""
     return F.coalesce(c != "", F.lit(False))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once for each row, whatever the optimizer does with projections."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

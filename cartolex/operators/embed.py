@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,34 +32,50 @@ def enriched_text() -> Column:
 
 
 def hash_embedder(dim: int) -> Embedder:
-    """The offline default: unit vectors of hashed word counts."""
+    """The offline default: unit vectors of hashed word counts. A word's md5 gives its place (first 8 digits) and sign (ninth, even: +)."""
+    known: dict[str, tuple[int, float]] = {}
+
+    def place(word: str) -> tuple[int, float]:
+        if word not in known:
+            if len(known) > 200_000:
+                known.clear()
+            digits = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
+            known[word] = int(digits[:8], 16) % dim, 1.0 - 2.0 * (int(digits[8], 16) % 2)
+        return known[word]
 
     def embed(texts: list[str]) -> list[list[float]]:
-        out = []
-        for text in texts:
-            v = [0.0] * dim
-            for word in text.lower().split():
-                h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "big")
-                v[h % dim] += 1.0 if h >> 63 else -1.0
-            norm = sum(x * x for x in v) ** 0.5
-            out.append([x / norm for x in v] if norm else v)
-        return out
+        out = np.zeros((len(texts), dim))
+        for row, text in enumerate(texts):
+            found = [place(w) for w in text.lower().split()]
+            if found:
+                at, sign = zip(*found, strict=True)
+                out[row] = np.bincount(at, sign, dim)
+        return list(out / np.maximum(np.sqrt((out * out).sum(1, keepdims=True)), 1e-300))
 
     return embed
 
 
-def embed(rows: DataFrame, key: str, text: str, embedder: Embedder, batch: int = 500) -> DataFrame:
-    """``(key, embedding)``; a batch for which the embedder returns another number of vectors gives no rows."""
+def embed(rows: DataFrame, key: str, text: str, embedder: Embedder, batch: int = 500, max_concurrent: int | None = None) -> DataFrame:
+    """``(key, embedding)``; a batch for which the embedder raises or returns another number of vectors gives no rows, and the others go on.
+
+    ``max_concurrent`` is the most tasks that call the embedder at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             for low in range(0, part.num_rows, batch):
                 some = part.slice(low, batch)
-                made = embedder([t or "" for t in some.column(1).to_pylist()])
+                try:
+                    made = embedder([t or "" for t in some.column(1).to_pylist()])
+                except Exception as e:  # the batch stays without vectors, as the completeness report shows
+                    print(f"a batch of {some.num_rows} texts has no vectors: {type(e).__name__}: {e}", file=sys.stderr)
+                    continue
                 if len(made) == some.num_rows:
                     yield pa.RecordBatch.from_arrays([some.column(0), pa.array(made, pa.list_(pa.float32()))], [key, "embedding"])
 
-    return rows.select(key, text).mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, embedding array<float>")
+    asked = rows.select(key, text)
+    asked = asked.repartition(max_concurrent) if max_concurrent else asked
+    return asked.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, embedding array<float>")
 
 
 def set_embeddings(chunks: DataFrame, vectors: DataFrame, key: str = "chunkId") -> DataFrame:

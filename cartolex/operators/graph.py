@@ -38,12 +38,12 @@ def created_flags(rows: DataFrame, keys: Sequence[str], base: DataFrame | None =
     return out.join(known, list(keys), "left").select(*keys, (F.col("created") & F.col("_known").isNull()).alias("created"))
 
 
-def edges(kind: str, rows: DataFrame, src: str | Column, dst: str | Column, order: str | Column | None = None, score: str | Column | None = None) -> DataFrame:
-    """Edge records; equal (src, dst, order) are one edge."""
+def edges(kind: str, rows: DataFrame, src: str | Column, dst: str | Column, order: str | Column | None = None, score: str | Column | None = None, distinct: bool = True) -> DataFrame:
+    """Edge records; equal (src, dst, order) are one edge. With ``distinct=False`` the caller knows that none are equal, and nothing is shuffled."""
     as_col = lambda c: F.col(c) if isinstance(c, str) else c
     made = rows.select(F.lit(kind).alias("type"), as_col(src).alias("src"), as_col(dst).alias("dst"), (F.lit(None) if order is None else as_col(order)).cast("int").alias("order"), (F.lit(None) if score is None else as_col(score)).cast("double").alias("relevanceScore"))
     made = made.where("src is not null and dst is not null")
-    return made.dropDuplicates(["src", "dst", "order"])
+    return made.dropDuplicates(["src", "dst", "order"]) if distinct else made
 
 
 def scored_edges(kind: str, rows: DataFrame, src: str, dst: str, score: str, order: Sequence[str]) -> DataFrame:

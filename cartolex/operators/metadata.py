@@ -19,7 +19,7 @@ NO_SUBJECT, SUBJECT_CHARS, HEAD_CHARS, TITLE_LINES, TITLE_LEAST, TITLE_CHARS = "
 def kind(filename: Column, content: Column, as_of_year: Column) -> Column:
     """Struct of type, number and year: by content, else by file name, else unknown."""
     head = F.substring(F.coalesce(content, F.lit("")), 1, HEAD_CHARS)
-    made = lambda t, n, y: F.struct(F.lit(t).alias("type"), n.alias("number"), y.cast("int").alias("year"))
+    made = lambda t, n, y: F.struct(F.lit(t).alias("type"), n.alias("number"), y.try_cast("int").alias("year"))
     out = None
     for name, pattern in CONTENT_PATTERNS.items():
         flagged = "(?iuUd)" + pattern
@@ -30,7 +30,7 @@ def kind(filename: Column, content: Column, as_of_year: Column) -> Column:
         out = F.when(head.rlike(flagged), found) if out is None else out.when(head.rlike(flagged), found)
     for name in CONTENT_PATTERNS:
         digits, year = F.regexp_extract(filename, r"(?U)(\d+)", 1), F.regexp_extract(filename, r"(?U)((?:19|20)\d{2})", 1)
-        named = made(name, F.when(digits != "", digits).otherwise("unknown"), F.when(year != "", year.cast("int")).otherwise(as_of_year))
+        named = made(name, F.when(digits != "", digits).otherwise("unknown"), F.when(year != "", year.try_cast("int")).otherwise(as_of_year))
         out = out.when(F.lower(filename).contains(name.lower()), named)
     return out.otherwise(made("Unknown", F.lit("unknown"), as_of_year))
 
@@ -57,9 +57,11 @@ def document_id(kind_name: Column, number: Column, year: Column) -> Column:
 
 
 def documents(pages: DataFrame, as_of_year: int = 0) -> DataFrame:
-    """Document records of page records (filename, file_size, page_no, text): one for each file."""
+    """Document records of page records (filename, file_size, page_no, text, and path if names repeat): one for each file."""
     year = F.lit(as_of_year) if as_of_year else F.year(F.current_date())
-    whole = pages.groupBy("filename").agg(
+    named = pages if "path" in pages.columns else pages.withColumn("path", F.col("filename"))
+    whole = named.groupBy("path").agg(
+        F.min("filename").alias("filename"),
         F.first("file_size").alias("file_size"),
         F.count("*").cast("int").alias("pageCount"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_no", "text"))), lambda p: p["text"]), "").alias("fullText"),
@@ -76,6 +78,7 @@ def documents(pages: DataFrame, as_of_year: int = 0) -> DataFrame:
         F.lit("").alias("url"),
         "pageCount",
         "fullText",
+        "path",
         F.create_map(F.lit("filename"), "filename", F.lit("file_size"), F.col("file_size").cast("string")).alias("metadata"),
         F.lit(None).cast("array<float>").alias("fullTextEmbedding"),
     )

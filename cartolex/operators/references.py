@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartolex.functions.text import non_empty, strip
+from cartolex.operators.models import Call, each_item
 from cartolex.schemas import RAW_REFERENCES
 
 _DATE = r"(\d{1,2}[\./]\d{1,2}[\./]\d{2,4})"
@@ -32,9 +33,13 @@ def gate(content: Column, patterns: dict[str, str] | None = None) -> Column:
     return F.coalesce(content.rlike("(?iuU)" + "|".join(f"(?:{p})" for p in (patterns or PATTERNS).values())), F.lit(False))
 
 
-def _reference(kind: str, year: Callable[[Column], Column], article: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    def made(x: Column) -> Column:
-        return F.struct(F.lit("altro" if kind == "articolo" else kind).alias("type"), x["1"].alias("number"), year(x["2"]).alias("year"), article(x["1"]).alias("article"), x["0"].alias("citation"), F.lit(None).cast("string").alias("description"))
+def _find(kind: str, pattern: str) -> Callable[[Column], Column]:
+    groups, none = pattern.replace("(?:", "").replace("(?iuU)", "").count("("), F.lit(None).cast("string")
+
+    def made(cited: Column) -> Column:
+        number = F.regexp_extract(cited, pattern, 1)
+        year = F.nullif(F.regexp_extract(F.regexp_extract(cited, pattern, groups), r"(\d{4})$", 1), F.lit("")) if groups > 1 else none
+        return F.struct(F.lit("altro" if kind == "articolo" else kind).alias("type"), number.alias("number"), year.alias("year"), (number if kind == "articolo" else none).alias("article"), cited.alias("citation"), none.alias("description"))
 
     return made
 
@@ -42,23 +47,26 @@ def _reference(kind: str, year: Callable[[Column], Column], article: Callable[[C
 def rule_extractor(chunks: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
     """The offline default: (chunkId, references) from the patterns, types in their order.
 
-    The number is the first group, the year the last four digits of a date group, if any.
+    Each text is searched once for each pattern; the groups are read from the finds, so patterns may not look beyond
+    them. The number is the first group, the year the last four digits of a date group, if any.
     """
-    content = F.col("content")
     parts = []
     for kind, pattern in (patterns or PATTERNS).items():
         flagged = "(?iuU)" + pattern
-        groups = pattern.replace("(?:", "").count("(")
-        numbers = F.regexp_extract_all(content, F.lit(flagged), 1)
-        whole = F.regexp_extract_all(content, F.lit(flagged), 0)
-        dates = F.regexp_extract_all(content, F.lit(flagged), groups) if groups > 1 else numbers
-        zipped = F.arrays_zip(whole, numbers, dates)
-        year = (lambda d: F.nullif(F.regexp_extract(d, r"(\d{4})$", 1), F.lit(""))) if groups > 1 else (lambda d: F.lit(None).cast("string"))
-        article = (lambda n: n) if kind == "articolo" else (lambda n: F.lit(None).cast("string"))
-        parts.append(F.transform(zipped, _reference(kind, year, article)).cast(RAW_REFERENCES))
+        parts.append(F.transform(F.regexp_extract_all("content", F.lit(flagged), 0), _find(kind, flagged)).cast(RAW_REFERENCES))
     return chunks.select("chunkId", F.concat(*parts).alias("references"))
 
 
+def model_extractor(call: Call, max_concurrent: int | None = 10) -> Extractor:
+    """An extractor that asks ``call`` for each chunk's list of references (dicts of :data:`RAW_REFERENCES`); a chunk whose call fails has none."""
+
+    def extract(chunks: DataFrame) -> DataFrame:
+        said = each_item(chunks, "chunkId", "content", call, RAW_REFERENCES, max_concurrent)
+        return said.where("error is null").select("chunkId", F.col("result").alias("references"))
+
+    return extract
+
+
 def validated_year(year: Column) -> Column:
     """A year of four digits, as given; else the first one inside; else null."""
     bare = strip(year)

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartolex.functions.text import let
+from cartolex.operators.numbering import numbered
+from cartolex.staging import stage
+
 #: BM25 parameters.
 K1, B = 1.2, 0.75
+#: A word, and the folders of a stored index.
+WORD, INDEX_BUCKETS = r"([\p{L}\p{N}_]+)", 64
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -30,7 +36,14 @@ def vector_top_k(rows: DataFrame, key: str, vector: str, query: Sequence[float],
 
 def tokens(text: Column) -> Column:
     """Lower-case words of letters and digits."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}_]+)"), 1)
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), 1)
+
+
+def vector_top_k_of(rows: DataFrame, key: str, vector: str, query: DataFrame, k: int = 5) -> DataFrame:
+    """The ``k`` rows nearest the one vector of ``query`` (one row, one column); nothing if it has no row."""
+    q = query.select(F.col(query.columns[0]).alias("_query")).limit(1)
+    scored = rows.where(F.col(vector).isNotNull()).join(F.broadcast(q)).select(key, cosine(F.col(vector), F.col("_query")).alias("score"))  # q: one row
+    return scored.where("score is not null").orderBy(F.desc("score"), key).limit(k)
 
 
 def _equals(term: str) -> Callable[[Column], Column]:
@@ -43,19 +56,47 @@ def postings(rows: DataFrame, key: str, text: str) -> DataFrame:
     return words.select(F.explode("w").alias("term"), key, "length").groupBy("term", key).agg(F.count("*").alias("tf"), F.first("length").alias("length"))
 
 
+def write_index(rows: DataFrame, key: str, text: str, path: str, buckets: int = INDEX_BUCKETS) -> None:
+    """The inverted index of ``rows`` as a table at ``path``, with the number of texts and their mean length beside it.
+
+    Postings lie in folders by a hash of their term, sorted by term, so a query reads the folders of its
+    terms only, and in them the row groups that hold the term. A term found in a third of all texts is spread over tasks by its texts.
+    """
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
+    made = postings(rows.where(F.col(text).isNotNull()), key, text).withColumn("bucket", bucket)
+    dealt = made.repartition("bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(8)))
+    dealt.sortWithinPartitions("bucket", "term", key).write.partitionBy("bucket").parquet(f"{path}/postings")
+    lengths = rows.where(F.col(text).isNotNull()).select(F.regexp_count(F.lower(text), F.lit(WORD)).alias("length"))
+    lengths.agg(F.count("*").alias("n"), F.avg("length").alias("mean")).write.parquet(f"{path}/stats")
+
+
+def search_index(spark: SparkSession, path: str, key: str, query: str, k: int = 10, buckets: int = INDEX_BUCKETS) -> DataFrame:
+    """The ``k`` rows that fit a query best, from a table of :func:`write_index`."""
+    terms = sorted(set(query.lower().split()))
+    own = spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in terms])).alias("t")).select(F.pmod(F.xxhash64("t"), F.lit(buckets)).cast("int"))
+    few = spark.read.parquet(f"{path}/postings").where(F.col("bucket").isin([r[0] for r in own.collect()]))  # one row a query term
+    stats = spark.read.parquet(f"{path}/stats").first()
+    return bm25_from_index(few, key, query, stats["n"], stats["mean"] or 1.0, k)
+
+
 def bm25(rows: DataFrame, key: str, text: str, query: str, k: int = 10) -> DataFrame:
-    """The ``k`` rows that fit a query best, from the texts themselves: only the query's terms are ever shuffled."""
+    """The ``k`` rows that fit a query best, from the texts themselves.
+
+    Texts are read and cut into words once; lengths and counts of the query's terms are staged, and both
+    the corpus's figures and the scores come from that narrow table.
+    """
     terms = sorted(set(query.lower().split()))
-    words = rows.where(F.col(text).isNotNull()).select(key, tokens(F.col(text)).alias("w"))
-    tf = F.struct(*[F.size(F.filter("w", _equals(t))).alias(f"t{i}") for i, t in enumerate(terms)])
-    counted = words.select(key, F.size("w").alias("length"), tf.alias("tf"))
-    stats = counted.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), *[F.count_if(F.col(f"tf.t{i}") > 0).alias(f"d{i}") for i in range(len(terms))])
+    counts = lambda w: F.struct(F.size(w).alias("length"), *[F.size(F.filter(w, _equals(t))).alias(f"t{i}") for i, t in enumerate(terms)])
+    words = rows.where(F.col(text).isNotNull()).select(key, let(tokens(F.col(text)), counts).alias("c"))
+    counted = stage(words.select(key, "c.*"), "term_counts")
+    stats = counted.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), *[F.count_if(F.col(f"t{i}") > 0).alias(f"d{i}") for i in range(len(terms))])
+    hit = counted.where(F.greatest(F.lit(0), F.lit(0), *[F.col(f"t{i}") for i in range(len(terms))]) > 0)
     score = F.lit(0.0)
     for i in range(len(terms)):
         idf = F.log(1 + (F.col("n") - F.col(f"d{i}") + 0.5) / (F.col(f"d{i}") + 0.5))
-        f = F.col(f"tf.t{i}")
+        f = F.col(f"t{i}")
         score = score + idf * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("length") / F.col("mean")))
-    return counted.join(F.broadcast(stats)).select(key, score.alias("score")).where("score > 0").orderBy(F.desc("score"), key).limit(k)  # stats: one row
+    return hit.join(F.broadcast(stats)).select(key, score.alias("score")).where("score > 0").orderBy(F.desc("score"), key).limit(k)  # stats: one row
 
 
 def bm25_from_index(index: DataFrame, key: str, query: str, n_docs: int, mean_length: float, k: int = 10) -> DataFrame:
@@ -81,19 +122,10 @@ def most_linked(edge_rows: DataFrame, k: int = 20) -> DataFrame:
 def systematic_sample(rows: DataFrame, order: Sequence[str], every: int, limit: int = 0) -> DataFrame:
     """Every ``every``-th of the first ``limit`` rows in order, from the first on; 0 and 1 mean all.
 
-    Row numbers come from counts of range partitions, so no single task sees all rows.
+    ``order`` must tell any two rows apart. No task sees more than one range of rows; see :func:`numbered`.
     """
     if limit:
         rows = rows.orderBy(*order).limit(limit)
     if every <= 1:
         return rows
-    parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
-    sizes = parts.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_m").alias("_first")).collect()  # one row a partition
-    ahead, seen = {}, 0
-    for r in sorted(sizes, key=lambda r: r["_p"]):
-        ahead[r["_p"]] = (seen, r["_first"])
-        seen += r["_n"]
-    if not ahead:
-        return rows
-    offset = F.create_map(*[F.lit(x) for p, (n, first) in ahead.items() for x in (p, n - first)])
-    return parts.where((F.col("_m") + F.element_at(offset, F.col("_p"))) % every == 0).drop("_p", "_m")
+    return numbered(rows, order, name="_place").where(F.col("_place") % every == 0).drop("_place")

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartolex.functions.text import strip
+from cartolex.functions.text import let, strip
 
 
 @dataclass(frozen=True)
@@ -57,7 +57,6 @@ def section_array(text: Column, profile: HeaderProfile = ITALIAN, lines_per_page
     """
     lines = F.transform(F.split(text, "\n", -1), lambda s, i: F.struct((i + 1).alias("n"), strip(s).alias("s")))
     kinds = F.transform(lines, lambda x: F.struct(x["n"].alias("n"), x["s"].alias("s"), F.when(x["s"] != "", profile.kind(x["s"])).alias("kind")))
-    heads = F.filter(kinds, lambda x: x["kind"].isNotNull())
 
     def of_doc(all_lines: Column, all_heads: Column) -> Column:
         def one(h: Column, i: Column) -> Column:
@@ -81,8 +80,8 @@ def section_array(text: Column, profile: HeaderProfile = ITALIAN, lines_per_page
             ),
         )
 
-    held = F.transform(F.array(F.struct(kinds.alias("l"), heads.alias("h"))), lambda x: of_doc(x["l"], x["h"]))
-    return F.coalesce(F.get(held, F.lit(0)), F.array().cast("array<struct<position:int,sectionNumber:string,title:string,content:string,sectionType:string,level:int,pageNumber:int>>"))
+    found = let(let(kinds, lambda k: F.struct(k.alias("l"), F.filter(k, lambda x: x["kind"].isNotNull()).alias("h"))), lambda x: of_doc(x["l"], x["h"]))
+    return F.coalesce(found, F.array().cast("array<struct<position:int,sectionNumber:string,title:string,content:string,sectionType:string,level:int,pageNumber:int>>"))
 
 
 def without_toc(found: Column, start_page: Column, end_page: Column) -> Column:
@@ -91,25 +90,46 @@ def without_toc(found: Column, start_page: Column, end_page: Column) -> Column:
     return F.filter(found, lambda x: ~inside(x))
 
 
-def parent_position(found: Column, section: Column, i: Column) -> Column:
-    """The position of the last earlier section of a lower level, if that level is just one less; else null."""
-    lower = F.filter(F.slice(found, F.lit(1), i), lambda x: x["level"] < section["level"])
-    last = F.get(lower, F.size(lower) - 1)
-    return F.when(last["level"] == section["level"] - 1, last["position"])
+def parent_positions(found: Column) -> Column:
+    """For each section the position of the last earlier one of a lower level, if that level is just one less; else null.
+
+    One pass with a stack of (level, position) whose levels rise: a section takes off what is not lower than itself.
+    """
+    start = F.struct(F.array().cast("array<struct<level:int,position:int>>").alias("open"), F.array().cast("array<int>").alias("parents"))
+
+    def step(acc: Column, x: Column) -> Column:
+        lower = F.filter(acc["open"], lambda o: o["level"] < x["level"])
+        top = F.get(lower, F.size(lower) - 1)
+        own = F.struct(x["level"].cast("int").alias("level"), x["position"].cast("int").alias("position"))
+        parent = F.when(top["level"] == x["level"] - 1, top["position"])
+        return F.struct(F.concat(lower, F.array(own)).alias("open"), F.concat(acc["parents"], F.array(parent)).alias("parents"))
+
+    return F.aggregate(F.transform(found, lambda x: F.struct(x["level"].alias("level"), x["position"].alias("position"))), start, step, lambda acc: acc["parents"])
+
+
+def hierarchy(found: Column) -> Column:
+    """Each section ``s`` with its ``order``, the position of its ``parent``, and that of the one ``after`` it."""
+
+    def linked(held: Column) -> Column:
+        after = lambda i: F.get(held["found"], i + 1)["position"]
+        return F.transform(held["found"], lambda x, i: F.struct(x.alias("s"), i.alias("order"), F.get(held["parents"], i).alias("parent"), after(i).alias("after")))
+
+    return let(let(found, lambda f: F.struct(f.alias("found"), parent_positions(f).alias("parents"))), linked)
 
 
 def sections(documents: DataFrame, tocs: DataFrame | None = None, profile: HeaderProfile = ITALIAN, lines_per_page: int = 50) -> DataFrame:
     """Section records of document records (documentId, fullText), with order and parents.
 
-    ``tocs`` takes out the sections of tables of contents; ids keep the numbers from before.
+    ``tocs`` takes out the sections of tables of contents; ids keep the numbers from before. ``nextSectionId``
+    is the document's following section, null for its last, so that no later step has to order sections again.
     """
     rows = documents.select("documentId", section_array(F.col("fullText"), profile, lines_per_page).alias("found"))
     if tocs is not None:
         rows = rows.join(tocs.select("documentId", "startPage", "endPage"), "documentId", "left")
         rows = rows.select("documentId", without_toc(F.col("found"), F.col("startPage"), F.col("endPage")).alias("found"))
-    linked = F.transform("found", lambda x, i: F.struct(x.alias("s"), i.alias("order"), parent_position(F.col("found"), x, i).alias("parent")))
+
     key = lambda at: F.concat(F.col("documentId"), F.lit("_SEC_"), at.cast("string"))
-    x = rows.select("documentId", F.explode(linked).alias("x"))
+    x = rows.select("documentId", F.explode(hierarchy(F.col("found"))).alias("x"))
     return x.select(
         key(F.col("x.s.position")).alias("sectionId"),
         "documentId",
@@ -117,4 +137,5 @@ def sections(documents: DataFrame, tocs: DataFrame | None = None, profile: Heade
         F.col("x.order").cast("int").alias("order"),
         key(F.col("x.parent")).alias("parentSectionId"),
         F.lit(None).cast("array<float>").alias("embedding"),
+        key(F.col("x.after")).alias("nextSectionId"),
     )

@@ -27,11 +27,11 @@ def tocs(documents: DataFrame, pages: DataFrame, kind: str = "Circolare") -> Dat
     """Table-of-contents records of documents of one type with two pages or more.
 
     The second page names the page where the text begins; that page must bear it out. ``pages`` has
-    (documentId, page_no, text). A page number of 0 counts as the last page.
+    (documentId, page_no, text). A page number of 0 counts as the last page, one beyond 32 bits as none.
     """
     few = documents.where((F.col("type") == kind) & (F.col("pageCount") >= 2)).select("documentId", "pageCount")
     second = pages.where("page_no = 2").join(few, "documentId").select("documentId", "pageCount", F.col("text").alias("second"))
-    page_of = lambda pattern: F.when(F.col("second").rlike(pattern), F.regexp_extract("second", pattern, 1).cast("int"))
+    page_of = lambda pattern: F.when(F.col("second").rlike(pattern), F.regexp_extract("second", pattern, 1).try_cast("int"))
     named = second.withColumn("p1", page_of(FOREWORD)).withColumn("p2", page_of(FIRST_SECTION))
     wanted = named.select("documentId", F.explode(F.array(*[F.struct(F.lit(k).alias("method"), F.col(p).alias("p"), F.when(F.col(p) == 0, F.col("pageCount")).otherwise(F.col(p)).alias("page_no")) for k, p in ((1, "p1"), (2, "p2"))])).alias("w")).select("documentId", "w.*").where("p is not null")
     seen = wanted.join(pages.select("documentId", "page_no", F.col("text").alias("there")), ["documentId", "page_no"])
@@ -65,17 +65,17 @@ _ENTRIES = "array<struct<section_number:string,title:string,page_number:int>>"
 
 
 def plain_entries(raw: Column) -> Column:
-    """Entries of lines ``number title page``."""
+    """Entries of lines ``number title page``; a page beyond 32 bits is null."""
     lines = F.filter(F.transform(F.split(raw, "\n", -1), strip), lambda s: s.rlike(PLAIN_ENTRY))
     part = lambda s, k: F.regexp_extract(s, PLAIN_ENTRY, k)
-    return F.transform(lines, lambda s: F.struct(part(s, 1).alias("section_number"), strip(F.regexp_replace(part(s, 2), r"[. ]+$", "")).alias("title"), part(s, 3).cast("int").alias("page_number")))
+    return F.transform(lines, lambda s: F.struct(part(s, 1).alias("section_number"), strip(F.regexp_replace(part(s, 2), r"[. ]+$", "")).alias("title"), part(s, 3).try_cast("int").alias("page_number")))
 
 
 def dotted_entries(raw: Column) -> Column:
-    """Entries with dotted leaders, numbered or not; then named ones whose number isn't there yet."""
+    """Entries with dotted leaders, numbered or not; then named ones whose number isn't there yet. A page beyond 32 bits is null."""
     every = lambda pattern, k: F.regexp_extract_all(raw, F.lit(pattern), k)
-    first = F.transform(F.arrays_zip(every(DOTTED_ENTRY, 1), every(DOTTED_ENTRY, 2), every(DOTTED_ENTRY, 3)), lambda x: F.struct(F.when(x["0"] != "", F.regexp_replace(x["0"], r"\.+$", "")).otherwise(F.upper(strip(x["1"]))).alias("section_number"), strip(x["1"]).alias("title"), x["2"].cast("int").alias("page_number")))
-    named = F.transform(F.arrays_zip(every(NAMED_ENTRY, 1), every(NAMED_ENTRY, 2)), lambda x: F.struct(strip(x["0"]).alias("section_number"), strip(x["0"]).alias("title"), x["1"].cast("int").alias("page_number")))
+    first = F.transform(F.arrays_zip(every(DOTTED_ENTRY, 1), every(DOTTED_ENTRY, 2), every(DOTTED_ENTRY, 3)), lambda x: F.struct(F.when(x["0"] != "", F.regexp_replace(x["0"], r"\.+$", "")).otherwise(F.upper(strip(x["1"]))).alias("section_number"), strip(x["1"]).alias("title"), x["2"].try_cast("int").alias("page_number")))
+    named = F.transform(F.arrays_zip(every(NAMED_ENTRY, 1), every(NAMED_ENTRY, 2)), lambda x: F.struct(strip(x["0"]).alias("section_number"), strip(x["0"]).alias("title"), x["1"].try_cast("int").alias("page_number")))
     start = first.cast(_ENTRIES)
     add = lambda acc, x: F.when(F.exists(acc, lambda y: y["section_number"] == x["section_number"]), acc).otherwise(F.concat(acc, F.array(x)))
     return F.aggregate(named.cast(_ENTRIES), start, add)

@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from cartolex.functions.text import normalized_id, normalized_name, strip
+from cartolex.functions.text import let, normalized_id, normalized_name, strip
+from cartolex.operators.models import Call, each_item
 from cartolex.schemas import ANALYSIS_KEYWORDS, ANALYSIS_TOPICS
+from cartolex.staging import stage
 
 #: Shortest section that is analysed (a fixed value).
 LEAST_CHARS = 50
@@ -23,23 +26,55 @@ def gate(content: Column) -> Column:
     return F.coalesce(F.length(strip(content)) >= LEAST_CHARS, F.lit(False))
 
 
+def word_counts(text: Column, least: int = LEAST_WORD) -> Column:
+    """``array<struct<word, n>>``: a text's distinct words of ``least`` letters or more; words are sorted once and runs measured."""
+    words = F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)(\w+)"), 1), lambda w: F.length(w) >= least)
+
+    def runs(s: Column) -> Column:
+        begins = F.filter(F.sequence(F.lit(0), F.greatest(F.size(s) - 1, F.lit(0))), lambda i: (F.size(s) > 0) & ((i == 0) | (F.get(s, i) != F.get(s, i - 1))))
+        return let(begins, lambda at: F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("word"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("n"))))
+
+    return let(F.sort_array(words), runs)
+
+
 def lexicon_extractor(lexicon: dict[str, tuple[str, str]], keywords: int = 5) -> Extractor:
-    """The offline default: topics whose pattern a section holds, and its most frequent long words.
+    """The offline default: topics whose pattern a section holds, and its best long words by TF-IDF.
 
-    ``lexicon`` maps a topic's name to (description, pattern). Scores are shares between 0 and 1.
+    ``lexicon`` maps a topic's name to (description, pattern). A topic's score is its share of all topics'
+    finds, a keyword's its TF-IDF over the section's highest. Words are counted inside the row; only (section, word,
+    count) rows meet the corpus's document frequencies, and each task keeps a section's best before they are shuffled.
     """
 
-    def extract(sections: DataFrame) -> DataFrame:
-        text = F.lower("content")
+    def topics_of(text: Column) -> Column:
         hits = [F.struct(F.lit(name).alias("name"), F.lit(about).alias("description"), F.regexp_count(text, F.lit("(?iuU)" + pattern)).cast("double").alias("n")) for name, (about, pattern) in lexicon.items()]
-        found = F.filter(F.array(*hits), lambda h: h["n"] > 0) if hits else F.array()
-        total = F.aggregate(found, F.lit(0.0), lambda a, h: a + h["n"]) if hits else F.lit(1.0)
-        topics = F.transform(found, lambda h: F.struct(h["name"], h["description"], (h["n"] / total).alias("relevance_score"))) if hits else F.array()
-        long_words = F.filter(F.regexp_extract_all(text, F.lit(r"(?U)(\w+)"), 1), lambda w: F.length(w) >= LEAST_WORD)
-        counted = F.transform(F.array_distinct("w"), lambda w: F.struct((-F.size(F.filter("w", lambda v: v == w))).alias("n"), w.alias("word")))
-        top = F.slice(F.array_sort(counted), 1, keywords)
-        scored = F.transform(top, lambda x: F.struct(x["word"].alias("keyword"), (x["n"] / F.get(top, F.lit(0))["n"]).cast("double").alias("relevance_score")))
-        return sections.withColumn("w", long_words).select("sectionId", topics.cast(ANALYSIS_TOPICS).alias("topics"), scored.cast(ANALYSIS_KEYWORDS).alias("keywords"))
+        if not hits:
+            return F.array().cast(ANALYSIS_TOPICS)
+        shares = lambda x: F.transform(x["found"], lambda h: F.struct(h["name"], h["description"], (h["n"] / x["total"]).alias("relevance_score")))
+        summed = lambda found: F.struct(found.alias("found"), F.aggregate(found, F.lit(0.0), lambda a, h: a + h["n"]).alias("total"))
+        return let(let(F.filter(F.array(*hits), lambda h: h["n"] > 0), summed), shares).cast(ANALYSIS_TOPICS)
+
+    def extract(sections: DataFrame) -> DataFrame:
+        counted = stage(sections.select("sectionId", topics_of(F.lower("content")).alias("topics"), word_counts(F.col("content")).alias("words")), "section_words")
+        tf = counted.select("sectionId", F.explode("words").alias("w")).select("sectionId", "w.word", "w.n")
+        df = tf.groupBy("word").agg(F.count("*").alias("df"))
+        size = counted.agg(F.count("*").alias("sections"))
+        weighed = tf.join(df, "word").join(F.broadcast(size)).select("sectionId", "word", (F.col("n") * (F.log((1 + F.col("sections")) / (1 + F.col("df"))) + 1)).alias("weight"))  # size: one row
+        place = F.row_number().over(Window.partitionBy("sectionId").orderBy(F.desc("weight"), "word"))
+        best = weighed.withColumn("place", place).where(F.col("place") <= keywords)
+        ranked = best.groupBy("sectionId").agg(F.sort_array(F.collect_list(F.struct("place", "word", "weight"))).alias("b"))
+        scored = F.transform("b", lambda x: F.struct(x["word"].alias("keyword"), (x["weight"] / F.get("b", F.lit(0))["weight"]).alias("relevance_score"))).cast(ANALYSIS_KEYWORDS)
+        return counted.join(ranked, "sectionId", "left").select("sectionId", "topics", F.coalesce(scored, F.array().cast(ANALYSIS_KEYWORDS)).alias("keywords"))
+
+    return extract
+
+
+def model_extractor(call: Call, max_concurrent: int | None = 10) -> Extractor:
+    """An extractor that asks ``call`` for each section's dict of topics and keywords; a section whose call fails has no analysis."""
+
+    def extract(sections: DataFrame) -> DataFrame:
+        said = each_item(sections, "sectionId", "content", call, f"struct<topics:{ANALYSIS_TOPICS},keywords:{ANALYSIS_KEYWORDS}>", max_concurrent)
+        none = lambda c, kind: F.coalesce(F.col(f"result.{c}"), F.array().cast(kind)).alias(c)
+        return said.where("error is null").select("sectionId", none("topics", ANALYSIS_TOPICS), none("keywords", ANALYSIS_KEYWORDS))
 
     return extract
 

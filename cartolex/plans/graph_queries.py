@@ -34,6 +34,28 @@ def references_by_type(g: Graph) -> DataFrame:
     return g.nodes["LegalReference"].groupBy("type").count().orderBy(F.desc("count"), "type")
 
 
+def chunk_scan(g: Graph, limit: int = 0) -> DataFrame:
+    """Chunks in the order of document, section and place; a limit of 0 means all."""
+    rows = g.nodes["Chunk"].select("chunkId", "documentId", "sectionId", "content", "chunkIndex").orderBy("documentId", "sectionId", "chunkIndex")
+    return rows.limit(limit) if limit else rows
+
+
+def section_scan(g: Graph, limit: int = 0) -> DataFrame:
+    """Sections in the order of document and place; a limit of 0 means all."""
+    rows = g.nodes["Section"].select("sectionId", "documentId", "sectionNumber", "title", "content", "order").orderBy("documentId", "order")
+    return rows.limit(limit) if limit else rows
+
+
+def index_chunks(g: Graph, path: str) -> None:
+    """The text index of all chunks, stored once at ``path``."""
+    search.write_index(g.nodes["Chunk"], "chunkId", "content", path)
+
+
+def indexed_search(g: Graph, path: str, query: str, k: int = 10) -> DataFrame:
+    """Like :func:`keyword_search`, from a stored index: no text is read."""
+    return search.search_index(g.edges.sparkSession, path, "chunkId", query, k)
+
+
 def chunks_with_references(g: Graph) -> DataFrame:
     """How many chunks cite anything."""
     return _edges(g, "REFERENCES_LAW").agg(F.count_distinct("src").alias("chunks"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,108 +13,192 @@ from cartolex.config import EngineConfig
 from cartolex.operators import chunks as chunking
 from cartolex.operators import embed, graph, link, metadata, references, topics, toc
 from cartolex.operators import sections as sectioning
+from cartolex.staging import delete, stage
 
 NODE_KEYS = {"Document": "documentId", "TableOfContents": "tocId", "Section": "sectionId", "Chunk": "chunkId", "LegalReference": "referenceId", "Topic": "topicId", "Keyword": "keywordId"}
 
 
 @dataclass
 class Graph:
-    """Node tables by label, and one table of edges."""
+    """Node tables by label, one table of edges, and the counts of a build (one row; see :func:`counts`)."""
 
     nodes: dict[str, DataFrame]
     edges: DataFrame
+    counts: DataFrame | None = None
 
 
 def structure(pages: DataFrame, config: EngineConfig | None = None, profile: sectioning.HeaderProfile = sectioning.ITALIAN) -> dict[str, DataFrame]:
-    """Document, TableOfContents, Section and Chunk records of page records.
+    """Document, TableOfContents, Section and Chunk records of page records, each staged before the next reads it.
 
-    Files that map to one document key are merged: the last file by name wins, as a whole.
+    Files that map to one document key are merged: the last file by name (then path) wins, as a whole. ``pages``
+    is read twice, so it should be a table; :func:`cartolex.sources.files.pages` stages what it decodes.
     """
     config = config or EngineConfig()
-    found = metadata.documents(pages, config.as_of_year).withColumn("_file", F.col("metadata")["filename"])
-    docs = graph.merge_last(found, ["documentId"], ["_file"])
-    own = found.groupBy("documentId").agg(F.max("_file").alias("filename"))
-    keyed = pages.join(own, "filename").select("documentId", "page_no", "text")
-    tocs = toc.tocs(docs, keyed)
-    sections = sectioning.sections(docs, tocs, profile, config.lines_per_page)
-    chunks = chunking.chunk_sections(sections, config.chunk_size, config.chunk_overlap)
+    pages = pages if "path" in pages.columns else pages.withColumn("path", F.col("filename"))
+    found = metadata.documents(pages, config.as_of_year).withColumn("_file", F.col("metadata")["filename"]).withColumn("_path", F.col("path"))
+    docs = stage(graph.merge_last(found, ["documentId"], ["_file", "_path"]), "documents")
+    keyed = pages.join(docs.select("documentId", "path"), "path").select("documentId", "page_no", "text")
+    tocs = stage(toc.tocs(docs, keyed), "tocs")
+    sections = stage(sectioning.sections(docs, tocs, profile, config.lines_per_page), "sections")
+    chunks = stage(chunking.chunk_sections(sections, config.chunk_size, config.chunk_overlap), "chunks")
     return {"Document": docs, "TableOfContents": tocs, "Section": sections, "Chunk": chunks}
 
 
 def structural_edges(nodes: dict[str, DataFrame]) -> DataFrame:
-    """HAS_TOC, HAS_SECTION, HAS_SUBSECTION, HAS_CHUNK, NEXT_SECTION and NEXT_CHUNK; a section belongs to its document even when it has a parent."""
+    """HAS_TOC, HAS_SECTION, HAS_SUBSECTION, HAS_CHUNK, NEXT_SECTION and NEXT_CHUNK; a section belongs to its document even when it has a parent.
+
+    Records have unique keys and name their successors, so all of it is projections: nothing is sorted or shuffled.
+    """
     tocs, sections, chunks = nodes["TableOfContents"], nodes["Section"], nodes["Chunk"]
     parts = [
-        graph.edges("HAS_TOC", tocs, "documentId", "tocId"),
-        graph.edges("HAS_SECTION", sections, "documentId", "sectionId", "order"),
-        graph.edges("HAS_SUBSECTION", sections, "parentSectionId", "sectionId", "order"),
-        graph.edges("HAS_CHUNK", chunks, "sectionId", "chunkId", "chunkIndex"),
-        graph.next_edges("NEXT_SECTION", sections, "sectionId", "documentId", "order"),
-        graph.next_edges("NEXT_CHUNK", chunks, "chunkId", "sectionId", "chunkIndex"),
+        ("HAS_TOC", tocs, "documentId", "tocId", None),
+        ("HAS_SECTION", sections, "documentId", "sectionId", "order"),
+        ("HAS_SUBSECTION", sections, "parentSectionId", "sectionId", "order"),
+        ("HAS_CHUNK", chunks, "sectionId", "chunkId", "chunkIndex"),
+        ("NEXT_SECTION", sections, "sectionId", "nextSectionId", "order"),
+        ("NEXT_CHUNK", chunks, "chunkId", "nextChunkId", "chunkIndex"),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def build(pages: DataFrame, config: EngineConfig | None = None, profile: sectioning.HeaderProfile = sectioning.ITALIAN, reference_extractor: references.Extractor = references.rule_extractor, topic_extractor: topics.Extractor | None = None, embedder: embed.Embedder | None = None) -> Graph:
-    """All node and edge tables of page records. Models left out: rules for references, none for topics and vectors."""
+    return reduce(DataFrame.unionByName, [graph.edges(*p, distinct=False) for p in parts])
+
+
+def cite(chunks: DataFrame, docs: DataFrame, extractor: references.Extractor = references.rule_extractor, config: EngineConfig | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """References of chunks: their staged occurrences, LegalReference records, and edges REFERENCES_LAW and REFERS_TO. Each chunk that passes the gate meets the extractor once."""
+    refs = stage(references.references(chunks, extractor), "references")
+    properties = ["type", "citation", "number", "year", "article", "description"]
+    nodes = stage(graph.merge_last(refs, ["referenceId"], ["sourceChunkId", "position"], properties).withColumnRenamed("article", "articleNumber"), "legal_references")
+    cited = link.categorise(nodes, docs, (config or EngineConfig()).canonical)
+    return refs, nodes, graph.edges("REFERENCES_LAW", refs, "sourceChunkId", "referenceId").unionByName(link.refers_to(cited))
+
+
+def discuss(sections: DataFrame, extractor: topics.Extractor) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Topics and keywords of sections: their occurrences, Topic and Keyword records, and edges DISCUSSES_TOPIC and DISCUSSES_KEYWORD. Each section meets the extractor once."""
+    found = stage(topics.analyses(sections, extractor), "analyses")
+    t, k, order = topics.topic_rows(found), topics.keyword_rows(found), ["sectionId", "position"]
+    themes = graph.merge_first(t, ["topicId"], order, ["name", "description", "normalizedName"])
+    words = graph.merge_first(k, ["keywordId"], order, ["name", "normalizedName"])
+    edges = graph.scored_edges("DISCUSSES_TOPIC", t, "sectionId", "topicId", "relevanceScore", ["position"])
+    return t, k, themes, words, edges.unionByName(graph.scored_edges("DISCUSSES_KEYWORD", k, "sectionId", "keywordId", "relevanceScore", ["position"]))
+
+
+def counts(refs: DataFrame, t: DataFrame | None = None, k: DataFrame | None = None, known: Graph | None = None) -> DataFrame:
+    """One row: occurrences of references; topics and keywords that ``known`` lacks; and occurrences of both."""
+    out = refs.agg(F.count("*").alias("references"))
+    for rows, key, label, name in ((t, "topicId", "Topic", "topics"), (k, "keywordId", "Keyword", "keywords")):
+        if rows is None:
+            out = out.withColumn(f"new_{name}", F.lit(0).cast("long")).withColumn(f"{name}_occurrences", F.lit(0).cast("long"))
+            continue
+        new = rows.select(key).distinct()
+        if known is not None and label in known.nodes:
+            new = new.join(known.nodes[label].select(key), key, "left_anti")
+        out = out.join(new.agg(F.count("*").alias(f"new_{name}"))).join(rows.agg(F.count("*").alias(f"{name}_occurrences")))
+    return out.select("references", "new_topics", "new_keywords", (F.col("topics_occurrences") + F.col("keywords_occurrences")).alias("occurrences"))
+
+
+def build(pages: DataFrame, config: EngineConfig | None = None, profile: sectioning.HeaderProfile = sectioning.ITALIAN, reference_extractor: references.Extractor = references.rule_extractor, topic_extractor: topics.Extractor | None = None, embedder: embed.Embedder | None = None, known: Graph | None = None) -> Graph:
+    """All node and edge tables of page records. Models left out: rules for references, none for topics and vectors.
+
+    What a model or a heavy step makes is staged once, and nodes and edges both come from there, so they agree
+    even where a model wouldn't answer twice alike. ``known`` is an earlier graph, for the counts of what is new.
+    """
     config = config or EngineConfig()
     nodes = structure(pages, config, profile)
     edges = structural_edges(nodes)
     sections, chunks = nodes["Section"], nodes["Chunk"]
-
-    refs = references.references(chunks, reference_extractor)
-    order = ["sourceChunkId", "position"]
-    nodes["LegalReference"] = graph.merge_last(refs, ["referenceId"], order, ["type", "citation", "number", "year", "article", "description"]).withColumnRenamed("article", "articleNumber")
-    cited = link.categorise(nodes["LegalReference"], nodes["Document"], config.canonical)
-    edges = edges.unionByName(graph.edges("REFERENCES_LAW", refs, "sourceChunkId", "referenceId")).unionByName(link.refers_to(cited))
-
+    refs, nodes["LegalReference"], more = cite(chunks, nodes["Document"], reference_extractor, config)
+    edges = edges.unionByName(more)
+    t = k = None
     if topic_extractor is not None:
-        found = topics.analyses(sections, topic_extractor)
-        t, k = topics.topic_rows(found), topics.keyword_rows(found)
-        order = ["sectionId", "position"]
-        nodes["Topic"] = graph.merge_first(t, ["topicId"], order, ["name", "description", "normalizedName"])
-        nodes["Keyword"] = graph.merge_first(k, ["keywordId"], order, ["name", "normalizedName"])
-        edges = edges.unionByName(graph.scored_edges("DISCUSSES_TOPIC", t, "sectionId", "topicId", "relevanceScore", ["position"]))
-        edges = edges.unionByName(graph.scored_edges("DISCUSSES_KEYWORD", k, "sectionId", "keywordId", "relevanceScore", ["position"]))
-
+        t, k, nodes["Topic"], nodes["Keyword"], more = discuss(sections, topic_extractor)
+        edges = edges.unionByName(more)
     if embedder is not None:
         children = edges.where("type = 'HAS_SUBSECTION'")
         context = embed.chunk_context(chunks, sections, nodes["Document"], children, config.embed_scope)
-        vectors = embed.embed(context.select("chunkId", embed.enriched_text().alias("enriched")), "chunkId", "enriched", embedder, config.embedding_batch)
-        nodes["Chunk"] = embed.set_embeddings(chunks, vectors)
-    return Graph(nodes, edges)
+        vectors = embed.embed(context.select("chunkId", embed.enriched_text().alias("enriched")), "chunkId", "enriched", embedder, config.embedding_batch, config.max_concurrent)
+        nodes["Chunk"] = embed.set_embeddings(chunks, stage(vectors, "vectors"))
+    nodes["Document"] = nodes["Document"].drop("path")
+    nodes["Section"], nodes["Chunk"] = sections.drop("nextSectionId"), nodes["Chunk"].drop("nextChunkId")
+    return Graph(nodes, edges, counts(refs, t, k, known))
+
+
+def merged(old: Graph, new: Graph, keep_stale: bool = False) -> Graph:
+    """Both graphs as one: a key in both has ``new``'s record, but a topic or keyword ``old``'s; a scored edge has its last score.
+
+    Sections, chunks and tables of contents that a document had before and no longer has go, with their
+    edges; ``keep_stale`` keeps them, as plain upserts would.
+    """
+    again = new.nodes["Document"].select("documentId")
+    nodes, gone = {}, None
+    for label in dict.fromkeys([*old.nodes, *new.nodes]):
+        key, a, b = NODE_KEYS[label], old.nodes.get(label), new.nodes.get(label)
+        if a is None or b is None:
+            nodes[label] = b if a is None else a
+            continue
+        first = label in ("Topic", "Keyword")
+        kept = a if first else a.join(b.select(key), key, "left_anti")
+        if label in ("TableOfContents", "Section", "Chunk") and not keep_stale:
+            stale = kept.join(again, "documentId", "left_semi").select(F.col(key).alias("id"))
+            gone = stale if gone is None else gone.union(stale)
+            kept = kept.join(again, "documentId", "left_anti")
+        nodes[label] = kept.unionByName(b.join(a.select(key), key, "left_anti") if first else b, allowMissingColumns=True)
+    edges = old.edges
+    if gone is not None:
+        gone = stage(gone, "stale")
+        edges = edges.join(gone.withColumnRenamed("id", "src"), "src", "left_anti").join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti")
+    scored = F.col("relevanceScore").isNotNull()
+    every = edges.withColumn("_age", F.lit(0)).unionByName(new.edges.withColumn("_age", F.lit(1)))
+    last = every.groupBy("type", "src", "dst", F.when(scored, F.lit(None)).otherwise(F.col("order")).alias("order")).agg(F.max_by("relevanceScore", "_age").alias("relevanceScore"))
+    return Graph(nodes, last.select("type", "src", "dst", "order", "relevanceScore"), new.counts)
 
 
 def write(graph_tables: Graph, target: str, overwrite: bool = False) -> None:
     """All tables under ``target``, or none: they are written beside it and moved there at the end.
 
-    Full texts and dates of publication are not stored, and maps are stored as JSON. Edges are
-    partitioned by type.
+    With ``overwrite`` an older graph is moved aside first, moved back if the new one can't take its place, and
+    deleted only afterwards, so one whole graph is there at any time but between two renames, and then both are
+    beside it. Full texts and dates of publication are not stored, and maps are stored as JSON. Nodes are sorted by their keys
+    within files, so that a lookup by key skips row groups; edges are partitioned by type and sorted by source.
     """
     spark = graph_tables.edges.sparkSession
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(path(target)) and not overwrite:
         raise FileExistsError(target)
-    staging = f"{target}.staging-{uuid.uuid4().hex}"
+    run = uuid.uuid4().hex
+    staging, aside = f"{target}.staging-{run}", f"{target}.old-{run}"
     try:
         for label, df in graph_tables.nodes.items():
-            stored = df.drop("fullText", "publicationDate", "_file")
+            stored = df.drop("fullText", "publicationDate")
             for name, kind in stored.dtypes:
                 if kind.startswith("map"):
                     stored = stored.withColumn(name, F.to_json(name))
-            stored.write.parquet(f"{staging}/nodes/{label}")
-        graph_tables.edges.write.partitionBy("type").parquet(f"{staging}/edges")
-        if overwrite:
-            fs.delete(path(target), True)
-        fs.rename(path(staging), path(target))
+            stored.sortWithinPartitions(NODE_KEYS[label]).write.parquet(f"{staging}/nodes/{label}")
+        graph_tables.edges.sortWithinPartitions("type", "src").write.partitionBy("type").parquet(f"{staging}/edges")
+        moved = fs.exists(path(target)) and fs.rename(path(target), path(aside))
+        if not fs.rename(path(staging), path(target)):
+            if moved:
+                fs.rename(path(aside), path(target))
+            raise OSError(f"{target} could not be put in place")
+        if moved:
+            fs.delete(path(aside), True)
     finally:
         fs.delete(path(staging), True)
 
 
+def ingest(pages: DataFrame, target: str, keep_stale: bool = False, **models) -> DataFrame:
+    """Build ``pages`` and merge them into the graph at ``target``, or make it; returns the counts of :func:`counts`."""
+    spark = pages.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    known = read(spark, target) if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path) else None
+    new = build(pages, known=known, **models)
+    report = stage(new.counts, "counts")
+    if known is not None:
+        for label, name in (("Document", "metadata"), ("Chunk", "metadata")):
+            new.nodes[label] = new.nodes[label].withColumn(name, F.to_json(name))
+        new.nodes["Document"] = new.nodes["Document"].drop("fullText", "publicationDate")
+    write(new if known is None else merged(known, new, keep_stale), target, overwrite=True)
+    return report
+
+
 def read(spark: SparkSession, target: str) -> Graph:
     """The tables that :func:`write` made."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -124,7 +209,4 @@ def read(spark: SparkSession, target: str) -> Graph:
 
 def clear(spark: SparkSession, target: str, really: bool = False) -> bool:
     """Deletes a graph; only when asked for explicitly."""
-    if not really:
-        return False
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return delete(spark, target) if really else False

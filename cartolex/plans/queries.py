@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from cartolex.functions.text import normalized_id, normalized_name, strip
 from cartolex.operators import chunks, embed, graph, link, metadata, references, reports, search, sections, toc, topics, validate
 from cartolex.operators.sections import HeaderProfile
+from cartolex.plans import graph_queries
+from cartolex.plans.knowledge_graph import Graph
 from cartolex.plans.registry import query, table
 from cartolex.sources import links
 
@@ -68,8 +70,9 @@ def chunk_stats_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("next_chunk_edges", _CHUNKS + "SELECT src, dst, CAST(ord AS INTEGER) AS \"order\" FROM (SELECT doc_id || '_CHK_' || chunk_index AS src, lead(doc_id || '_CHK_' || chunk_index) OVER w AS dst, row_number() OVER w - 1 AS ord FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_index)) WHERE dst IS NOT NULL")
 def next_chunk_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W-2, M-4: edges between consecutive chunks."""
-    rows = _chunked(spark, sf_dir).select("doc_id", "chunk_index", F.concat_ws("_", F.col("doc_id").cast("string"), F.lit("CHK"), F.col("chunk_index").cast("string")).alias("chunk_id"))
-    return graph.next_edges("NEXT_CHUNK", rows, "chunk_id", "doc_id", "chunk_index").select("src", "dst", "order")
+    k, none = F.col("doc_id").cast("string"), F.lit(None).cast("string")
+    rows = table(spark, sf_dir, "documents").select(k.alias("documentId"), k.alias("sectionId"), F.col("text").alias("content"), F.lit(1).alias("pageNumber"), none.alias("sectionNumber"), none.alias("sectionType"))
+    return graph.edges("NEXT_CHUNK", chunks.chunk_sections(rows), "chunkId", "nextChunkId", "chunkIndex", distinct=False).select("src", "dst", "order")
 
 
 _LINES = rf"""
@@ -104,7 +107,7 @@ def section_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("next_section_edges", _LINES + "SELECT src, dst, CAST(i AS INTEGER) AS \"order\" FROM (SELECT doc_id || '_SEC_' || ord AS src, lead(doc_id || '_SEC_' || ord) OVER (PARTITION BY doc_id ORDER BY ord) AS dst, ord AS i FROM x) WHERE dst IS NOT NULL")
 def next_section_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W-1: edges between consecutive sections."""
-    return graph.next_edges("NEXT_SECTION", _sections(spark, sf_dir), "sectionId", "documentId", "order").select("src", "dst", "order")
+    return graph.edges("NEXT_SECTION", _sections(spark, sf_dir), "sectionId", "nextSectionId", "order", distinct=False).select("src", "dst", "order")
 
 
 _LEVELS = """
@@ -118,16 +121,17 @@ def section_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-7, S-10, W-5: parents by level, over each customer's orders as a sequence of levels 1 to 3."""
     rows = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list("o_orderkey")).alias("keys"))
     found = rows.select("o_custkey", F.transform("keys", lambda k, i: F.struct(i.alias("position"), (1 + k % 3).cast("int").alias("level"))).alias("f"))
-    out = found.select("o_custkey", F.explode(F.transform("f", lambda x, i: F.struct(x["position"], x["level"], sections.parent_position(F.col("f"), x, i).alias("parent")))).alias("x"))
-    return out.select("o_custkey", "x.*")
+    out = found.select("o_custkey", F.explode(sections.hierarchy(F.col("f"))).alias("x"))
+    return out.select("o_custkey", "x.s.position", "x.s.level", "x.parent")
 
 
 @query("toc_filter", "SELECT l_orderkey, l_linenumber FROM lineitem l LEFT JOIN (SELECT o_orderkey, 1 + o_orderkey % 2 AS a, 2 + o_orderkey % 3 AS b FROM orders WHERE o_orderkey % 5 <> 0) o ON o.o_orderkey = l.l_orderkey WHERE NOT coalesce(l_linenumber BETWEEN a AND b AND l_quantity < 25, false)")
 def toc_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F-5, F-6, S-9: rows of a range of pages go if they are short; lines of orders stand for sections."""
+    """F-5, F-6, S-9: sections of a range of pages go if they are short; lines of orders stand for sections, four signs a piece."""
     ranges = table(spark, sf_dir, "orders").where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("l_orderkey"), (1 + F.col("o_orderkey") % 2).alias("a"), (2 + F.col("o_orderkey") % 3).alias("b"))
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity").join(ranges, "l_orderkey", "left")
-    return rows.where(~(toc.on_toc_page(F.col("l_linenumber"), F.col("a"), F.col("b")) & (F.col("l_quantity") < 25))).select("l_orderkey", "l_linenumber")
+    section = F.struct(F.col("l_linenumber").alias("pageNumber"), F.repeat(F.lit("x"), (F.col("l_quantity") * 4).cast("int")).alias("content"))
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(section).alias("found")).join(ranges, "l_orderkey", "left")
+    return rows.select("l_orderkey", F.explode(sections.without_toc(F.col("found"), F.col("a"), F.col("b"))).alias("s")).select("l_orderkey", F.col("s.pageNumber").alias("l_linenumber"))
 
 
 _COLLAPSE = r"regexp_replace({0}, '[\s\p{{Z}}]+', ' ', 'g')"
@@ -143,10 +147,10 @@ def doc_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("subject_extract", rf"""
 SELECT doc_id, CASE WHEN regexp_matches(t, '(?is)OGGETTO\s*:?\s*.+?(?:\n\n|QUESITO|PREMESSA|\z)') THEN substr({_COLLAPSE.format(_TRIM(r"regexp_extract(t, '(?is)OGGETTO\s*:?\s*(.+?)(?:\n\n|QUESITO|PREMESSA|\z)', 1)"))}, 1, 500) ELSE 'No OGGETTO found' END AS oggetto
-FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text ELSE 'Oggetto: ' || substr(text, 1, 700) || CASE WHEN doc_id % 3 = 1 THEN ' PREMESSA x' ELSE '' END END AS t FROM documents)""")
+FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text ELSE 'Oggetto: ' || text || CASE WHEN doc_id % 3 = 1 THEN ' PREMESSA x' ELSE '' END END AS t FROM documents)""")
 def subject_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-2: subjects; the marks are put into two thirds of the texts, which have none of their own."""
-    marked = F.concat(F.lit("Oggetto: "), F.substring("text", 1, 700), F.when(F.col("doc_id") % 3 == 1, " PREMESSA x").otherwise(""))
+    marked = F.concat(F.lit("Oggetto: "), F.col("text"), F.when(F.col("doc_id") % 3 == 1, " PREMESSA x").otherwise(""))
     rows = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(marked).alias("t"))
     return rows.select("doc_id", metadata.subject(F.col("t")).alias("oggetto"))
 
@@ -159,10 +163,11 @@ n AS (SELECT doc_id, type, CASE WHEN c <> '' THEN doc_id || CASE WHEN type = 'Ci
   CASE WHEN c <> '' THEN 2000 + doc_id % 25 WHEN type = 'Unknown' THEN 2024 ELSE CAST(coalesce(nullif(regexp_extract(f, '((?:19|20)\d{2})', 1), ''), '2024') AS BIGINT) END AS year FROM k)
 SELECT doc_id, type, number, CAST(year AS INTEGER) AS year, CASE type WHEN 'Circolare' THEN 'CIR' WHEN 'Risoluzione' THEN 'RIS' WHEN 'Risposta' THEN 'RIP' ELSE 'UNK' END || '_' || replace(number, '/', '_') || '_' || year AS "documentId" FROM n""")
 def doc_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S-1, S-4: type, number, year and key, from statements and file names made from ids and sources."""
+    """S-1, S-4: type, number, year and key, from statements and file names made from ids and sources, before the whole texts."""
     i = F.col("doc_id")
     year = (2000 + i % 25).cast("string")
     text = F.when(i % 4 == 0, F.concat(F.lit("Circolare n. "), i, F.lit("/E del 1 giugno "), year)).when(i % 4 == 1, F.concat(F.lit("RISOLUZIONE n "), i, F.lit(" anno "), year)).when(i % 4 == 2, F.concat(F.lit("risposta n."), i, F.lit(", "), year)).otherwise("")
+    text = F.concat(text, F.lit("\n"), F.coalesce("text", F.lit("")))
     file = F.when(i % 4 == 3, F.concat("source", F.when(i % 3 == 0, "_circolare_").when(i % 3 == 1, "_Risposta_").otherwise("_x_"), (1990 + i % 40).cast("string"), F.lit(".pdf"))).otherwise("f.pdf")
     rows = table(spark, sf_dir, "documents").select("doc_id", metadata.kind(file, text, F.lit(2024)).alias("k"))
     return rows.select("doc_id", "k.*", metadata.document_id(F.col("k.type"), F.col("k.number"), F.col("k.year")).alias("documentId"))
@@ -251,11 +256,11 @@ def _raw_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(k.cast("string").alias("chunkId"), made.alias("references"))
 
 
-@query("normalize_id", r"""SELECT doc_id, 'T_' || regexp_replace(regexp_replace(lower(name), '[^\p{L}\p{M}\p{N}_\s\-]', '', 'g'), '[\s\-]+', '_', 'g') AS "topicId", lower(trim(name, ' ' || chr(9) || chr(10) || chr(13))) AS "normalizedName" FROM (SELECT doc_id, substr(text, 1, 60) AS name FROM documents)
-WHERE regexp_replace(lower(name), '[^\p{L}\p{M}\p{N}_\s\-]', '', 'g') <> ''""")
+@query("normalize_id", rf"""SELECT doc_id, 'T_' || regexp_replace(regexp_replace(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}_\s\-]', '', 'g'), '[\s\-]+', '_', 'g') AS "topicId", lower({_TRIM('text')}) AS "normalizedName" FROM documents
+WHERE regexp_replace(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}_\s\-]', '', 'g') <> ''""")
 def normalize_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C-3, C-4: keys and normal forms of names."""
-    name = F.substring("text", 1, 60)
+    """C-3, C-4: keys and normal forms of names; whole texts stand for names."""
+    name = F.col("text")
     rows = table(spark, sf_dir, "documents").where(F.regexp_replace(F.lower(name), r"(?U)[^\w\s-]", "") != "")
     return rows.select("doc_id", normalized_id(name).alias("topicId"), normalized_name(name).alias("normalizedName"))
 
@@ -461,20 +466,24 @@ def best_worst_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("toc_entries_plain", r"""
-WITH l AS (SELECT conv_id, turn, '1.' || turn || ' ' || regexp_replace(substr(text, 1, 30), '[\r\n]', ' ', 'g') || ' ...... ' || (turn + 3) AS s FROM conversations)
+WITH l AS (SELECT conv_id, turn, '1.' || turn || ' ' || regexp_replace(text, '[\r\n]', ' ', 'g') || ' ...... ' || (turn + 3) AS s FROM conversations)
 SELECT conv_id, turn, '1.' || turn AS section_number, regexp_replace(regexp_extract(s, '^(\d+(?:\.\d+)*)\s+(.+?)\s+(\d+)$', 2), '[. ]+$', '') AS title, CAST(turn + 3 AS INTEGER) AS page_number FROM l WHERE regexp_matches(s, '^(\d+(?:\.\d+)*)\s+(.+?)\s+(\d+)$')""")
 def toc_entries_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-16: entries of lines with number, title and page, made from turns."""
-    line = F.concat(F.lit("1."), F.col("turn"), F.lit(" "), F.regexp_replace(F.substring("text", 1, 30), r"[\r\n]", " "), F.lit(" ...... "), F.col("turn") + 3)
+    line = F.concat(F.lit("1."), F.col("turn"), F.lit(" "), F.regexp_replace("text", r"[\r\n]", " "), F.lit(" ...... "), F.col("turn") + 3)
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(toc.plain_entries(line)).alias("e")).select("conv_id", "turn", "e.*")
 
 
-@query("toc_entries_dotted", """
-SELECT conv_id, unnest([{'n': '1.1', 't': 'Ambito soggettivo', 'p': CAST(conv_id % 90 AS INTEGER)}, {'n': 'PREMESSA', 't': 'PREMESSA', 'p': 12}, {'n': '2', 't': 'Detrazioni', 'p': 31}], recursive := true) FROM (SELECT DISTINCT conv_id FROM conversations)""".replace("'n'", "'section_number'").replace("'t'", "'title'").replace("'p'", "'page_number'"))
+@query("toc_entries_dotted", rf"""
+WITH t AS (SELECT conv_id, turn, {_TRIM("'Voce ' || regexp_replace(text, '[.\r\n]', ' ', 'g')")} AS title FROM conversations)
+SELECT conv_id, '1.' || turn AS section_number, title, CAST(turn + 3 AS INTEGER) AS page_number FROM t
+UNION ALL SELECT DISTINCT conv_id, 'PREMESSA', 'PREMESSA', 12 FROM t UNION ALL SELECT DISTINCT conv_id, 'PARTE II', 'PARTE II', NULL FROM t""")
 def toc_entries_dotted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S-17: entries with dotted leaders, in texts made from conversation ids."""
-    raw = F.concat(F.lit("  1.1. Ambito soggettivo ......"), F.col("conv_id") % 90, F.lit("\nPREMESSA ........12\n2 Detrazioni ..... 31\n3.2 Spese.....8\n"))
-    return table(spark, sf_dir, "conversations").select("conv_id").distinct().select("conv_id", F.explode(toc.dotted_entries(raw)).alias("e")).select("conv_id", "e.*")
+    """S-17: entries with dotted leaders, one a turn of each conversation, with the turns' whole texts as titles; a page number may be beyond 32 bits."""
+    line = F.concat(F.lit("  1."), F.col("turn"), F.lit(". Voce "), F.regexp_replace("text", r"[.\r\n]", " "), F.lit(" ....."), F.col("turn") + 3, F.lit("\n"))
+    lines = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", line.alias("s")))), lambda x: x["s"]), "").alias("s"))
+    raw = F.concat("s", F.lit("PREMESSA ........12\nPARTE II ... 99999999999\n3.2 Spese.....8\n"))
+    return lines.select("conv_id", F.explode(toc.dotted_entries(raw)).alias("e")).select("conv_id", "e.*")
 
 
 @query("toc_entry_count", r"SELECT doc_id, CAST(len(regexp_extract_all(regexp_replace(text, '\. ', chr(10) || '1.', 'g'), '(?m)^\s*\d+\.')) AS INTEGER) AS n FROM documents")
@@ -519,23 +528,22 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("topk_topic_sections", "SELECT src, score FROM (SELECT CAST(user_id AS VARCHAR) AS src, event_type, arg_max(value, event_id) AS score FROM events GROUP BY 1, 2) WHERE event_type = (SELECT min(event_type) FROM events) ORDER BY score DESC, src LIMIT 10")
 def topk_topic_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-6, Q-13: the sources most relevant to one node."""
-    first = table(spark, sf_dir, "events").agg(F.min("event_type").alias("dst"))
-    few = _scored(spark, sf_dir).join(F.broadcast(first), "dst", "left_semi")  # one row
-    return few.orderBy(F.desc("relevanceScore"), "src").limit(10).select("src", F.col("relevanceScore").alias("score"))
+    first = table(spark, sf_dir, "events").agg(F.min("event_type")).first()[0]  # one name
+    return graph_queries.sections_by_topic(Graph({}, _scored(spark, sf_dir)), first).withColumnRenamed("relevanceScore", "score")
 
 
 @query("most_discussed_topics", "SELECT event_type AS dst, count(DISTINCT user_id) AS n FROM events GROUP BY 1 ORDER BY n DESC, dst LIMIT 20")
 def most_discussed_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A-18, Q-14: nodes with most edges."""
-    return search.most_linked(_scored(spark, sf_dir), 20)
+    kinds = table(spark, sf_dir, "events").select(F.col("event_type").alias("topicId"), F.col("event_type").alias("name")).distinct()
+    return graph_queries.most_discussed_topics(Graph({"Topic": kinds}, _scored(spark, sf_dir)), 20).select("dst", "n")
 
 
 @query("vector_topk", "SELECT e.vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS score FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q ORDER BY list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) DESC, e.vec_id LIMIT 5")
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-7, Q-16: the five rows nearest one vector."""
     e = table(spark, sf_dir, "embeddings")
-    q = e.where("vec_id = 0").first()["embedding"]  # the query vector
-    return search.vector_top_k(e, "vec_id", "embedding", q, 5).withColumn("score", F.round("score", 6))
+    return search.vector_top_k_of(e, "vec_id", "embedding", e.where("vec_id = 0").select("embedding"), 5).withColumn("score", F.round("score", 6))
 
 
 @query("keyword_search_bm25", r"""
@@ -605,7 +613,7 @@ def download_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("group_counts", "SELECT lang AS type, count(*) AS count FROM documents GROUP BY 1")
 def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A-16, A-17, A-19, Q-2, Q-8, Q-11: counts by group."""
-    return table(spark, sf_dir, "documents").groupBy(F.col("lang").alias("type")).count()
+    return graph_queries.documents_by_type(Graph({"Document": table(spark, sf_dir, "documents").select(F.col("lang").alias("type"))}, spark.range(0)))
 
 
 @query("distinct_names", "SELECT DISTINCT source AS name FROM documents")
@@ -617,23 +625,47 @@ def distinct_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("two_hop_citations", "SELECT DISTINCT l_orderkey AS src FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey WHERE n_name = (SELECT min(n_name) FROM nation)")
 def two_hop_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q-10: sources two steps from a node."""
-    first = table(spark, sf_dir, "nation").agg(F.min("n_name").alias("n_name"))
-    nation = table(spark, sf_dir, "nation").join(first, "n_name", "left_semi").select(F.col("n_nationkey").alias("s_nationkey"))
-    supplier = table(spark, sf_dir, "supplier").join(nation, "s_nationkey", "left_semi").select(F.col("s_suppkey").alias("l_suppkey"))
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").join(supplier, "l_suppkey", "left_semi").select(F.col("l_orderkey").alias("src")).distinct()
+    first = table(spark, sf_dir, "nation").agg(F.min_by("n_nationkey", "n_name")).first()[0]  # one key
+    cited = graph.edges("REFERENCES_LAW", table(spark, sf_dir, "lineitem"), "l_orderkey", "l_suppkey")
+    edges = cited.unionByName(graph.edges("REFERS_TO", table(spark, sf_dir, "supplier"), "s_suppkey", F.col("s_nationkey").cast("long"), distinct=False))
+    return graph_queries.chunks_citing(Graph({}, edges), first).withColumnRenamed("chunkId", "src")
 
 
-@query("topic_offline")
+_WORD = r"[\p{L}\p{M}\p{N}_]+"
+
+
+def _topics_sql(source: str, patterns: dict[str, str], least: str = "true") -> str:
+    """Common tables ``tw`` (sectionId, words), ``th`` (topic hits) and ``tk`` (best keywords) of (sectionId, content)."""
+    hits = " UNION ALL ".join(f"SELECT \"sectionId\", '{name}' AS name, {i} AS position, len({sql}) AS n FROM tw" for i, (name, sql) in enumerate(patterns.items()))
+    return rf"""
+tw AS (SELECT "sectionId", content, regexp_extract_all(lower(content), '{_WORD}') AS w FROM {source} WHERE length({_TRIM('content')}) >= 50),
+th AS (SELECT "sectionId", name, position, n, n / sum(n) OVER (PARTITION BY "sectionId") AS score FROM ({hits}) WHERE n > 0),
+tf AS (SELECT "sectionId", word, count(*) AS n FROM (SELECT "sectionId", unnest(w) AS word FROM tw) WHERE length(word) >= 5 GROUP BY 1, 2),
+td AS (SELECT word, count(*) AS df FROM tf GROUP BY 1),
+tv AS (SELECT "sectionId", word, n * (ln((1 + (SELECT count(*) FROM tw)) / (1 + df)) + 1) AS weight FROM tf JOIN td USING (word)),
+tk AS (SELECT "sectionId", word, place, weight / max(weight) OVER (PARTITION BY "sectionId") AS score FROM (SELECT *, row_number() OVER (PARTITION BY "sectionId" ORDER BY round(weight, 9) DESC, word) AS place FROM tv) WHERE place <= 5)"""
+
+
+_SQL_LEXICON = {"T_credentials": "regexp_extract_all(lower(content), 'token|key')", "T_articles": "list_filter(w, lambda x: x IN ('the', 'der', 'la', 'el'))", "T_insults": "regexp_extract_all(lower(content), 'idiot|trash|disgusting')"}
+
+
+@query("topic_offline", f"WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS \"sectionId\", text AS content FROM documents), {_topics_sql('d', _SQL_LEXICON)} SELECT \"sectionId\", name AS id, round(score, 6) AS \"relevanceScore\", 'topic' AS kind FROM th UNION ALL SELECT \"sectionId\", 'T_' || word, round(score, 6), 'keyword' FROM tk")
 def topic_offline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X-3, X-4, X-6, F-8, F-9, I-15: topics and keywords by the offline extractor."""
+    """X-3, X-4, X-6, F-8, F-9, I-15: topics by patterns and keywords by TF-IDF."""
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("sectionId"), F.col("text").alias("content"))
     lexicon = {"Credentials": ("keys and tokens", r"token|key"), "Articles": ("articles", r"\b(?:the|der|la|el)\b"), "Insults": ("abuse", r"idiot|trash|disgusting")}
     found = topics.analyses(rows, topics.lexicon_extractor(lexicon))
-    t = topics.topic_rows(found).select("sectionId", F.col("topicId").alias("id"), "relevanceScore", F.lit("topic").alias("kind"))
-    return t.union(topics.keyword_rows(found).select("sectionId", "keywordId", "relevanceScore", F.lit("keyword")))
+    score = F.round("relevanceScore", 6).alias("relevanceScore")
+    t = topics.topic_rows(found).select("sectionId", F.col("topicId").alias("id"), score, F.lit("topic").alias("kind"))
+    return t.union(topics.keyword_rows(found).select("sectionId", "keywordId", score, F.lit("keyword")))
 
 
-@query("embed_hash")
+@query("embed_hash", r"""
+WITH w AS (SELECT doc_id, unnest(list_filter(string_split_regex(lower(text), '[\s\p{Z}\x1c-\x1f\x85]+'), lambda x: x <> '')) AS word FROM documents),
+h AS (SELECT doc_id, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % 64 AS dim, CASE WHEN substr(md5(word), 9, 1) IN ('0', '2', '4', '6', '8', 'a', 'c', 'e') THEN 1 ELSE -1 END AS sign FROM w),
+s AS (SELECT doc_id, dim, sum(sign) AS v FROM h GROUP BY 1, 2)
+SELECT doc_id, CAST(dim AS INTEGER) AS dim, round(CAST(CAST(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)) AS FLOAT) AS DOUBLE), 5) AS value FROM s WHERE v <> 0""")
 def embed_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X-5, F-13, I-16: vectors by the offline embedder."""
-    return embed.embed(table(spark, sf_dir, "documents"), "doc_id", "text", embed.hash_embedder(64))
+    """X-5, F-13, I-16: vectors by the offline embedder, as their components that aren't zero."""
+    vectors = embed.embed(table(spark, sf_dir, "documents"), "doc_id", "text", embed.hash_embedder(64))
+    return vectors.select("doc_id", F.posexplode("embedding").alias("dim", "v")).where("v <> 0").select("doc_id", "dim", F.round(F.col("v").cast("double"), 5).alias("value"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartolex.schemas import PAGES
+from cartolex.staging import stage
+
+_NAMES = ("filename", "file_size", "page_no", "text")
+_TYPES = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string())
 
 #: Takes a file's bytes and returns its pages' texts.
 Decoder = Callable[[bytes], list[str]]
@@ -19,25 +24,54 @@ def form_feed_decoder(content: bytes) -> list[str]:
     return content.decode("utf-8", "replace").split("\f")
 
 
-def scan(spark: SparkSession, directory: str, pattern: str = "*.pdf", limit: int = 0) -> DataFrame:
+def scan(spark: SparkSession, directory: str, pattern: str = "*.pdf", limit: int = 0, recursive: bool = False) -> DataFrame:
     """The directory's files in the order of their paths; a limit of 0 means all."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive).load(directory)
     return files.orderBy("path").limit(limit) if limit else files
 
 
 def pages(files: DataFrame, decoder: Decoder = form_feed_decoder) -> tuple[DataFrame, DataFrame]:
-    """Page records, and (filename, error) of files that couldn't be decoded: one bad file stops nothing."""
+    """Page records, and (path, filename, error) of files that couldn't be decoded or have no page: one bad file stops nothing.
+
+    Files are decoded once, into a staged table that both results read. Records carry the file's path, so
+    files of one name in two folders stay apart. One file is held in Python at a time, page by page.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, size, content in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+            for i in range(batch.num_rows):
+                path, size, content = (batch.column(c)[i].as_py() for c in range(3))
+                name = path.rsplit("/", 1)[-1]
                 try:
-                    rows = [(name, size, i + 1, t, None) for i, t in enumerate(decoder(content))]
+                    rows = [(path, name, size, k + 1, t, None) for k, t in enumerate(decoder(content))]
+                    rows = rows or [(path, name, size, None, None, "no pages")]
                 except Exception as e:  # reported as a row
-                    rows = [(name, size, None, None, f"{type(e).__name__}: {e}")]
-                columns = list(zip(*rows, strict=True)) or [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string()), strict=True)], ["filename", "file_size", "page_no", "text", "error"])
+                    rows = [(path, name, size, None, None, f"{type(e).__name__}: {e}")]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], ["path", *_NAMES, "error"])
+
+    out = files.select("path", F.col("length").alias("file_size"), "content").mapInArrow(run, f"path string, {PAGES}, error string")
+    made = stage(out, "pages")
+    return made.where("error is null").drop("error"), made.where("error is not null").select("path", "filename", "error")
+
+
+def pdf_decoder(content: bytes) -> list[str]:
+    """A PDF's pages as texts, by ``pypdf`` or ``fitz``, whichever is installed on the executors; raises if neither is."""
+    for name, read in (("fitz", _by_fitz), ("pypdf", _by_pypdf)):
+        if importlib.util.find_spec(name):
+            return read(content)
+    raise RuntimeError("no PDF library is installed")
+
+
+def _by_fitz(content: bytes) -> list[str]:
+    import fitz
+
+    with fitz.open(stream=content, filetype="pdf") as book:
+        return [page.get_text() for page in book]
+
+
+def _by_pypdf(content: bytes) -> list[str]:
+    import io
+
+    from pypdf import PdfReader
 
-    named = files.select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length").alias("file_size"), "content")
-    out = named.mapInArrow(run, PAGES + ", error string")
-    return out.where("error is null").drop("error"), out.where("error is not null").select("filename", "error")
+    return [page.extract_text() or "" for page in PdfReader(io.BytesIO(content)).pages]
