@@ -120,14 +120,15 @@ def build(pages: DataFrame, config: EngineConfig | None = None, profile: section
     return Graph(nodes, edges, counts(refs, t, k, known))
 
 
-def merged(old: Graph, new: Graph, keep_stale: bool = False) -> Graph:
+def merged(old: Graph, new: Graph, keep_stale: bool = False, canonical: str = "reference") -> Graph:
     """Both graphs as one: a key in both has ``new``'s record, but a topic or keyword ``old``'s; a scored edge has its last score.
 
-    Sections, chunks and tables of contents that a document had before and no longer has go, with their
-    edges; ``keep_stale`` keeps them, as plain upserts would.
+    Of a document that ``new`` has too, the old table of contents, sections and chunks go unless they are there
+    again, and so do all old edges that lead from it and from them (those to topics only if ``new`` has topics).
+    ``keep_stale`` keeps them all, as plain upserts would. References are linked anew, over the documents of both.
     """
     again = new.nodes["Document"].select("documentId")
-    nodes, gone = {}, None
+    nodes, replaced = {}, []
     for label in dict.fromkeys([*old.nodes, *new.nodes]):
         key, a, b = NODE_KEYS[label], old.nodes.get(label), new.nodes.get(label)
         if a is None or b is None:
@@ -135,19 +136,20 @@ def merged(old: Graph, new: Graph, keep_stale: bool = False) -> Graph:
             continue
         first = label in ("Topic", "Keyword")
         kept = a if first else a.join(b.select(key), key, "left_anti")
-        if label in ("TableOfContents", "Section", "Chunk") and not keep_stale:
-            stale = kept.join(again, "documentId", "left_semi").select(F.col(key).alias("id"))
-            gone = stale if gone is None else gone.union(stale)
+        if "documentId" in a.columns and not keep_stale:
+            replaced.append(a.join(again, "documentId", "left_semi").select(F.col(key).alias("src")))
             kept = kept.join(again, "documentId", "left_anti")
         nodes[label] = kept.unionByName(b.join(a.select(key), key, "left_anti") if first else b, allowMissingColumns=True)
-    edges = old.edges
-    if gone is not None:
-        gone = stage(gone, "stale")
-        edges = edges.join(gone.withColumnRenamed("id", "src"), "src", "left_anti").join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti")
-    scored = F.col("relevanceScore").isNotNull()
-    every = edges.withColumn("_age", F.lit(0)).unionByName(new.edges.withColumn("_age", F.lit(1)))
-    last = every.groupBy("type", "src", "dst", F.when(scored, F.lit(None)).otherwise(F.col("order")).alias("order")).agg(F.max_by("relevanceScore", "_age").alias("relevanceScore"))
-    return Graph(nodes, last.select("type", "src", "dst", "order", "relevanceScore"), new.counts)
+    edges = old.edges.where("type <> 'REFERS_TO'")
+    if replaced:
+        own = F.lit(True) if "Topic" in new.nodes else ~F.col("type").startswith("DISCUSSES")
+        from_replaced = stage(reduce(DataFrame.union, replaced), "replaced").withColumn("_gone", F.lit(True))
+        edges = edges.join(from_replaced, "src", "left").where(~(own & F.coalesce("_gone", F.lit(False)))).drop("_gone")
+    every = edges.withColumn("_age", F.lit(0)).unionByName(new.edges.where("type <> 'REFERS_TO'").withColumn("_age", F.lit(1)))
+    order = F.when(F.col("relevanceScore").isNull(), F.col("order")).alias("order")
+    last = every.groupBy("type", "src", "dst", order).agg(F.max_by("relevanceScore", "_age").alias("relevanceScore"))
+    linked = link.refers_to(link.categorise(nodes["LegalReference"], nodes["Document"], canonical))
+    return Graph(nodes, last.select(*linked.columns).unionByName(linked), new.counts)
 
 
 def write(graph_tables: Graph, target: str, overwrite: bool = False) -> None:

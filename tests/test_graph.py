@@ -151,3 +151,86 @@ def test_config(monkeypatch):
     assert EngineConfig.from_env().chunk_size == 99
     with pytest.raises(ValueError):
         EngineConfig(chunk_overlap=0)
+
+
+def test_models_are_asked_once_a_chunk_and_failures_stop_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.pdf").write_text(BOOK.replace("bonus", "bonus articolo 9"), encoding="utf-8")
+    pages, _ = files.pages(files.scan(spark, str(tmp_path / "in")))
+    log = tmp_path / "log"
+
+    def ask(text):
+        with open(log, "a") as f:
+            f.write("x")
+        if "n. 296" in text:
+            raise ValueError("the model is out")
+        return [{"type": "circolare", "number": "7", "year": "2024", "citation": "c", "article": None, "description": None}]
+
+    g = knowledge_graph.build(pages, reference_extractor=references.model_extractor(ask))
+    gated = g.nodes["Chunk"].where(references.gate(F.col("content"))).count()
+    knowledge_graph.write(g, str(tmp_path / "graph"))
+    assert gated >= 2 and len(log.read_text()) == gated
+    assert [r.referenceId for r in g.nodes["LegalReference"].collect()] == ["CIR_7_2024"]
+    bad = topics.model_extractor(lambda text: {"topics": [{"name": "n", "description": "d", "relevance_score": 0.5}]} if "bonus" in text else 1 / 0)
+    found = topics.analyses(spark.createDataFrame([("a", "bonus " * 20), ("b", "altro " * 20)], "sectionId string, content string"), bad)
+    assert [(r.sectionId, r.topics[0].name, r.keywords) for r in found.collect()] == [("a", "n", [])]
+    half = embed.embed(spark.range(4).select("id", F.col("id").cast("string").alias("t")), "id", "t", lambda texts: [[1.0 / (int(texts[0]) - 2)]], batch=1)
+    assert sorted(r.id for r in half.collect()) == [0, 1, 3]
+
+
+def test_overwriting_keeps_a_whole_graph(spark, tmp_path):
+    pages = spark.createDataFrame([("a.pdf", 1, 1, BOOK)], "filename string, file_size long, page_no int, text string")
+    g, target = knowledge_graph.build(pages), str(tmp_path / "graph")
+    knowledge_graph.write(g, target)
+    broken = knowledge_graph.Graph(g.nodes, g.edges.withColumn("order", F.expr("raise_error('disk')").cast("int")))
+    with pytest.raises(Exception, match="disk"):
+        knowledge_graph.write(broken, target, overwrite=True)
+    assert knowledge_graph.read(spark, target).nodes["Document"].count() == 1
+    knowledge_graph.write(g, target, overwrite=True)
+    assert [p.name for p in tmp_path.iterdir()] == ["graph"]
+
+
+def test_files_of_one_name_in_two_folders_stay_apart(spark, tmp_path):
+    for k, folder in enumerate(("x", "y")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "f.pdf").write_text(f"Circolare n. {k + 1}, 2020\n\fpagina {k}")
+    (tmp_path / "x" / "none.pdf").write_text("")
+    pages, errors = files.pages(files.scan(spark, str(tmp_path), recursive=True), lambda b: b.decode().split("\f") if b else [])
+    docs = {r.documentId: r.fullText for r in knowledge_graph.structure(pages)["Document"].collect()}
+    assert docs == {"CIR_1_2020": "Circolare n. 1, 2020\npagina 0", "CIR_2_2020": "Circolare n. 2, 2020\npagina 1"}
+    assert [(r.filename, r.error) for r in errors.collect()] == [("none.pdf", "no pages")]
+
+
+def test_systematic_sample_of_many_partitions(spark):
+    rows = spark.range(300_000).select(F.xxhash64("id").alias("k"), F.md5(F.col("id").cast("string").cast("binary")).alias("v")).repartition(8)
+    want = sorted(r.k for r in rows.select("k").collect())[::7]
+    for _ in range(2):
+        got = search.systematic_sample(rows, ["k"], 7)
+        assert got.columns == ["k", "v"] and sorted(r.k for r in got.collect()) == want
+
+
+def test_names_become_distinct(spark):
+    import random
+
+    rng = random.Random(3)
+    names = [rng.choice(["a.pdf", "a_1.pdf", "a_2.pdf", "a_1_1.pdf", "b", "a_07.pdf", None]) for _ in range(200)]
+    got = {r.k: r.n for r in links.distinct_names(spark.createDataFrame(list(enumerate(names)), "k int, n string"), "n", "k").collect()}
+    made = [n for n in got.values() if n is not None]
+    assert len(set(made)) == len(made) == sum(n is not None for n in names)
+    for n in set(names) - {None}:
+        assert got[names.index(n)] == n
+
+
+def test_fetch_failures_are_rows(spark):
+    urls = spark.createDataFrame([("http://a/x.pdf",), ("http://a/y",), ("http://b/z",), (None,)], "url string")
+    got = {r.url: (r.ok, r.warning, r.error) for r in links.fetch(urls, lambda u: 1 / 0 if "z" in u else (b"x", "text/html", None)).collect()}
+    assert got == {"http://a/x.pdf": (True, None, None), "http://a/y": (True, "content type is text/html", None), "http://b/z": (False, None, "ZeroDivisionError: division by zero")}
+    content, _, error = links.http_fetcher(timeout=0.2, pause=0.0)("http://127.0.0.1:1/x")
+    assert content is None and error
+
+
+def test_stored_index_finds_what_texts_do(spark, tmp_path):
+    df = spark.createDataFrame([(i, "the cat " * (i % 5) + f"w{i}") for i in range(40)] + [(99, None)], "i int, t string")
+    search.write_index(df, "i", "t", str(tmp_path / "index"))
+    rows = lambda out: [(r.i, round(r.score, 9)) for r in out.collect()]
+    assert rows(search.search_index(spark, str(tmp_path / "index"), "i", "cat w7")) == rows(search.bm25(df, "i", "t", "cat w7"))

@@ -166,3 +166,21 @@ def test_normal_forms(spark):
     got = {r.s: (r.k, r.n) for r in df.collect()}
     assert {s: got[s][0] for s in cases} == cases
     assert got["%"][0] != "T_" and got[" Ecobonus"][1] == "ecobonus"
+
+
+def test_long_numbers_are_null(spark):
+    row = spark.range(1).select(toc.plain_entries(F.lit("1.1 Ambito 99999999999\n2 Altro 7")).alias("p"), toc.dotted_entries(F.lit("1.1 Telefono ..... 06123456789012\n")).alias("d")).first()
+    assert [(e.section_number, e.page_number) for e in row.p] == [("1.1", None), ("2", 7)] and [e.page_number for e in row.d] == [None]
+    docs = spark.createDataFrame([("d", "Circolare", 3)], "documentId string, type string, pageCount int")
+    pages = spark.createDataFrame([("d", 2, "PREMESSA 99999999999\n1.1 x 3"), ("d", 3, "1.1 x")], "documentId string, page_no int, text string")
+    assert [(r.endPage, r.detectionMethod) for r in toc.tocs(docs, pages).collect()] == [(2, "FIRST_SECTION")]
+
+
+def test_parents_equal_the_plain_model(spark):
+    rng = random.Random(5)
+    levels = [[rng.randint(1, 5) for _ in range(rng.randint(0, 60))] for _ in range(50)]
+    rows = spark.createDataFrame([(i, [(k, x) for k, x in enumerate(v)]) for i, v in enumerate(levels)], "i int, f array<struct<position:int,level:int>>")
+    got = {r.i: r.p for r in rows.select("i", sections.parent_positions(F.col("f")).alias("p")).collect()}
+    for i, v in enumerate(levels):
+        nearest = [next((j for j in range(k - 1, -1, -1) if v[j] < x), None) for k, x in enumerate(v)]
+        assert got[i] == [j if j is not None and v[j] == x - 1 else None for j, x in zip(nearest, v, strict=True)]
