@@ -194,8 +194,8 @@ def test_files_of_one_name_in_two_folders_stay_apart(spark, tmp_path):
     for k, folder in enumerate(("x", "y")):
         (tmp_path / folder).mkdir()
         (tmp_path / folder / "f.pdf").write_text(f"Circolare n. {k + 1}, 2020\n\fpagina {k}")
-    (tmp_path / "x" / "none.pdf").write_text("")
-    pages, errors = files.pages(files.scan(spark, str(tmp_path), recursive=True), lambda b: b.decode().split("\f") if b else [])
+    (tmp_path / "x" / "none.pdf").write_text("-")
+    pages, errors = files.pages(files.scan(spark, str(tmp_path), recursive=True), lambda b: b.decode().split("\f") if b != b"-" else [])
     docs = {r.documentId: r.fullText for r in knowledge_graph.structure(pages)["Document"].collect()}
     assert docs == {"CIR_1_2020": "Circolare n. 1, 2020\npagina 0", "CIR_2_2020": "Circolare n. 2, 2020\npagina 1"}
     assert [(r.filename, r.error) for r in errors.collect()] == [("none.pdf", "no pages")]
