@@ -4,7 +4,7 @@
   of bytes counting as one space, hashed into ``DIM`` cells, weighted 1 + ln(tf) and by idf, and
   scaled to unit length.
 * Each language's training vectors are clustered by spherical k-means; up to ``CENTROIDS`` centroids
-  each. The fit uses about ``PER_LANGUAGE`` rows of each language, those of the smallest id hashes.
+  each. The fit uses at most ``PER_LANGUAGE`` rows of each language, those of the smallest id hashes.
 * A text belongs to its nearest centroid's language. It is rejected if it has no letter, or if it
   lies farther from that centroid than any training text of the language that has as many n-grams
   (by powers of two) or more, plus a margin. Texts of under 32 n-grams are too short to reject.
@@ -20,14 +20,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from cartolex.llm import words
-from cartolex.llm.scratch import give_back
+from cartolex.llm.scratch import fresh, give_back
 
 DIM_BITS = 14
 DIM = 1 << DIM_BITS
 CENTROIDS = 4
-#: About so many training rows of each language, and at most so many in all.
+#: At most so many training rows of each language, and in all.
 PER_LANGUAGE, MOST = 800, 20_000
 MARGIN = 0.15
 SIZE_CLASSES, SHORT = 16, 5
@@ -39,19 +40,37 @@ _A, _B, _C = (np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))
 
 
 def _features(column: pa.Array) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
-    """First row, and each text's cells in use with their counts."""
+    """First row, and each text's cells in use with their counts.
+
+    A text stands between two spaces of its own, so its n-grams depend on nothing before or after it.
+    """
     for row, _, data, offsets in words.slices(column):
-        folded = _FOLD[data]
-        out = []
+        n = len(offsets) - 1
+        folded = np.full(len(data) + n + 1, 32, np.uint8)
+        edges = offsets + np.arange(n + 1)
+        inner = np.ones(len(folded), bool)
+        inner[edges] = False
+        folded[inner] = _FOLD[data]
         keep = np.ones(len(folded), bool)
         keep[1:] = (folded[1:] != 32) | (folded[:-1] != 32)
-        where = np.concatenate([[0], np.cumsum(keep)])[offsets]
-        wide = folded[keep].astype(np.uint32)
+        keep[edges] = True
+        at = np.flatnonzero(keep)  # runs of spaces have become one
+        edge = ~inner[at]
+        beside = np.zeros(len(at), bool)
+        beside[1:] = edge[:-1]
+        beside[:-1] |= edge[1:]
+        at = at[edge | (folded[at] != 32) | ~beside]  # and the text's own spaces at its ends go
+        where = np.flatnonzero(~inner[at])
+        wide = folded[at].astype(np.uint32)
         two = wide[:-1] * _A + wide[1:] * _B
         three = (two[:-1] ^ (two[:-1] >> np.uint32(15))) * _C + wide[2:] * _A
         two, three = (((x ^ (x >> np.uint32(13))) * _B >> np.uint32(32 - DIM_BITS)).astype(np.int64) for x in (two, three))
+        out = []
         for a, b in zip(where[:-1], where[1:], strict=True):
-            counts = np.bincount(two[a : max(a, b - 1)], minlength=DIM) + np.bincount(three[a : max(a, b - 2)], minlength=DIM)
+            if b - a < 2:  # nothing but spaces
+                out.append((np.zeros(0, np.int16), np.zeros(0, np.int32)))
+                continue
+            counts = np.bincount(two[a:b], minlength=DIM) + np.bincount(three[a : b - 1], minlength=DIM)
             used = np.flatnonzero(counts)
             out.append((used.astype(np.int16), counts[used].astype(np.int32)))
         yield row, out
@@ -86,13 +105,14 @@ class LanguageModel:
         """``docs`` with lang_pred, score (cosine to the nearest centroid) and rejected; every row and other column stays.
 
         A null text or one without a letter, and any text where nothing could be learned, is
-        ``und`` with score 0, and rejected. Columns already called like the three are replaced.
+        ``und`` with score 0, and rejected. A text of one letter has the n-grams of that letter between two spaces.
+        Columns already called like the three are replaced.
         """
-        docs = docs.drop("lang_pred", "score", "rejected", "_lettered")
+        docs = docs.drop("lang_pred", "score", "rejected")
         if not self.languages:
             return docs.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
         shared = docs.sparkSession.sparkContext.broadcast(self)
-        docs = docs.withColumn("_lettered", F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
+        asked = docs.select("*", F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias(fresh(docs.columns, "lettered")[0]))
         at = docs.columns.index(text_col)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +127,7 @@ class LanguageModel:
                     yield pa.RecordBatch.from_arrays([*part.columns[:-1], names, pa.array([s for _, s in found], pa.float64()), rejected], [*part.schema.names[:-1], "lang_pred", "score", "rejected"])
 
         made = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
-        return docs.mapInArrow(run, T.StructType([*docs.drop("_lettered").schema.fields, *made]))
+        return asked.mapInArrow(run, T.StructType([*docs.schema.fields, *made]))
 
 
 def size_class(used: np.ndarray) -> int:
@@ -131,16 +151,25 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def train(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_language: int = PER_LANGUAGE) -> LanguageModel:
-    """A model from the rows for which ``usable`` holds and the language is not null."""
+    """A model from the rows for which ``usable`` holds and the language is not null.
+
+    The sample is, of each language, the ``per_language`` rows of the smallest id hashes, or fewer where there are so many
+    languages that this would pass ``MOST`` in all, but one at least. It doesn't depend on how rows are dealt to tasks; rows
+    that repeat an id are one, with the least of their texts, and rows without an id are drawn by their text.
+    """
     usable_rows = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     counts = {r[0]: r[1] for r in usable_rows.groupBy(lang_col).count().collect()}  # one row a language
     if not counts:
         return LanguageModel(np.zeros((DIM, 0), np.float32), np.zeros(0, int), np.ones(DIM), [], np.ones((0, SIZE_CLASSES)))
+    most = max(1, min(per_language, MOST // len(counts)))
     share = F.lit(0.0)
     for lang, n in counts.items():
-        share = F.when(F.col(lang_col) == lang, F.lit(min(1.0, per_language / n))).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit(11), F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
-    sample = usable_rows.where(draw < share).select(F.col(id_col).cast("string").alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t")).limit(MOST).toPandas().sort_values(["l", "i", "t"])
+        share = F.when(F.col(lang_col) == lang, F.lit(min(1.0, 1.25 * (most + 16) / n))).otherwise(share)
+    hashed = F.pmod(F.xxhash64(F.lit(11), F.coalesce(F.col(id_col).cast("string"), F.col(text_col))), F.lit(1 << 30))
+    drawn = usable_rows.select(hashed.alias("draw"), share.alias("share"), F.col(id_col).cast("string").alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
+    drawn = drawn.where(F.col("draw") < F.col("share") * float(1 << 30)).groupBy("l", "draw").agg(F.min(F.struct("i", "t")).alias("x"))  # repeated ids meet before the driver
+    place = F.row_number().over(Window.partitionBy("l").orderBy("draw"))  # over about 1.25 times the sample
+    sample = drawn.withColumn("place", place).where(F.col("place") <= most).select("l", "draw", "x.t").toPandas().sort_values(["l", "draw"])
     languages = sorted(set(sample["l"]))
     features = [x for _, part in _features(pa.array(sample.pop("t"), pa.string())) for x in part]
     present = np.zeros(DIM)

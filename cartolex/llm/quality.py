@@ -1,7 +1,8 @@
 """Quality classifier: random-indexing word vectors, pooled, and a two-layer numpy network.
 
 * A token is a run of letters, of digits or of other signs. Tokens are hashed into
-  ``VOCABULARY`` cells. Each cell's index vector has two entries of +1 or -1 among ``DIM``; a cell's
+  ``VOCABULARY`` cells, whatever the corpus's size: random indexing needs no vocabulary, and words that share a cell share a
+  vector. With a larger corpus more rare words do; the README has the held-out AUC for several numbers of cells. Each cell's index vector has two entries of +1 or -1 among ``DIM``; a cell's
   context vector is the sum of the index vectors of all neighbours within two tokens, over **all**
   rows. Map tasks add up whole-number vectors, so sums don't depend on their order.
 * A document is the frequency-weighted mean of its tokens' unit context vectors, and the mean of
@@ -179,12 +180,14 @@ class QualityModel:
 def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> QualityModel:
     """Word vectors from all ``docs``; the network from at most ``sample`` rows of ``labels`` for which ``usable`` holds.
 
-    An id labelled more than once counts once, with its mean label rounded; null labels don't count.
+    An id labelled more than once counts once, with its mean label rounded; null labels don't count. Rows that repeat
+    an id are one document for the fit, with the least of their texts.
     """
     vectors = word_vectors(docs.select(F.col(text_col).cast("string")))
     chosen = labels.where(usable & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.round(F.avg(label_col)).cast("int").alias("_label"))
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(chosen), "_id").select("_id", "_label", "_text")  # at most ``sample`` small rows
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(chosen), "_id")  # at most ``sample`` small rows
+    rows = rows.groupBy("_id", "_label").agg(F.min("_text").alias("_text"))  # rows that repeat an id meet before the driver
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
 
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
-        found = rows.mapInArrow(run, "_id long, _label int, x array<double>").toPandas().drop_duplicates("_id").sort_values("_id").head(sample)
+        found = rows.mapInArrow(run, "_id long, _label int, x array<double>").toPandas().sort_values("_id")
     x = np.stack(found.pop("x").to_list()) if len(found) else np.zeros((0, 2 * DIM))
     model = QualityModel(vectors, fit(x, found["_label"].to_numpy(np.float64)))
     del found, x

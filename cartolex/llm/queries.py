@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartolex.llm import embedding_dedup, language, lm_scoring, mixing, near_dedup, nearest, pieces, preference, quality, url_rules
+from cartolex.llm.scratch import cut
 
 #: The vocabulary of the token query: any ``.model`` file with identity normalisation.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -63,7 +64,8 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated sampling probabilities of every document, and which are sampled."""
-    found = mixing.mix(_table(spark, sf_dir, "documents"))
+    measured = cut(mixing.measure(_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")).drop("text"), "measured")
+    found = mixing.calibrate(measured)
     return found.select("doc_id", "mix_topic", "mix_tokens", F.round("mix_prob", 6).alias("mix_prob"), "sampled")
 
 
@@ -159,10 +161,14 @@ FROM y
 """
 
 
+#: Enough rounds for the SQL, which can't stop by itself, to be at the fixed point on the given tables.
+SQL_ROUNDS = 24
+
+
 def _mixing_sql() -> str:
     """The raking rounds, one common table a marginal."""
     dims, steps, last = mixing.DIMENSIONS, [], "w0"
-    for k in range(mixing.ROUNDS):
+    for k in range(SQL_ROUNDS):
         for d in dims:
             name = f"w{k}_{d}"
             steps.append(f"{name} AS MATERIALIZED (SELECT w.source, w.lang, w.topic, w.tokens, w.weight * coalesce(g.goal / m.m, 0) AS weight FROM {last} w LEFT JOIN (SELECT {d} AS v, sum(weight) AS m FROM {last} GROUP BY 1 HAVING sum(weight) > 0) m ON m.v = w.{d} LEFT JOIN goal_{d} g ON g.v = w.{d})")
@@ -179,7 +185,7 @@ cells AS (SELECT source, lang, topic, sum(n) AS tokens FROM d GROUP BY ALL),
 w0 AS (SELECT *, tokens / (SELECT sum(tokens) FROM cells) AS weight FROM cells),
 {", ".join(steps)},
 f AS (SELECT *, CASE WHEN tokens > 0 THEN weight * (SELECT sum(tokens) FROM cells) / tokens ELSE 0 END AS factor FROM {last}),
-p AS (SELECT *, CASE WHEN tokens > 0 THEN least(1.0, factor / least((SELECT max(factor) FROM f), {mixing.MOST})) ELSE 1.0 END AS prob FROM f)
+p AS (SELECT *, CASE WHEN tokens > 0 THEN factor / (SELECT max(factor) FROM f) ELSE 1.0 END AS prob FROM f)
 SELECT d.doc_id, d.topic AS mix_topic, d.n AS mix_tokens, round(p.prob, 6) AS mix_prob,
   CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), 'null') || ':7'), 1, 12) AS BIGINT) / pow(2.0, 48) < p.prob AS sampled
 FROM d JOIN p USING (source, lang, topic)
@@ -193,14 +199,29 @@ _CASES = lambda value: " ".join(
 )
 _HOST_PATH = r"""translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path"""
 _NODE = r"""translate(regexp_extract({0}, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_replace(regexp_replace({0}, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', ''), '(?s)#.*$', '')"""
+_ADDRESS = r"""regexp_replace(regexp_replace(regexp_extract(node, '^([^?]*)', 1), '(?i)([^/:])(?:/|/index\.html?|\.html?)$', '\1'), '^http://', 'https://')"""
+#: Stated links with all their matches resolved, and one page's addresses, as edges; then components and verdicts.
 ORACLES["op10_url_rules"] = rf"""
-WITH RECURSIVE t AS (
-  SELECT url, unnest([regexp_extract(html, '(?is)<link[^>]*rel\s*=\s*["'']?\s*canonical[^>]*href\s*=\s*["'']?\s*([^\s"''>]+)', 1),
-    regexp_extract(html, '(?is)<link[^>]*href\s*=\s*["'']?\s*([^\s"''>]+)[^>]*rel\s*=\s*["'']?\s*canonical', 1),
-    regexp_extract(html, '(?is)<meta[^>]*http-equiv\s*=\s*["'']?\s*refresh[^>]*url\s*=\s*([^\s"''>]+)', 1)]) AS target FROM pages WHERE url IS NOT NULL),
-e AS (SELECT {_NODE.format("trim(url)")} AS a,
-    {_NODE.format("(CASE WHEN target LIKE '//%' THEN regexp_extract(url, '^([^:/?#]+:)//', 1) || target WHEN target LIKE '/%' THEN regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) || target ELSE target END)")} AS b FROM t WHERE target <> ''),
-u AS (SELECT a, b FROM e WHERE b LIKE '%://%' AND a <> b UNION SELECT b, a FROM e WHERE b LIKE '%://%' AND a <> b),
+WITH RECURSIVE tags AS (
+  SELECT trim(url) AS u, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*'), lambda x: regexp_matches(x, '(?is)\brel\s*=\s*["'']?\s*canonical\b')), lambda x: regexp_extract(x, '(?is)^<link\b[^>]*\bhref\s*=\s*["'']?\s*([^\s"''>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*'), lambda x: regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')), lambda x: regexp_extract(x, '(?is)^<meta\b[^>]*\burl\s*=\s*([^\s"''>]+)', 1)))) AS t
+  FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+base AS (SELECT u, regexp_replace(t, '(?i)&(?:amp|#0*38|#x0*26);', '&', 'g') AS t, regexp_replace(u, '(?s)#.*$', '') AS bare FROM tags WHERE t <> ''),
+whole AS (SELECT *, regexp_extract(bare, '^([^:/?#]+://[^/?#]*)', 1) AS head, regexp_extract(bare, '^[^:/?#]+://[^/?#]*([^?#]*)', 1) AS path FROM base),
+goes AS (SELECT *, CASE WHEN t LIKE '/%' THEN t WHEN regexp_matches(t, '^[?#]') THEN path || t ELSE '/' || regexp_extract(path, '^/(.*/)?', 1) || t END AS goal FROM whole),
+steps AS (SELECT *, string_split(regexp_extract(goal, '^/?([^?#]*)', 1), '/') AS s FROM goes),
+walked AS (SELECT *, list_reduce(list_transform(s, lambda x: [x]), lambda done, x: CASE WHEN x = ['..'] THEN done[:greatest(len(done) - 1, 0)] WHEN x = ['.'] THEN done ELSE done || x END, CAST([] AS VARCHAR[])) || CASE WHEN s[-1] IN ('.', '..') THEN [''] ELSE [] END AS kept FROM steps),
+ends AS (SELECT u, CASE WHEN t LIKE '//%' THEN regexp_extract(bare, '^([^:/?#]+:)//', 1) || t WHEN regexp_matches(t, '^[^:/?#]+:') THEN t WHEN head <> '' THEN head || CASE WHEN goal LIKE '/%' THEN '/' ELSE '' END || array_to_string(kept, '/') || regexp_extract(goal, '(?s)^[^?#]*(.*)$', 1) ELSE '' END AS v FROM walked),
+e AS (SELECT {_NODE.format("u")} AS a, {_NODE.format("trim(v)")} AS b FROM ends WHERE regexp_matches(v, '^[^:/?#]+://')),
+own AS (SELECT {_NODE.format("trim(url)")} AS node, html FROM pages WHERE contains(url, '://')),
+kept AS (SELECT *, {_ADDRESS} AS plain, list_filter(string_split(regexp_extract(node, '^[^?]*\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '{url_rules.TRACKING}')) AS q FROM own),
+addressed AS (SELECT node, html, plain || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS addr FROM kept),
+keyed AS (SELECT node, addr AS key FROM addressed UNION ALL
+  SELECT node, md5(regexp_extract(html, '{url_rules.ARTICLE}', 1)) || chr(10) || regexp_extract(addr, '^[^:/?#]+://[^/?]*(.*)$', 1) FROM addressed WHERE regexp_matches(html, '{url_rules.ARTICLE}')),
+m AS (SELECT node AS a, min(node) OVER (PARTITION BY key) AS b FROM keyed),
+l AS (SELECT a, b FROM e UNION SELECT a, b FROM m),
+u AS (SELECT a, b FROM l WHERE a <> b UNION SELECT b, a FROM l WHERE a <> b),
 r(node, seen) AS (SELECT a, a FROM u UNION SELECT u.b, r.seen FROM r JOIN u ON u.a = r.node),
 c AS (SELECT node, min(seen) AS component FROM r GROUP BY 1),
 cv AS (SELECT component, CASE {_CASES(lambda r: r.verdict)} END AS v FROM (SELECT component, {_HOST_PATH} FROM (SELECT component, substr(node, instr(node, '://') + 3) AS rest FROM c))),

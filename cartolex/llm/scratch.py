@@ -1,41 +1,30 @@
-"""Lineage cuts: tables written to the folder that the whole cluster shares.
-
-A cut table is plain Parquet, so it outlives any executor, and the plan above it starts from a
-scan. The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests,
-notebooks) does :func:`shared_folder` make one of its own.
-"""
+"""Lineage cuts by :mod:`cartolex.staging`, names that clash with no column, and memory that a fit gives back."""
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import gc
-import tempfile
-import uuid
+from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-
-_made: list[tuple[SparkSession, str]] = []
 
+from cartolex.staging import release, shared_folder
+from cartolex.staging import stage as cut
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder for intermediate tables."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="cartolex-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+__all__ = ["cut", "fresh", "give_back", "release", "shared_folder"]
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back from there."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cartolex-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    _made.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """``names``, each with as many leading underscores as it takes to differ from all that are ``taken``, in any case."""
+    used = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 def give_back() -> None:
@@ -44,24 +33,3 @@ def give_back() -> None:
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
-
-
-def release(df: DataFrame) -> None:
-    """Delete a table made by :func:`cut` that no later plan reads."""
-    for file in df.inputFiles()[:1]:
-        path = file.rsplit("/", 1)[0]
-        _delete(df.sparkSession, path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path).getParent()
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-@atexit.register
-def purge() -> None:
-    """Delete every table cut by this process."""
-    while _made:
-        with contextlib.suppress(Exception):
-            _delete(*_made.pop())

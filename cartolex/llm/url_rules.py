@@ -1,7 +1,9 @@
 """URL rules with redirect equivalence; DataFrame operations only.
 
-A url's host and path are matched against rules; the longest that fits decides. Urls joined by
-redirects or canonical links are aliases: their components are found by
+A url's host and path are matched against rules; the longest that fits decides. Rules are a table of
+any size: a url asks for the suffixes of its host, and of those that have rules for the beginnings of its path that are
+as long as one of their rules, by equality joins. Urls joined by redirects, canonical links, or because
+they are one page's addresses are aliases: their components are found by
 :mod:`cartolex.llm.components`, and a url without a rule of its own follows its component: allow if
 any alias is explicitly allowed, else block if any is blocked, else allow.
 """
@@ -10,15 +12,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartolex.llm.components import connected_components
 from cartolex.llm.scratch import cut
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rules become one expression, so their number is bounded.
-MOST_RULES = 500
+#: Query parameters that don't change the page.
+TRACKING = r"(?i)^(?:utm_[a-z]+|ref|fbclid|gclid)="
+ARTICLE = r"(?is)<article\b[^>]*>(.+?)</article>"
 _QUOTED = r"""\s*=\s*["']?\s*"""
 
 
@@ -47,16 +50,30 @@ def parts(df: DataFrame, url_col: str) -> DataFrame:
     return with_rest.withColumn("host", host).withColumn("path", F.regexp_extract("_rest", r"^[^/?#]*([^?#]*)", 1)).drop("_rest")
 
 
-def matched(rules: tuple[Rule, ...]) -> tuple[Column, Column]:
-    """The longest fitting rule's name and verdict, from columns host and path; null where none fits."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
-    name = verdict = None
-    for rule in sorted(rules, key=lambda r: (-len(r.name), r.name, r.verdict)):
-        fits = ((F.col("host") == rule.host) | F.col("host").endswith("." + rule.host)) & F.col("path").startswith(rule.path)
-        name = F.when(fits, rule.name) if name is None else name.when(fits, rule.name)
-        verdict = F.when(fits, rule.verdict) if verdict is None else verdict.when(fits, rule.verdict)
-    return (name, verdict) if name is not None else (F.lit(None).cast("string"),) * 2
+def rule_table(spark: SparkSession, rules: tuple[Rule, ...] | DataFrame) -> DataFrame:
+    """(host, path, verdict) of rules given as such a table or as :class:`Rule` values."""
+    if isinstance(rules, DataFrame):
+        return rules.select("host", "path", "verdict")
+    return spark.createDataFrame([(r.host, r.path, r.verdict) for r in rules], "host string, path string, verdict string")
+
+
+def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """``(host, path, rule, verdict)`` of each distinct (host, path) of ``urls`` that a rule fits: of the longest, of equals the first by name, then allow.
+
+    Hosts are looked up once each. A host suffix brings the lengths of its rules' paths, of which there are no more than
+    a path has signs; a url asks for its beginnings of those lengths.
+    """
+    named = rules.select(F.col("host").alias("r_host"), F.col("path").alias("r_path"), "verdict", F.concat("host", "path").alias("rule"))
+    lengths = named.groupBy("r_host").agg(F.collect_set(F.length("r_path")).alias("lengths"))
+    labels = F.split("host", r"\.", -1)
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    distinct = urls.select("host", "path").distinct()
+    ruled = distinct.select("host").distinct().withColumn("r_host", F.explode(suffixes)).join(lengths, "r_host")
+    fitting = F.filter("lengths", lambda n: n <= F.length("path"))
+    asked = distinct.join(ruled, "host").select("host", "path", "r_host", F.explode(fitting).alias("n")).select("host", "path", "r_host", F.substring(F.col("path"), F.lit(1), F.col("n")).alias("r_path"))
+    found = asked.join(named, ["r_host", "r_path"])
+    best = F.min(F.struct((-F.length("rule")).alias("n"), "rule", "verdict"))
+    return found.groupBy("host", "path").agg(best.alias("b")).select("host", "path", "b.rule", "b.verdict")
 
 
 def node(url: Column) -> Column:
@@ -83,7 +100,7 @@ def resolved(target: Column, url: Column) -> Column:
 
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(src, dst)`` nodes of all canonical links and immediate refreshes that pages state; relative targets are resolved."""
+    """``(src, dst)`` nodes of all canonical links and refreshes, after whatever delay, that pages state; relative targets are resolved."""
     link = r"(?is)<link\b(?=[^>]*\brel" + _QUOTED + r"canonical\b)[^>]*\bhref" + _QUOTED + r"([^\s\"'>]+)"
     refresh = r"(?is)<meta\b(?=[^>]*\bhttp-equiv" + _QUOTED + r"refresh\b)[^>]*\burl\s*=\s*([^\s\"'>]+)"
     targets = F.concat(*[F.regexp_extract_all(html_col, F.lit(pattern), 1) for pattern in (link, refresh)])
@@ -92,22 +109,46 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return stated.where("u is not null and to <> ''").select(node(F.col("u")).alias("src"), node(to).alias("dst")).where(F.col("dst").rlike(r"^[^:/?#]+://"))
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, redirects: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def address(url: Column) -> Column:
+    """A url's canonical address: without fragment and query parameters that only track visitors, https for http, and a page's name without slash or .html at its end."""
+    bare = node(url)
+    head, query = F.regexp_extract(bare, r"^([^?]*)", 1), F.regexp_extract(bare, r"^[^?]*\?(.*)$", 1)
+    kept = F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(TRACKING))
+    plain = F.regexp_replace(F.regexp_replace(head, r"(?i)(?<=[^/:])(?:/|/index\.html?|\.html?)$", ""), "^http://", "https://")
+    return F.when(F.size(kept) > 0, F.concat(plain, F.lit("?"), F.array_join(kept, "&"))).otherwise(plain)
+
+
+def mirrors(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``(src, dst)`` nodes of pages whose canonical addresses differ in nothing, or in their host only while they hold one article.
+
+    Each such group is joined to its smallest node; groups are pre-aggregated, so a page of many addresses costs a task one row.
+    """
+    at = address(F.col(url_col))
+    article = F.md5(F.regexp_extract(html_col, ARTICLE, 1).cast("binary"))
+    same_text = F.when(F.col(html_col).rlike(ARTICLE), F.concat_ws("\n", article, F.regexp_extract(at, r"^[^:/?#]+://[^/?]*(.*)$", 1)))
+    keyed = pages.where(F.col(url_col).contains("://")).select(node(F.col(url_col)).alias("src"), F.explode(F.array(at, same_text)).alias("key")).where("key is not null")
+    keyed = cut(keyed, "addresses")
+    least = keyed.groupBy("key").agg(F.min("src").alias("dst"), F.max("src").alias("last")).where("dst <> last").select("key", "dst")
+    return keyed.join(least, "key").where("src <> dst").select("src", "dst")
+
+
+def judge(pages: DataFrame, rules: tuple[Rule, ...] | DataFrame = RULES, redirects: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(page_id, host, path, rule, verdict, component)`` for every row of ``pages``.
 
-    ``redirects`` may add a (from_url, to_url) table. component is the smallest alias, null for a url
+    ``redirects`` may add a (from_url, to_url) table, ``rules`` may be a table (host, path, verdict). component is the smallest alias, null for a url
     without aliases. A null url, or one without ``://``, has an empty host and path, no rule and no
     aliases, and is allowed. Repeated rows are judged alike, each on its own; a null html states no links.
     """
-    edges = page_links(pages, url_col, html_col)
+    edges = page_links(pages, url_col, html_col).union(mirrors(pages, url_col, html_col))
     if redirects is not None:
         edges = edges.union(redirects.where("from_url is not null and to_url is not null").select(node(F.col("from_url")), node(F.col("to_url"))))
-    of = cut(connected_components(edges, "src", "dst"), "alias_components")
-    name, verdict = matched(rules)
-    decided = parts(of, "node").select("component", verdict.alias("v"))
-    whole = decided.groupBy("component").agg(F.max(F.col("v") == "allow").alias("allowed"), F.max(F.col("v") == "block").alias("blocked"))
-    known = cut(of.join(whole, "component"), "alias_verdicts")
-    rows = parts(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")), "url").select("page_id", "host", "path", node(F.col("url")).alias("node"), name.alias("rule"), verdict.alias("own"))
-    out = rows.join(known, "node", "left")
+    of = cut(parts(connected_components(edges, "src", "dst"), "node"), "alias_components")
+    rows = parts(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")), "url").select("page_id", "host", "path", node(F.col("url")).alias("node"))
+    rows = cut(rows, "urls")
+    fits = cut(matched(rows.select("host", "path").union(of.select("host", "path")), rule_table(pages.sparkSession, rules)), "rule_matches")
+    whole = of.join(fits, ["host", "path"]).groupBy("component").agg(F.max(F.col("verdict") == "allow").alias("allowed"), F.max(F.col("verdict") == "block").alias("blocked"))
+    known = cut(of.select("node", "component").join(whole, "component", "left"), "alias_verdicts")
+    own = fits.withColumnRenamed("verdict", "own")
+    out = rows.join(own, ["host", "path"], "left").join(known, "node", "left")
     inherited = F.when(F.coalesce("allowed", F.lit(False)), "allow").when(F.coalesce("blocked", F.lit(False)), "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("own", inherited).alias("verdict"), "component")
