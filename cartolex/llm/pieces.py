@@ -35,7 +35,7 @@ UNKNOWN_PENALTY = 10.0
 CACHE = 250_000
 BATCH_CHARS = 4 << 20
 #: Lengths of unit beginnings whose search is remembered, longest first.
-HEADS = (8, 5)
+HEADS = (9, 7, 5, 4)
 
 
 class PieceModel:
@@ -218,10 +218,12 @@ class PieceModel:
         text = text.replace(" ", SPACE)
         if self.prefix:
             text = SPACE + text
-        found, parts = self.units.finditer(text), []
-        while block := [m.group() for m in islice(found, 1 << 16)]:
+        if len(text) <= BATCH_CHARS:
             get = self.young.get
-            parts.append(b"".join([get(u) or self._unit(u) for u in block]))
+            return np.frombuffer(b"".join([get(u) or self._unit(u) for u in self.units.findall(text)]), np.int32)
+        found, parts = self.units.finditer(text), []  # the same for a text whose units aren't listed all at once
+        while block := [m.group() for m in islice(found, 1 << 16)]:
+            parts.append(b"".join([self.young.get(u) or self._unit(u) for u in block]))
         return np.frombuffer(b"".join(parts), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
