@@ -6,7 +6,7 @@
    mantissa.
 2. Documents of one digest are one class; only the smallest doc_id of each goes on.
 3. Four registers make a band; equal bands make a group. Star round: each document is paired with the
-   one group's smallest member with which it shares most bands. A pair whose collision-corrected
+   one group's smallest member with which it shares most bands, its leader. A pair whose collision-corrected
    estimate is within five standard errors of the threshold is confirmed on the full sets, and
    confirmed links make components.
 4. Cross round: groups that still hold several components are compared in blocks, only across
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from cartolex.llm import words
 from cartolex.llm.blocks import UNIT, block_pairs, units
 from cartolex.llm.components import connected_components
-from cartolex.llm.scratch import cut
+from cartolex.llm.scratch import cut, fresh
 
 WIDTH = 5
 REGISTERS, MANTISSA, BANDS = 128, 10, 32
@@ -37,6 +37,8 @@ BLOCK = 1024
 SIGMAS = 5.0
 #: A document with this many possible partners of one component in a unit probes the component instead.
 MANY = 8
+#: Text of one block of a leader's followers.
+TEXT_BYTES = 4 << 20
 #: Shingles a side that a unit of probes holds on average (8 bytes each).
 PROBE_SHINGLES = 1 << 20
 #: Expected collisions of two disjoint sets: this constant times registers / 2^mantissa, at equal sizes.
@@ -124,22 +126,21 @@ def _filter_pairs(percent: int):
 
 
 def _confirm(percent: int, width: int):
+    """In each unit, the pairs of a leader (side 0) and a follower (side 1) whose full sets are similar; each text is cut into shingles once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            keep = np.zeros(n, bool)
-            sizes = np.array([len(x) for x in batch.column("a_text").to_pylist()]) if n else np.zeros(0)
-            at, bounds = 0, []
-            while at < n:  # a few MB of text at a time
-                to = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), 2 << 20)))
-                bounds.append((at, to))
-                at = to
-            for low, high in bounds:
-                left = [s for _, sets in words.distinct_shingles(batch.column("a_text").slice(low, high - low), width) for s in sets]
-                right = [s for _, sets in words.distinct_shingles(batch.column("b_text").slice(low, high - low), width) for s in sets]
-                for i, (x, y) in enumerate(zip(left, right, strict=True)):
-                    keep[low + i] = _similar(x, y, percent)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+        for unit in units(batches, UNIT):
+            side, ids = unit.column("side").to_numpy(), unit.column("id").to_numpy()
+            first = np.flatnonzero(side == 0)
+            leaders = [s for k in first for _, sets in words.distinct_shingles(unit.column("text").slice(k, 1), width) for s in sets]
+            rest = pa.array(side == 1)
+            found = []
+            for row, sets in words.distinct_shingles(unit.column("text").filter(rest), width):
+                own = ids[side == 1][row : row + len(sets)]
+                found += [i for i, x in zip(own, sets, strict=True) if any(_similar(lead, x, percent) for lead in leaders)]
+            if found:
+                b = np.unique(np.array(found, np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(b), unit.column("key")[0].as_py())), pa.array(b)], ["a", "b"])
 
     return run
 
@@ -229,23 +230,34 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """``(id, text)`` once for each of ``ids``; ``docs`` has (id, text)."""
-    return docs.join(cut(ids.distinct(), "involved"), "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
+    """``(id, text)`` once for each of ``ids`` and each different text that it has; ``docs`` has (id, text)."""
+    few = docs.where("text is not null").join(cut(ids.distinct(), "involved"), "id", "left_semi")
+    return few.groupBy("id", F.xxhash64("text").alias("version")).agg(F.first("text").alias("text")).drop("version")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar; ``docs`` has (id, text)."""
-    texts = cut(_texts_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), docs), "texts")
-    left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("a_text")), "a")
-    both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("b_text")), "b")
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(_confirm(percent, width), "a long, b long")
+    """The pairs (a, b) whose full sets are similar; ``docs`` has (id, text).
+
+    Pairs are grouped by ``a``, the leader. Its followers are dealt into blocks of about ``TEXT_BYTES``, and the leader's
+    text goes once to each block, not to each pair.
+    """
+    texts = cut(_texts_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), docs).withColumn("bytes", F.octet_length("text")), "texts")
+    sizes = texts.groupBy("id").agg(F.sum("bytes").alias("bytes"))
+    blocks = pairs.join(sizes, pairs["b"] == sizes["id"]).groupBy("a").agg(F.ceil(F.sum("bytes") / TEXT_BYTES).cast("int").alias("blocks"))
+    blocks = cut(blocks.select("a", F.greatest("blocks", F.lit(1)).alias("blocks")), "leaders")
+    followers = pairs.join(blocks, "a").select(F.col("a").alias("key"), F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("left_block"), F.lit(1).alias("side"), F.col("b").alias("id"))
+    leaders = blocks.select(F.col("a").alias("key"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("left_block"), F.lit(0).alias("side"), F.col("a").alias("id"))
+    dealt = leaders.union(followers).withColumn("right_block", F.lit(0)).join(texts.drop("bytes"), "id")
+    return dealt.repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(_confirm(percent, width), "a long, b long")
 
 
 def _full_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, sets in words.distinct_shingles(batch.column("text"), width):
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(row, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "hashes"])
+                found = [s.tobytes() for s in sets]
+                digests = [hashlib.blake2b(x, digest_size=16).digest() if x else None for x in found]
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(row, len(sets)), pa.array(digests, pa.binary()), pa.array(found, pa.binary())], ["id", "digest", "hashes"])
 
     return run
 
@@ -261,16 +273,16 @@ def _probed(probes: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFra
     rows = probes.select("id", "target", F.lit(0).alias("side")).union(members.select("id", "target", F.lit(1)))
     own = labels.select(F.col("node").alias("id"), F.col("component").alias("label"))
     rows = rows.join(reps, "id").join(own, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    rows = cut(rows.select("id", F.col("target").alias("key"), "side", "label", "n_shingles", "bands"), "probe_rows")
+    rows = cut(rows.select("id", "digest", F.col("target").alias("key"), "side", "label", "n_shingles", "bands"), "probe_rows")
     held = lambda side: F.greatest(F.ceil(F.sum(F.when(F.col("side") == side, F.col("n_shingles"))) / PROBE_SHINGLES), F.lit(1)).cast("int")
     blocks = cut(rows.groupBy("key").agg(held(0).alias("left_blocks"), held(1).alias("right_blocks")), "probe_blocks")
-    sets = cut(_texts_of(rows.select("id"), docs).mapInArrow(_full_sets(width), "id long, hashes binary"), "probe_sets")
+    sets = cut(_texts_of(rows.select("id"), docs).mapInArrow(_full_sets(width), "id long, digest binary, hashes binary").dropDuplicates(["id", "digest"]), "probe_sets")
     mine = lambda count: F.pmod(F.xxhash64("id"), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     placed = rows.join(blocks, "key")
     left = placed.where("side = 0").withColumn("left_block", mine("left_blocks")).withColumn("right_block", every("right_blocks"))
     right = placed.where("side = 1").withColumn("right_block", mine("right_blocks")).withColumn("left_block", every("left_blocks"))
-    dealt = left.unionByName(right).drop("left_blocks", "right_blocks").join(sets, "id")
+    dealt = left.unionByName(right).drop("left_blocks", "right_blocks").join(sets, ["id", "digest"])
     return dealt.repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(_probe(percent), "a long, b long")
 
 
@@ -281,15 +293,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is the smallest id reachable by links, kept whether that is the row's own.
 
     Null, empty and blank texts have no shingles and link with nothing. Rows that repeat an id are
-    one document: each row is returned, with one component. Rows with a null id are returned
+    one document: each row is returned, with its own text's n_shingles and one component, that of all its texts. Rows with a null id are returned
     with a null component and kept: they can't be named, so nothing is dropped for them.
     Ids must fit a long. Empty input gives an empty result.
     """
     made = cut(signatures(docs, id_col, text_col, width), "signatures")
     sets = made.where("digest is not null and id is not null")
-    classes = cut(sets.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
-    reps = sets.join(classes, "digest").where("id = rep").groupBy("id", "digest").agg(F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    reps = sets.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     reps = cut(reps, "representatives")
+    classes = reps.select("digest", F.col("id").alias("rep"), "copies")
+    homes, same_id = _repeated(made, classes)
     banded = reps.select("id", "n_shingles", F.posexplode("bands").alias("band", "value")).where("value <> 0").select("id", "n_shingles", F.xxhash64("band", "value").alias("key"))
     groups = banded.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("a"), F.count("*").alias("n")).where("n > 1")
     groups = cut(groups.select("key", "n", F.col("a.id").alias("a"), F.col("a.n_shingles").alias("a_size")), "groups")
@@ -299,9 +312,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = shared.groupBy("b").agg(F.max_by("a", F.struct("bands", -F.col("a"))).alias("a")).select("a", "b")
     sketch = lambda x: reps.select(F.col("id").alias(x), F.col("n_shingles").alias(f"{x}_n"), F.col("bands").alias(f"{x}_bands"))
     pairs = pairs.join(sketch("b"), "b").join(sketch("a"), "a")
-    pairs = cut(pairs.mapInArrow(_filter_pairs(percent), "a long, b long"), "star_pairs")
+    pairs = cut(pairs.mapInArrow(_filter_pairs(percent), "a long, b long").distinct(), "star_pairs")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    links = cut(_confirmed(pairs, texts, percent, width), "star_links")
+    links = cut(_confirmed(pairs, texts, percent, width).union(same_id), "star_links")
     labels = cut(connected_components(links, "a", "b"), "star_components")
 
     named = cut(members.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "n", "id", F.coalesce("component", "id").alias("label")), "named")
@@ -312,21 +325,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cross = cut(dealt.mapInArrow(_cross(percent), "a long, b long, target long").distinct(), "cross")
     cross_pairs = cut(cross.where("target is null").select("a", "b").join(pairs, ["a", "b"], "left_anti"), "cross_pairs")
     probes = cross.where("target is not null").select(F.col("a").alias("id"), "target")
-    more = _confirmed(cross_pairs, texts, percent, width).union(_probed(probes, labels, reps.select("id", "n_shingles", "bands"), texts, percent, width))
+    more = _confirmed(cross_pairs, texts, percent, width).union(_probed(probes, labels, reps.select("id", "digest", "n_shingles", "bands"), texts, percent, width))
     whole = cut(connected_components(links.union(more), "a", "b"), "components")
 
-    by_class = cut(classes.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id")), "class_components")
-    out = made.drop("bands").join(by_class, "digest", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
+    named = whole.withColumnRenamed("node", "rep")
+    by_class = cut(classes.join(named, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id")), "class_components")
+    by_id = homes.join(named, "rep", "left").select("id", F.coalesce("component", "rep").alias("home"))
+    out = made.drop("bands").join(by_class, "digest", "left").join(by_id, "id", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "home", "id"))
     repeated = out.select("id", "n_shingles", component.alias("component_id"))
     return repeated.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
 
+def _repeated(made: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of ids whose rows have different sets: ``(id, rep)``, the least class of their texts, and the links ``(a, b)`` between their classes."""
+    own = F.xxhash64("digest")
+    differ = made.where("id is not null").groupBy("id").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low <> high").select("id")
+    several = made.where("digest is not null").select("id", "digest").join(differ, "id", "left_semi").distinct()
+    several = cut(several.join(classes.select("digest", "rep"), "digest").select("id", "rep").distinct(), "repeated_ids")
+    homes = cut(several.groupBy("id").agg(F.min("rep").alias("rep")), "homes")
+    links = several.join(homes.withColumnRenamed("rep", "a"), "id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    return homes, links
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = WIDTH) -> DataFrame:
     """One row of each component of :func:`near_duplicates`, the smallest id's, with all columns.
 
     Rows that repeat an id are one document, of which one row stays. Rows with a null id all stay.
     """
-    kept = near_duplicates(docs, id_col, text_col, percent, width).where("kept and id is not null").select(F.col("id").alias("_kept")).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(cut(kept, "kept"), F.col(id_col).cast("long") == F.col("_kept"), "left_semi")
+    name = fresh(docs.columns, "kept_id")[0]
+    kept = near_duplicates(docs, id_col, text_col, percent, width).where("kept and id is not null").select(F.col("id").alias(name)).distinct()
+    named = docs.where(F.col(id_col).isNotNull()).join(cut(kept, "kept"), F.col(id_col).cast("long") == F.col(name), "left_semi")
     return named.dropDuplicates([id_col]).union(docs.where(F.col(id_col).isNull()))

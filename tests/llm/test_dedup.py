@@ -185,3 +185,12 @@ def test_probes_take_the_place_of_many_pairs():
     rows = near_dedup._pairs_and_probes(ids, label, np.array([*range(10), 10, 3]), np.array([10] * 10 + [11, 11])).to_pylist()
     assert sorted((r["a"], r["b"], r["target"]) for r in rows if r["target"] is None) == [(30, 110, None), (100, 110, None)]
     assert [r for r in rows if r["target"] is not None] == [{"a": 100, "b": None, "target": 0}]
+
+
+def test_rows_that_repeat_an_id_have_one_component(spark):
+    words_of = lambda k: " ".join(f"{k}{i}" for i in range(12))
+    rows = [(5, words_of("a")), (5, words_of("b")), (1, words_of("a")), (2, words_of("b")), (5, None), (7, words_of("c")), (7, words_of("b") + " x"), (8, ""), (8, None), (9, None), (9, words_of("d"))]
+    got = {(r.id, r.n_shingles): (r.component_id, r.kept) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: v[0] for k, v in got.items()} == {(5, 8): 1, (1, 8): 1, (2, 8): 1, (5, 0): 1, (7, 8): 1, (7, 9): 1, (8, 0): 8, (9, 0): 9, (9, 8): 9}
+    kept = near_dedup.keep_first(spark.createDataFrame(rows, "doc_id long, text string").withColumn("kept_id", F.lit("own")).withColumn("_kept", F.lit(3)))
+    assert sorted((r.doc_id, r.kept_id) for r in kept.collect()) == [(1, "own"), (8, "own"), (9, "own")]
