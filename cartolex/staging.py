@@ -12,10 +12,13 @@ import atexit
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _made: dict[str, SparkSession] = {}
+_own: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,13 +32,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back from there."""
-    spark = df.sparkSession
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted with all staged tables when the process ends."""
     root = f"{shared_folder(spark)}/cartolex-{uuid.uuid4().hex}"
-    df.write.parquet(f"{root}/{name}")
     _made[root] = spark
-    return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+    return f"{root}/{name}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back from there."""
+    path = new_path(df.sparkSession, name)
+    _own.add(path.rsplit("/", 1)[0])
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def released_after() -> Iterator[None]:
+    """Deletes, at its end, what :func:`stage` wrote within it: for a plan whose result is written by then."""
+    before = set(_own)
+    yield
+    for root in _own - before:
+        if root in _made:
+            delete(_made.pop(root), root)
+    _own.intersection_update(before)
 
 
 def release(*tables: DataFrame) -> None:

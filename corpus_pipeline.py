@@ -1,7 +1,8 @@
 """A corpus pipeline over ``documents``: quality, language, near-dedup, mixing, tokens.
 
 Each stage is one training-data operator applied to all that its predecessor kept. A stage that filters
-returns the columns it was given; the last returns token ids in place of texts.
+returns exactly the columns it was given, with their own values, whatever they are called; the last returns
+token ids in place of texts.
 """
 
 from __future__ import annotations
@@ -12,40 +13,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartolex.llm import mixing, near_dedup, pieces, queries
-from cartolex.llm.scratch import cut
+from cartolex.staging import new_path, release, released_after
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: A document goes if its calibrated chance of good quality is below this; lower than the classifier's own
-#: cut of 0.7, so that clean documents in a style the labels hardly show are kept.
+#: cut of 0.7, so that clean documents in a style the labels hardly show are kept. The README has what the lower cut lets through.
 LEAST_QUALITY = 0.4
 
 
+def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns c0, c1, ..., and their names by the given ones, so that no operator's column clashes with one of theirs."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names, strict=True))
+
+
+def _given(plain: DataFrame, docs: DataFrame) -> DataFrame:
+    return plain.select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the quality classifier rejects."""
-    scored = queries.quality_model(spark, docs, sf_dir).transform(docs, score_col="_quality")
-    return scored.where(F.col("_quality") >= LEAST_QUALITY).drop("_quality")
+    plain, c = _plain(docs)
+    scored = queries.quality_model(spark, docs, sf_dir).transform(plain, c["text"], "quality_score")
+    return _given(scored.where(F.col("quality_score") >= LEAST_QUALITY), docs)
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that language ID rejects."""
-    judged = queries.language_model(docs).predict(docs)
-    return judged.where(~F.col("rejected")).select(*docs.columns)
+    plain, c = _plain(docs)
+    return _given(queries.language_model(docs).predict(plain, c["text"]).where(~F.col("rejected")), docs)
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates: that of the smallest doc_id."""
-    return near_dedup.keep_first(docs)
+    plain, c = _plain(docs)
+    return _given(near_dedup.keep_first(plain, c["doc_id"], c["text"]), docs)
 
 
 def keep_sampled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents sampled to the target mix."""
-    return mixing.mix(docs).where("sampled").select(*docs.columns)
+    plain, c = _plain(docs)
+    return _given(mixing.mix(plain, id_col=c["doc_id"], text_col=c["text"], source_col=c["source"], lang_col=c["lang"]).where("sampled"), docs)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document."""
-    return pieces.encode(docs, queries.PIECE_MODEL).select("doc_id", "source", "lang", "ids", "n_tokens", "round_trip")
+    plain = docs.select("doc_id", "source", "lang", "text")
+    return pieces.encode(plain, queries.PIECE_MODEL).drop("text")
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -60,8 +75,17 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn over ``documents``; each one's rows are written before the next reads them."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = cut(stage(spark, docs, sf_dir), f"stage_{k}")
+    """All stages in turn over ``documents``; each one's rows are written before the next reads them.
+
+    What a stage staged for itself, and the rows that it read, are deleted as soon as its own rows are written.
+    """
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for k, (_, step) in enumerate(STAGES):
+        with released_after():
+            made = step(spark, docs, sf_dir)
+            made.write.parquet(path := new_path(spark, f"stage_{k}"))
+        docs = spark.read.schema(made.schema).parquet(path)
+        if read is not None:
+            release(read)
+        read = docs
     return docs
