@@ -34,8 +34,9 @@ def assemble(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn",
 def pair_up(convs: DataFrame, deal: int = DEAL) -> DataFrame:
     """``(chosen_id, rejected_id)``: conversations of one first turn in pairs, the smaller id chosen.
 
-    Conversations with one first turn are dealt by a hash of their id, and neighbours by id
-    make a pair; those left over are paired with each other. At most one of each first turn stays
+    The pairing is defined by the table: n conversations with one first turn are dealt to ceil(n / ``deal``) hands by a hash of their
+    id, so a hand's number depends on n; in each hand neighbours by id
+    make a pair; those left over, at most one a hand, are paired with each other. At most one of each first turn stays
     alone, with a null rejected_id.
     """
     key = F.md5(F.concat_ws("\x1f", F.col("turns")[0]["role"], F.col("turns")[0]["text"]).cast("binary"))
