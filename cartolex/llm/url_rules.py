@@ -54,7 +54,8 @@ def rule_table(spark: SparkSession, rules: tuple[Rule, ...] | DataFrame) -> Data
     """(host, path, verdict) of rules given as such a table or as :class:`Rule` values."""
     if isinstance(rules, DataFrame):
         return rules.select("host", "path", "verdict")
-    return spark.createDataFrame([(r.host, r.path, r.verdict) for r in rules], "host string, path string, verdict string")
+    made = F.array(*[F.struct(F.lit(r.host).alias("host"), F.lit(r.path).alias("path"), F.lit(r.verdict).alias("verdict")) for r in rules])
+    return spark.range(1).select(F.explode(made.cast("array<struct<host:string,path:string,verdict:string>>")).alias("r")).select("r.*")
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
