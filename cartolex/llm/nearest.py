@@ -1,14 +1,17 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-A table's pseudo-rotation is three rounds of random signs and a fast Hadamard transform; a unit vector
-hashes to the nearest signed axis of its rotation. Every vector is indexed once in each table. A
-query visits its ``probes`` nearest signed axes in each table, and candidates are ranked by exact
+A pseudo-rotation is three rounds of random signs and a fast Hadamard transform; a unit vector hashes
+to the nearest signed axis of its rotation. A table's cell is the axis of one rotation, joined by those
+of further ones as the number of vectors grows, so that a cell holds about ``BUCKET`` of them at every
+size. Every vector is indexed once in each table. A query visits the cells nearest to it in each
+table, by the sum of squared gaps to its own axes, and candidates are ranked by exact
 cosine in double precision. Crowded buckets are dealt into parts, each of which answers for its own
 best; a part returns no more than k rows a query.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +25,8 @@ from cartolex.llm.blocks import units
 from cartolex.llm.scratch import cut
 
 TABLES, PROBES, PART = 6, 14, 4096
+#: Rows a cell should hold, cells of which ``PROBES`` are visited, and the power by which visits grow with cells.
+BUCKET, PROBED, GROWTH = 1024, 128, 0.75
 SLACK = 1e-9
 
 
@@ -35,29 +40,66 @@ def hadamard(y: np.ndarray) -> np.ndarray:
     return y
 
 
-def rotations(x: np.ndarray, tables: int, seed: int) -> Iterator[np.ndarray]:
-    """Each table's scores of the 2 * D signed axes for rows ``x`` (D: their length, up to a power of two)."""
+def rotations(x: np.ndarray, tables: int, each: int, seed: int) -> Iterator[list[np.ndarray]]:
+    """Each table's ``each`` pseudo-rotations of rows ``x``, padded with zeros to a power of two."""
     width = 1 << max(0, int(x.shape[1] - 1).bit_length())
     padded = np.zeros((len(x), width))
     padded[:, : x.shape[1]] = x
     rng = np.random.RandomState(seed)
     for _ in range(tables):
-        y = padded
-        for _ in range(3):
-            y = hadamard(y * rng.choice([-1.0, 1.0], width)) / np.sqrt(width)
-        yield np.concatenate([y, -y], 1)
+        found = []
+        for _ in range(each):
+            y = padded
+            for _ in range(3):
+                y = hadamard(y * rng.choice([-1.0, 1.0], width)) / np.sqrt(width)
+            found.append(y)
+        yield found
 
 
-def _hash(dim: int, tables: int, count: int, seed: int):
-    """Adds ``buckets``: the ``count`` nearest signed axes of each table, as table * 2^32 + axis."""
+def axes(dim: int, rows: int, bucket: int) -> list[int]:
+    """How many signed axes each rotation of a table tells apart: all by the first, then as many more as give a cell to every ``bucket`` rows."""
+    whole = 2 << max(0, (dim - 1).bit_length())
+    found, left = [whole], -(-rows // (bucket * whole))
+    while left > 1:
+        found.append(min(whole, 1 << (left - 1).bit_length()))
+        left = -(-left // found[-1])
+    return found
+
+
+def probes_of(cells: int, probes: int) -> int:
+    """Cells a query visits in each table: ``probes``, and more as the 0.75th power where a table has more than 128."""
+    return math.ceil(probes * max(1.0, cells / PROBED) ** GROWTH)
+
+
+def nearest_cells(rotated: list[np.ndarray], widths: list[int], count: int) -> np.ndarray:
+    """The ``count`` cells nearest each row.
+
+    Gaps add up over rotations, so the best cells begin with the best beginnings, of which only ``count`` are carried on.
+    """
+    cell, cost = np.zeros((len(rotated[0]), 1), np.int64), np.zeros((len(rotated[0]), 1))
+    for y, w in zip(rotated, widths, strict=True):
+        scores = np.concatenate([y[:, : w // 2], -y[:, : w // 2]], 1)
+        gap = (scores.max(1, keepdims=True) - scores) ** 2
+        total = (cost[:, :, None] + gap[:, None, :]).reshape(len(y), -1)
+        named = (cell[:, :, None] * w + np.arange(w)).reshape(len(y), -1)
+        at = np.argsort(total, axis=1, kind="stable")[:, :count]
+        cell, cost = np.take_along_axis(named, at, 1), np.take_along_axis(total, at, 1)
+    return cell
+
+
+def _hash(dim: int, tables: int, widths: list[int], count: int, seed: int):
+    """Adds ``buckets``: the ``count`` nearest cells of each table, as table * 2^32 + cell."""
+    step = max(1, (1 << 21) // (count * max(widths)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = vectors.unit(vectors.matrix(batch.column("vector"), dim))
-            found = [(t << 32) + np.argsort(-s, axis=1, kind="stable")[:, :count] for t, s in enumerate(rotations(x, tables, seed))]
-            every = np.concatenate(found, 1).astype(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * every.shape[1]), pa.array(every.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "buckets"])
+        for whole in batches:
+            for low in range(0, whole.num_rows, step):
+                batch = whole.slice(low, step)
+                x = vectors.unit(vectors.matrix(batch.column("vector"), dim))
+                found = [(t << 32) + nearest_cells(r, widths, count) for t, r in enumerate(rotations(x, tables, len(widths), seed))]
+                every = np.concatenate(found, 1)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * every.shape[1]), pa.array(every.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "buckets"])
 
     return run
 
@@ -91,7 +133,7 @@ def _rank(dim: int, k: int):
     return run
 
 
-def search(df: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES, seed: int = 9) -> DataFrame:
+def search(df: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES, bucket: int = BUCKET, seed: int = 9) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest rows found for each row where ``queries`` (over ``df``) holds.
 
     The nearest come first, ties go to the smaller id; a query doesn't find its own id. Unusable vectors
@@ -106,10 +148,12 @@ def search(df: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", v
     kind = rows.schema["vector"].dataType.simpleString()
     schema = f"id long, vector {kind}, q boolean, buckets array<long>"
     good = cut(good, "usable")
-    index = cut(good.mapInArrow(_hash(dim, tables, 1, seed), schema), "index").withColumn("key", F.explode("buckets"))
-    asked = cut(good.where("q").mapInArrow(_hash(dim, tables, probes, seed), schema), "probes").withColumn("key", F.explode("buckets"))
+    widths = axes(dim, good.count(), bucket)
+    visits = probes_of(math.prod(widths), probes)
+    index = cut(good.mapInArrow(_hash(dim, tables, widths, 1, seed), schema), "index").withColumn("key", F.explode("buckets"))
+    asked = cut(good.where("q").mapInArrow(_hash(dim, tables, widths, visits, seed), schema), "probes").withColumn("key", F.explode("buckets"))
     sizes = index.groupBy("key").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    sizes = cut(sizes, "bucket_sizes")  # at most tables * 2 * D rows
+    sizes = cut(sizes, "bucket_sizes")  # at most one row a cell
     best = _best(_answers(index, asked, sizes, dim, k), k)
     best = cut(best, "nearest")
     short = good.where("q").select("id").distinct().join(best.groupBy("query_id").count().where(F.col("count") >= k), F.col("id") == F.col("query_id"), "left_anti")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import numpy as np
@@ -132,12 +133,13 @@ def test_embedding_duplicates_of_odd_tables(spark):
     assert sorted(((r.id, r.n_links, r.component_id, r.kept) for r in got), key=str) == sorted([(None, 0, None, True), (3, 1, 2, False), (2, 1, 2, True), (9, 0, 9, True)], key=str)
 
 
-def test_nearest_against_brute_force(spark):
+@pytest.mark.parametrize("bucket", [nearest.BUCKET, 1])
+def test_nearest_against_brute_force(spark, bucket):
     x, rows = vector_rows(seed=4)
     u = vectors.unit(x)
     df = spark.createDataFrame([*rows, rows[5]], "vec_id long, embedding array<float>, score int")
     got: dict[int, list] = {}
-    for r in nearest.search(df, F.col("vec_id") % 10 == 0, k=5).orderBy("query_id", "rank").collect():
+    for r in nearest.search(df, F.col("vec_id") % 10 == 0, k=5, bucket=bucket).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     hits = total = 0
     assert sorted(got) == list(range(0, len(x), 10))
@@ -152,6 +154,45 @@ def test_nearest_against_brute_force(spark):
     assert hits / total >= 0.9
 
 
+def test_cells_grow_with_rows():
+    assert [nearest.axes(64, n, 1024) for n in (0, 131072, 131073, 600000, 10**7, 10**9)] == [[128], [128], [128, 2], [128, 8], [128, 128], [128, 128, 64]]
+    assert nearest.axes(1, 10, 1) == [2, 2, 2, 2]
+    assert [nearest.probes_of(c, 14) for c in (2, 128, 256, 4096)] == [14, 14, 24, 189]
+
+
+def test_nearest_cells_are_those_of_all_cells():
+    """Cells found one rotation after another, against the gaps of every cell."""
+    x = vectors.unit(np.random.RandomState(3).randn(20, 8))
+    widths = [16, 16, 4]
+    for rotated in nearest.rotations(x, 2, 3, 5):
+        gaps = []
+        for y, w in zip(rotated, widths, strict=True):
+            s = np.concatenate([y[:, : w // 2], -y[:, : w // 2]], 1)
+            gaps.append((s.max(1, keepdims=True) - s) ** 2)
+        every = (gaps[0][:, :, None, None] + gaps[1][:, None, :, None] + gaps[2][:, None, None, :]).reshape(len(x), -1)
+        found = nearest.nearest_cells(rotated, widths, 30)
+        assert all(len(set(line)) == 30 for line in found.tolist())
+        assert (np.take_along_axis(every, found, 1) == np.sort(every, axis=1)[:, :30]).all()
+        assert (nearest.nearest_cells(rotated, widths, 1)[:, 0] == every.argmin(1)).all()
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+@pytest.mark.parametrize("bucket", [nearest.BUCKET, 8])
+def test_recall_on_the_given_vectors(spark, bucket):
+    """At least 0.9 of the five nearest, with the registered cells and with twice as many."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.where(vectors.usable(F.col("embedding"))).orderBy("vec_id").collect()
+    ids, u = np.array([r.vec_id for r in rows]), vectors.unit(np.array([r.embedding for r in rows], float))
+    got: dict[int, set] = {}
+    for r in nearest.search(df, F.col("vec_id") % 50 == 0, bucket=bucket).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = []
+    for at in np.flatnonzero(ids % 50 == 0):
+        best = [j for j in np.argsort(-(u @ u[at]), kind="stable") if j != at][:5]
+        hits.append(len(got[ids[at]] & set(ids[best].tolist())))
+    assert len(got) == len(hits) and sum(hits) >= 0.9 * 5 * len(hits)
+
+
 def test_nearest_in_few_or_no_rows(spark):
     schema = "vec_id long, embedding array<float>"
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [-1.0, 0.0]), (50, None), (None, [1.0, 0.0])], schema)
