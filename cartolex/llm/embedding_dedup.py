@@ -6,7 +6,8 @@
    ``MISS`` that a pair at the threshold shares no code.
 3. Classes of one code are compared by exact cosine, in blocks. A unit of work returns sums of links for
    each vector and one edge for each vector that isn't its component's first, never its pairs. A
-   pair counts in the first table whose codes agree, so it counts once.
+   pair counts in the first table whose codes agree, so it counts once; for that a vector takes its
+   codes of earlier tables with it.
 """
 
 from __future__ import annotations
@@ -36,13 +37,17 @@ def plan(n: int, threshold: float) -> tuple[int, int]:
     return bits, max(1, math.ceil(math.log(MISS) / math.log(1 - same**bits)))
 
 
+def _code_type(bits: int) -> str:
+    return "smallint" if bits < 16 else "int"
+
+
 def _codes(bits: int, tables: int, dim: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = np.random.RandomState(seed).randn(dim, bits * tables)
         weights = 1 << np.arange(bits)
         for batch in batches:
             signs = (vectors.unit(vectors.matrix(batch.column(2), dim)) @ planes > 0).reshape(-1, tables, bits)
-            codes = (signs * weights).sum(2).astype(np.int32)
+            codes = (signs * weights).sum(2).astype(np.int16 if _code_type(bits) == "smallint" else np.int32)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(codes) + 1, dtype=np.int32) * tables), pa.array(codes.reshape(-1)))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "codes"])
 
@@ -71,7 +76,7 @@ def _compare(threshold: float, dim: int):
                 continue
             table = u.column("table")[0].as_py()
             x = vectors.unit(vectors.matrix(u.column("vector"), dim))
-            codes = vectors.matrix(u.column("codes"), len(u.column("codes")[0])).astype(np.int32)
+            earlier = vectors.matrix(u.column("codes"), table).astype(np.int32)
             close = x @ x.T
             near = close >= threshold
             for i, j in zip(*np.nonzero(np.abs(close - threshold) < BORDER), strict=True):
@@ -82,7 +87,7 @@ def _compare(threshold: float, dim: int):
             links = np.zeros(len(ids), np.int64)
             for low in range(0, len(a), 1 << 18):
                 p, q = a[low : low + (1 << 18)], b[low : low + (1 << 18)]
-                mine = np.argmax(codes[p] == codes[q], 1) == table
+                mine = ~(earlier[p] == earlier[q]).any(1)
                 links += np.bincount(p[mine], copies[q[mine]], len(ids)).astype(np.int64)
             linked = np.flatnonzero(near.any(1))
             if len(linked):
@@ -105,11 +110,11 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     good = rows.where(F.col("id").isNotNull() & vectors.usable(F.col("vector")) & (F.size("vector") == dim))
     classes = cut(good.groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
     bits, tables = plan(classes.count(), threshold)
-    coded = cut(classes.select("rep", "copies", "vector").mapInArrow(_codes(bits, tables, max(1, dim), seed), f"rep long, copies long, vector {rows.schema['vector'].dataType.simpleString()}, codes array<int>"), "codes")
+    coded = cut(classes.select("rep", "copies", "vector").mapInArrow(_codes(bits, tables, max(1, dim), seed), f"rep long, copies long, vector {rows.schema['vector'].dataType.simpleString()}, codes array<{_code_type(bits)}>"), "codes")
     key = lambda t, c: t.cast("long") * (1 << 32) + c
     slim = coded.select(F.posexplode("codes").alias("table", "code")).select(key(F.col("table"), F.col("code")).alias("key"))
     crowded = cut(slim.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK), "crowded")
-    spread = coded.select("*", F.posexplode("codes").alias("table", "code")).withColumn("key", key(F.col("table"), F.col("code"))).drop("code")
+    spread = coded.select("*", F.posexplode("codes").alias("table", "code")).withColumn("key", key(F.col("table"), F.col("code"))).drop("code").withColumn("codes", F.slice("codes", 1, F.col("table")))
     sized = spread.join(crowded, "key", "left")
     dealt = block_pairs(sized, F.ceil(F.coalesce("n", F.lit(1)) / BLOCK), "rep").drop("n").repartition(*UNIT).sortWithinPartitions(*UNIT)
     found = cut(dealt.mapInArrow(_compare(threshold, max(1, dim)), "rep long, other long, links long"), "found")
