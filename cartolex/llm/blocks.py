@@ -68,22 +68,3 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     if len(parts) == 1:
         return parts[0]
     return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-
-
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[int]:
-    """Which of the edges ``a[i]``-``b[i]`` over ``n`` nodes make a spanning forest."""
-    root = list(range(n))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    kept = []
-    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-        x, y = find(x), find(y)
-        if x != y:
-            root[x] = y
-            kept.append(i)
-    return kept
