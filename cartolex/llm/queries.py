@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartolex.llm import embedding_dedup, language, lm_scoring, mixing, near_dedup, nearest, pieces, preference, quality, url_rules
+from cartolex.llm import centroids, embedding_dedup, fim, language, lm_scoring, mixing, near_dedup, nearest, pieces, preference, quality, secrets, url_rules
 from cartolex.llm.scratch import cut
 
 #: The vocabulary of the token query: any ``.model`` file with identity normalisation.
@@ -98,6 +98,30 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut for fill-in-middle training, and its text rebuilt from the result, as digests."""
+    found = fim.transform(_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    output, form = F.col("fim_output"), F.col("fim_form")
+    sizes = [F.col(f"fim_{name}").alias(name) for name in ("n", "form", "prefix_chars", "middle_chars")]
+    return found.select("doc_id", *sizes, digest(output).alias("output_sha256"), digest(fim.restored(output, form)).alias("restored_sha256"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 clusters of all embeddings after 5 rounds."""
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document: counts of the fixed patterns' finds, their digest, and all spans."""
+    found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    of = lambda *kinds: F.filter("secret_spans", lambda x: x["kind"].isin(*kinds))
+    base = secrets.KINDS[:3]
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in base]
+    return found.select("doc_id", *counts, F.sha2(joined(of(*base)).cast("binary"), 256).alias("base_sha256"), joined(F.col("secret_spans")).alias("spans"))
+
+
 QUERIES |= {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_preference": op2_preference,
@@ -109,6 +133,9 @@ QUERIES |= {
     "op8_nearest": op8_nearest,
     "op9_quality": op9_quality,
     "op10_url_rules": op10_url_rules,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_centroids": op12_centroids,
+    "op13_secrets": op13_secrets,
 }
 ORACLES["op1_embedding_dedup"] = """
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
@@ -231,3 +258,32 @@ SELECT page_id, host, path, CASE {_CASES(lambda r: r.name)} END AS rule,
   coalesce(CASE {_CASES(lambda r: r.verdict)} END, CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN c USING (node) LEFT JOIN w USING (component)
 """
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '(?s)[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+l AS (SELECT *, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS lots FROM t),
+c AS (SELECT *, least(lots[1] % (n + 1), lots[2] % (n + 1)) AS low, greatest(lots[1] % (n + 1), lots[2] % (n + 1)) AS high,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR lots[3] % 100 >= 90 THEN 'plain' WHEN lots[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM l),
+p AS (SELECT *, coalesce(array_to_string(u[:low], ''), '') AS prefix, coalesce(array_to_string(u[low + 1:high], ''), '') AS middle, coalesce(array_to_string(u[high + 1:], ''), '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p
+"""
+
+
+def _centroids_sql(rounds: int = 5) -> str:
+    """The rounds, three common tables each: assignments, floors of means, centroids."""
+    assigned = "a{0} AS MATERIALIZED (SELECT rn, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT rn, c, list_sum(list_transform(range(1, 65), lambda i: (v[i] - m[i]) * (v[i] - m[i]))) AS d FROM kept, c{0}) GROUP BY 1)"
+    moved = "s{0} AS MATERIALIZED (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM (SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{0} JOIN kept USING (rn), range(1, 65) t(i) GROUP BY 1, 2) GROUP BY 1)"
+    centroid = "c{1} AS MATERIALIZED (SELECT c, coalesce(s.m, o.m) AS m FROM c{0} o LEFT JOIN s{0} s USING (c))"
+    steps = [x.format(k, k + 1) for k in range(rounds) for x in (assigned, moved, centroid)] + [assigned.format(rounds)]
+    return f"""
+WITH kept AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS rn, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, v AS m FROM (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS h, v FROM kept ORDER BY h LIMIT 40)),
+{", ".join(steps)}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept USING (rn) JOIN c{rounds} c ON c.c = a.c
+"""
+
+
+ORACLES["op12_centroids"] = _centroids_sql()

@@ -16,7 +16,7 @@ MASK = (1 << 64) - 1
 
 
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
-@pytest.mark.parametrize("name", ["op1_embedding_dedup", "op2_preference", "op3_minhash", "op6_mixing", "op10_url_rules"])
+@pytest.mark.parametrize("name", ["op1_embedding_dedup", "op2_preference", "op3_minhash", "op6_mixing", "op10_url_rules", "op11_fill_in_middle", "op12_centroids"])
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
     for table in ("documents", "embeddings", "pages", "conversations"):
