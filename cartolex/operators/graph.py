@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cartolex.staging import release, stage
+
 
 def _merge(rows: DataFrame, keys: Sequence[str], order: Sequence[str], pick, keep: Sequence[str] | None) -> DataFrame:
     values = [c for c in (keep or rows.columns) if c not in keys and c not in order]
@@ -71,15 +73,33 @@ def roots(nodes: DataFrame, key: str, child_edges: DataFrame) -> DataFrame:
     return nodes.join(child_edges.select(F.col("dst").alias(key)), key, "left_anti")
 
 
-def ancestors(nodes: DataFrame, key: str, parent: str, depth: int = 3) -> DataFrame:
-    """(node, ancestor, steps) for paths of 0 to ``depth`` steps up."""
-    pairs = nodes.select(F.col(key).alias("node"), F.col(key).alias("ancestor"), F.lit(0).alias("steps"))
-    up = nodes.where(F.col(parent).isNotNull()).select(F.col(key).alias("ancestor"), F.col(parent).alias("_up"))
-    out = level = pairs
-    for k in range(1, depth + 1):
-        level = level.join(up, "ancestor").select("node", F.col("_up").alias("ancestor"), F.lit(k).alias("steps"))
-        out = out.union(level)
-    return out
+def ancestors(nodes: DataFrame, key: str, parent: str) -> DataFrame:
+    """(node, ancestor, steps): every ancestor of every node with its least number of steps, 0 for the node itself.
+
+    Pointer doubling: a round knows all ancestors within 2^k steps and where 2^k steps lead, and goes on from there to twice as many, so a
+    chain of n nodes takes log n rounds. It ends when no new pair is found; on a cycle that is after one turn, since a
+    pair that is known already isn't new. Rounds are written tables; the driver sees one count a round. A parent
+    that is no key has no ancestors; a node of several rows has those of all its parents.
+    """
+    up = stage(nodes.where(F.col(key).isNotNull() & F.col(parent).isNotNull()).select(F.col(key).alias("node"), F.col(parent).alias("ancestor")).distinct(), "parents")
+    itself = nodes.where(F.col(key).isNotNull()).select(F.col(key).alias("node"), F.col(key).alias("ancestor"), F.lit(0).alias("steps")).distinct()
+    known, jump, span = stage(itself.unionByName(up.where("node <> ancestor").withColumn("steps", F.lit(1))), "ancestors"), up, 1
+    n = known.count()
+    while True:
+        ahead = known.where("steps > 0").select(F.col("node").alias("_at"), F.col("ancestor").alias("_to"), (F.col("steps") + span).alias("_steps"))
+        more = jump.join(ahead, F.col("ancestor") == F.col("_at")).select("node", F.col("_to").alias("ancestor"), F.col("_steps").alias("steps"))
+        after = stage(known.unionByName(more).groupBy("node", "ancestor").agg(F.min("steps").alias("steps")), "ancestors")
+        found = after.count()
+        release(known)
+        known = after
+        if found == n:
+            release(jump)
+            return known
+        n = found
+        further = jump.select(F.col("node").alias("_at"), F.col("ancestor").alias("_to"))
+        twice = stage(jump.join(further, F.col("ancestor") == F.col("_at")).select("node", F.col("_to").alias("ancestor")).distinct(), "jumps")
+        release(jump)
+        jump, span = twice, 2 * span
 
 
 def label_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartolex.config import EngineConfig
 from cartolex.operators import embed, references, reports, topics
 from cartolex.operators.sections import ITALIAN
-from cartolex.plans import graph_queries, knowledge_graph
+from cartolex.plans import graph_queries, graph_store, knowledge_graph
 from cartolex.plans.queries import _CHUNKS, _LINES, _TRIM, _topics_sql
 from cartolex.plans.registry import query, table
 from cartolex.sources import files, links
-from cartolex.staging import shared_folder
+from cartolex.staging import new_path
 
 _LEXICON = {"Leggi": ("laws", r"legge"), "Ambito": ("scope", r"ambito")}
 
@@ -135,12 +133,12 @@ def graph_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("graph_reingest", _BASE + _REFS + f", e AS ({_STRUCTURE_EDGES}) SELECT 'edge' AS kind, type AS name, count(*) AS n FROM e GROUP BY 2 UNION ALL SELECT 'node', 'Document', count(*) FROM book UNION ALL SELECT 'node', 'TableOfContents', count(*) FROM book WHERE NOT answer UNION ALL SELECT 'node', 'Section', count(*) FROM sections UNION ALL SELECT 'node', 'Chunk', count(*) FROM chunks UNION ALL SELECT 'node', 'LegalReference', count(*) FROM cited")
 def graph_reingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I-13, I-20, M-7: two overlapping parts of the pages, ingested into one stored graph, of which the second replaces stale sections."""
-    pages, target = book(spark, sf_dir), f"{shared_folder(spark)}/cartolex-{uuid.uuid4().hex}/graph"
+    pages, target = book(spark, sf_dir), new_path(spark, "graph")
     number = F.regexp_extract("filename", r"(\d+)", 1).cast("long")
     stale = F.when((F.col("page_no") == 3) & (number % 2 == 0), F.concat(F.lit("3. Vecchio\nvia\n"), "text")).otherwise(F.col("text"))
-    knowledge_graph.ingest(pages.where(number % 4 != 1).withColumn("text", stale), target)
-    knowledge_graph.ingest(pages.where((number % 2 == 0) | (number % 4 == 1)), target)
-    stored = knowledge_graph.read(spark, target)
+    graph_store.ingest(pages.where(number % 4 != 1).withColumn("text", stale), target)
+    graph_store.ingest(pages.where((number % 2 == 0) | (number % 4 == 1)), target)
+    stored = graph_store.read(spark, target)
     edges = graph_queries.counts_by_edge_type(stored).select(F.lit("edge").alias("kind"), F.col("type").alias("name"), F.col("count").alias("n"))
     return edges.union(graph_queries.counts_by_label(stored).select(F.lit("node"), "label", "count"))
 
@@ -171,7 +169,7 @@ def keyword_search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-8, M-9, Q-17: the same search from a stored inverted index."""
     from cartolex.operators import search
 
-    path = f"{shared_folder(spark)}/cartolex-{uuid.uuid4().hex}/index"
+    path = new_path(spark, "index")
     search.write_index(table(spark, sf_dir, "documents"), "doc_id", "text", path)
     return search.search_index(spark, path, "doc_id", "the tion ering").withColumn("score", F.round("score", 6))
 
@@ -179,7 +177,7 @@ def keyword_search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("csv_links", "SELECT CAST(page_id AS VARCHAR) AS \"ID\", unnest([url, url || '?again']) AS url FROM pages")
 def csv_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I-1, I-2: a CSV whose cells hold several links on lines of their own."""
-    path = f"{shared_folder(spark)}/cartolex-{uuid.uuid4().hex}/csv"
+    path = new_path(spark, "csv")
     cells = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("ID"), F.concat("url", F.lit("\n"), "url", F.lit("?again")).alias(links.LINKS))
     cells.write.option("escape", '"').csv(path, header=True)
     return links.urls(links.read_questions(spark, path)).select("ID", "url")
@@ -195,7 +193,7 @@ def fetch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("file_pages", "SELECT md5(text) AS text_md5, count(*) AS n FROM documents WHERE text <> '' AND NOT contains(text, chr(12)) GROUP BY 1")
 def file_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I-6, I-7, M-10: documents written as pages of text files, scanned and decoded again."""
-    path = f"{shared_folder(spark)}/cartolex-{uuid.uuid4().hex}/files"
+    path = new_path(spark, "files")
     docs = table(spark, sf_dir, "documents").where("text <> '' and not contains(text, '\f')")
     docs.select((F.col("doc_id") % 16).alias("shelf"), "text").repartition(4, "shelf").write.partitionBy("shelf").option("lineSep", "\f").text(path)
     found, _ = files.pages(files.scan(spark, path, "*.txt", recursive=True))

@@ -1,4 +1,4 @@
-"""The whole path from pages to node and edge tables, and its sink."""
+"""The whole path from pages to node and edge tables, and its export; :mod:`cartolex.plans.graph_store` keeps a graph that grows."""
 
 from __future__ import annotations
 
@@ -120,36 +120,10 @@ def build(pages: DataFrame, config: EngineConfig | None = None, profile: section
     return Graph(nodes, edges, counts(refs, t, k, known))
 
 
-def merged(old: Graph, new: Graph, keep_stale: bool = False, canonical: str = "reference") -> Graph:
-    """Both graphs as one: a key in both has ``new``'s record, but a topic or keyword ``old``'s; a scored edge has its last score.
-
-    Of a document that ``new`` has too, the old table of contents, sections and chunks go unless they are there
-    again, and so do all old edges that lead from it and from them (those to topics only if ``new`` has topics).
-    ``keep_stale`` keeps them all, as plain upserts would. References are linked anew, over the documents of both.
-    """
-    again = new.nodes["Document"].select("documentId")
-    nodes, replaced = {}, []
-    for label in dict.fromkeys([*old.nodes, *new.nodes]):
-        key, a, b = NODE_KEYS[label], old.nodes.get(label), new.nodes.get(label)
-        if a is None or b is None:
-            nodes[label] = b if a is None else a
-            continue
-        first = label in ("Topic", "Keyword")
-        kept = a if first else a.join(b.select(key), key, "left_anti")
-        if "documentId" in a.columns and not keep_stale:
-            replaced.append(a.join(again, "documentId", "left_semi").select(F.col(key).alias("src")))
-            kept = kept.join(again, "documentId", "left_anti")
-        nodes[label] = kept.unionByName(b.join(a.select(key), key, "left_anti") if first else b, allowMissingColumns=True)
-    edges = old.edges.where("type <> 'REFERS_TO'")
-    if replaced:
-        own = F.lit(True) if "Topic" in new.nodes else ~F.col("type").startswith("DISCUSSES")
-        from_replaced = stage(reduce(DataFrame.union, replaced), "replaced").withColumn("_gone", F.lit(True))
-        edges = edges.join(from_replaced, "src", "left").where(~(own & F.coalesce("_gone", F.lit(False)))).drop("_gone")
-    every = edges.withColumn("_age", F.lit(0)).unionByName(new.edges.where("type <> 'REFERS_TO'").withColumn("_age", F.lit(1)))
-    order = F.when(F.col("relevanceScore").isNull(), F.col("order")).alias("order")
-    last = every.groupBy("type", "src", "dst", order).agg(F.max_by("relevanceScore", "_age").alias("relevanceScore"))
-    linked = link.refers_to(link.categorise(nodes["LegalReference"], nodes["Document"], canonical))
-    return Graph(nodes, last.select(*linked.columns).unionByName(linked), new.counts)
+def stored_form(nodes: DataFrame) -> DataFrame:
+    """Node records as they are stored: without full texts and dates of publication, maps as JSON."""
+    stored = nodes.drop("fullText", "publicationDate")
+    return stored.withColumns({name: F.to_json(name) for name, kind in stored.dtypes if kind.startswith("map")})
 
 
 def write(graph_tables: Graph, target: str, overwrite: bool = False) -> None:
@@ -157,7 +131,7 @@ def write(graph_tables: Graph, target: str, overwrite: bool = False) -> None:
 
     With ``overwrite`` an older graph is moved aside first, moved back if the new one can't take its place, and
     deleted only afterwards, so one whole graph is there at any time but between two renames, and then both are
-    beside it. Full texts and dates of publication are not stored, and maps are stored as JSON. Nodes are sorted by their keys
+    beside it. Nodes are in :func:`stored_form`, sorted by their keys
     within files, so that a lookup by key skips row groups; edges are partitioned by type and sorted by source.
     """
     spark = graph_tables.edges.sparkSession
@@ -169,11 +143,7 @@ def write(graph_tables: Graph, target: str, overwrite: bool = False) -> None:
     staging, aside = f"{target}.staging-{run}", f"{target}.old-{run}"
     try:
         for label, df in graph_tables.nodes.items():
-            stored = df.drop("fullText", "publicationDate")
-            for name, kind in stored.dtypes:
-                if kind.startswith("map"):
-                    stored = stored.withColumn(name, F.to_json(name))
-            stored.sortWithinPartitions(NODE_KEYS[label]).write.parquet(f"{staging}/nodes/{label}")
+            stored_form(df).sortWithinPartitions(NODE_KEYS[label]).write.parquet(f"{staging}/nodes/{label}")
         graph_tables.edges.sortWithinPartitions("type", "src").write.partitionBy("type").parquet(f"{staging}/edges")
         moved = fs.exists(path(target)) and fs.rename(path(target), path(aside))
         if not fs.rename(path(staging), path(target)):
@@ -186,21 +156,6 @@ def write(graph_tables: Graph, target: str, overwrite: bool = False) -> None:
         fs.delete(path(staging), True)
 
 
-def ingest(pages: DataFrame, target: str, keep_stale: bool = False, **models) -> DataFrame:
-    """Build ``pages`` and merge them into the graph at ``target``, or make it; returns the counts of :func:`counts`."""
-    spark = pages.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    known = read(spark, target) if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path) else None
-    new = build(pages, known=known, **models)
-    report = stage(new.counts, "counts")
-    if known is not None:
-        for label, name in (("Document", "metadata"), ("Chunk", "metadata")):
-            new.nodes[label] = new.nodes[label].withColumn(name, F.to_json(name))
-        new.nodes["Document"] = new.nodes["Document"].drop("fullText", "publicationDate")
-    write(new if known is None else merged(known, new, keep_stale), target, overwrite=True)
-    return report
-
-
 def read(spark: SparkSession, target: str) -> Graph:
     """The tables that :func:`write` made."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path

@@ -360,10 +360,10 @@ def enrich_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ancestor_closure", """
 WITH RECURSIVE n AS (SELECT 'N' || n_nationkey AS k, 'R' || n_regionkey AS p FROM nation UNION ALL SELECT 'R' || r_regionkey, 'W' FROM region UNION ALL SELECT 'W', NULL UNION ALL SELECT 'S' || s_suppkey, 'N' || s_nationkey FROM supplier),
-a(node, ancestor, steps) AS (SELECT k, k, 0 FROM n UNION ALL SELECT a.node, n.p, a.steps + 1 FROM a JOIN n ON n.k = a.ancestor WHERE n.p IS NOT NULL AND a.steps < 3)
+a(node, ancestor, steps) AS (SELECT k, k, 0 FROM n UNION ALL SELECT a.node, n.p, a.steps + 1 FROM a JOIN n ON n.k = a.ancestor WHERE n.p IS NOT NULL)
 SELECT * FROM a""")
 def ancestor_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J-2: all ancestors, up to three steps."""
+    """J-2: all ancestors in a tree of suppliers, nations, regions and the world."""
     s = lambda prefix, c: F.concat(F.lit(prefix), F.col(c).cast("string"))
     nodes = table(spark, sf_dir, "nation").select(s("N", "n_nationkey").alias("k"), s("R", "n_regionkey").alias("p"))
     nodes = nodes.union(table(spark, sf_dir, "region").select(s("R", "r_regionkey"), F.lit("W")))
@@ -371,6 +371,17 @@ def ancestor_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.ancestors(nodes, "k", "p")
 
 
+@query("ancestor_chains", """
+WITH RECURSIVE n AS (SELECT doc_id AS k, CASE WHEN doc_id % 41 > 0 THEN doc_id - 1 WHEN doc_id % 2 = 0 THEN doc_id + 40 END AS p FROM documents),
+a(node, ancestor, path) AS (SELECT k, k, [k] FROM n UNION ALL SELECT a.node, n.p, list_append(a.path, n.p) FROM a JOIN n ON n.k = a.ancestor WHERE n.p IS NOT NULL AND NOT list_contains(a.path, n.p))
+SELECT node, ancestor, CAST(len(path) - 1 AS INTEGER) AS steps FROM a""")
+def ancestor_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-2: all ancestors along chains of 41 documents, of which every other one is closed to a cycle."""
+    i = F.col("doc_id")
+    parent = F.when(i % 41 > 0, i - 1).when(i % 2 == 0, i + 40)
+    return graph.ancestors(table(spark, sf_dir, "documents").select(i.alias("k"), parent.alias("p")), "k", "p")
+
+
 _LINK = """SELECT d.doc_id, d.source, CASE WHEN doc_id % 10 = 0 THEN 'external' WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'matched' ELSE 'unmatched' END AS status FROM documents d"""
 
 
