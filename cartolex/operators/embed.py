@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import sys
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartolex.operators.graph import roots
+from cartolex.operators.ledger import Ledger, ask
 
 #: Takes a batch of texts and returns a vector for each.
 Embedder = Callable[[list[str]], list[list[float]]]
@@ -55,11 +57,15 @@ def hash_embedder(dim: int) -> Embedder:
     return embed
 
 
-def embed(rows: DataFrame, key: str, text: str, embedder: Embedder, batch: int = 500, max_concurrent: int | None = None) -> DataFrame:
+def embed(rows: DataFrame, key: str, text: str, embedder: Embedder, batch: int = 500, max_concurrent: int | None = None, kept: Ledger | None = None) -> DataFrame:
     """``(key, embedding)``; a batch for which the embedder raises or returns another number of vectors gives no rows, and the others go on.
 
-    ``max_concurrent`` is the most tasks that call the embedder at a time.
+    ``max_concurrent`` is the most tasks that call the embedder at a time. With a ledger, only texts that it lacks are embedded, in its batches.
     """
+    if kept is not None:
+        vectors = lambda texts: [[float(x) for x in v] for v in embedder(texts)]
+        said = ask(rows, key, text, vectors, "array<float>", replace(kept, batch=max(2, batch)), max_concurrent)
+        return said.where("result is not null").select(key, F.col("result").alias("embedding"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:

@@ -10,16 +10,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartolex.operators import ledger
+
 #: Takes a text and returns what a model says of it, as plain lists and dicts.
 Call = Callable[[str], Any]
 
 
-def each_item(rows: DataFrame, key: str, text: str, call: Call, kind: str, max_concurrent: int | None = None) -> DataFrame:
+def each_item(rows: DataFrame, key: str, text: str, call: Call, kind: str, max_concurrent: int | None = None, kept: ledger.Ledger | None = None) -> DataFrame:
     """``(key, result, error)`` for every row: ``call`` on its text as a ``kind``, or the error that it raised.
 
     ``max_concurrent`` is the most tasks that call at a time; without it, every task of the input does. An
-    answer that doesn't fit ``kind`` has a null result and an error.
+    answer that doesn't fit ``kind`` has a null result and an error. With a ledger, what was answered before isn't asked
+    again, and calls are tried and kept as :func:`cartolex.operators.ledger.ask` says.
     """
+    if kept is not None:
+        return ledger.ask(rows, key, text, call, kind, kept, max_concurrent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartolex.functions.text import non_empty, strip
+from cartolex.operators.ledger import Ledger
 from cartolex.operators.models import Call, each_item
 from cartolex.schemas import RAW_REFERENCES
 
@@ -57,11 +58,11 @@ def rule_extractor(chunks: DataFrame, patterns: dict[str, str] | None = None) ->
     return chunks.select("chunkId", F.concat(*parts).alias("references"))
 
 
-def model_extractor(call: Call, max_concurrent: int | None = 10) -> Extractor:
-    """An extractor that asks ``call`` for each chunk's list of references (dicts of :data:`RAW_REFERENCES`); a chunk whose call fails has none."""
+def model_extractor(call: Call, max_concurrent: int | None = 10, kept: Ledger | None = None) -> Extractor:
+    """An extractor that asks ``call`` for each chunk's list of references (dicts of :data:`RAW_REFERENCES`); a chunk whose call fails has none. With a ledger, only what it lacks is asked."""
 
     def extract(chunks: DataFrame) -> DataFrame:
-        said = each_item(chunks, "chunkId", "content", call, RAW_REFERENCES, max_concurrent)
+        said = each_item(chunks, "chunkId", "content", call, RAW_REFERENCES, max_concurrent, kept)
         return said.where("error is null").select("chunkId", F.col("result").alias("references"))
 
     return extract

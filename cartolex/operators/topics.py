@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cartolex.functions.text import let, normalized_id, normalized_name, strip
+from cartolex.operators.ledger import Ledger
 from cartolex.operators.models import Call, each_item
 from cartolex.schemas import ANALYSIS_KEYWORDS, ANALYSIS_TOPICS
 from cartolex.staging import stage
@@ -68,11 +69,11 @@ def lexicon_extractor(lexicon: dict[str, tuple[str, str]], keywords: int = 5) ->
     return extract
 
 
-def model_extractor(call: Call, max_concurrent: int | None = 10) -> Extractor:
-    """An extractor that asks ``call`` for each section's dict of topics and keywords; a section whose call fails has no analysis."""
+def model_extractor(call: Call, max_concurrent: int | None = 10, kept: Ledger | None = None) -> Extractor:
+    """An extractor that asks ``call`` for each section's dict of topics and keywords; a section whose call fails has no analysis. With a ledger, only what it lacks is asked."""
 
     def extract(sections: DataFrame) -> DataFrame:
-        said = each_item(sections, "sectionId", "content", call, f"struct<topics:{ANALYSIS_TOPICS},keywords:{ANALYSIS_KEYWORDS}>", max_concurrent)
+        said = each_item(sections, "sectionId", "content", call, f"struct<topics:{ANALYSIS_TOPICS},keywords:{ANALYSIS_KEYWORDS}>", max_concurrent, kept)
         none = lambda c, kind: F.coalesce(F.col(f"result.{c}"), F.array().cast(kind)).alias(c)
         return said.where("error is null").select("sectionId", none("topics", ANALYSIS_TOPICS), none("keywords", ANALYSIS_KEYWORDS))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartolex.config import EngineConfig
-from cartolex.operators import embed, references, reports, topics
+from cartolex.operators import embed, ledger, references, reports, topics
 from cartolex.operators.sections import ITALIAN
 from cartolex.plans import graph_queries, graph_store, knowledge_graph
 from cartolex.plans.queries import _CHUNKS, _LINES, _TRIM, _topics_sql
@@ -198,3 +198,21 @@ def file_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs.select((F.col("doc_id") % 16).alias("shelf"), "text").repartition(4, "shelf").write.partitionBy("shelf").option("lineSep", "\f").text(path)
     found, _ = files.pages(files.scan(spark, path, "*.txt", recursive=True))
     return found.where("text <> ''").groupBy(F.md5(F.col("text").cast("binary")).alias("text_md5")).agg(F.count("*").alias("n"))
+
+
+@query("model_ledger", """
+WITH i AS (SELECT DISTINCT coalesce(text, '') AS t FROM documents), a AS (SELECT count(*) AS n FROM i WHERE length(t) % 7 > 0), d AS (SELECT count(*) AS n FROM i WHERE length(t) % 7 = 0)
+SELECT 'answered' AS state, n AS items, n AS tries, (SELECT count(*) FROM documents WHERE length(coalesce(text, '')) % 7 > 0) AS rows FROM a UNION ALL SELECT 'dead', n, 4 * n, (SELECT count(*) FROM documents WHERE length(coalesce(text, '')) % 7 = 0) FROM d""")
+def model_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X-1 to X-5, M-10: three runs over all documents with a model that refuses some texts, each time: what the ledger has then."""
+    kept = ledger.Ledger(new_path(spark, "ledger"), "length", tries=2, pause=0.0, runs=2)
+
+    def length(text: str) -> int:
+        if len(text) % 7 == 0:
+            raise ValueError("refused")
+        return len(text)
+
+    for _ in range(3):
+        said = ledger.ask(table(spark, sf_dir, "documents"), "doc_id", "text", length, "int", kept)
+    rows = said.groupBy(F.when(F.col("error").isNull(), "answered").otherwise("dead").alias("state")).agg(F.count("*").alias("rows"))
+    return ledger.report(spark, kept).join(rows, "state")

@@ -13,6 +13,7 @@ from cartolex.config import EngineConfig
 from cartolex.operators import chunks as chunking
 from cartolex.operators import embed, graph, link, metadata, references, topics, toc
 from cartolex.operators import sections as sectioning
+from cartolex.operators.ledger import Ledger
 from cartolex.staging import delete, stage
 
 NODE_KEYS = {"Document": "documentId", "TableOfContents": "tocId", "Section": "sectionId", "Chunk": "chunkId", "LegalReference": "referenceId", "Topic": "topicId", "Keyword": "keywordId"}
@@ -94,11 +95,12 @@ def counts(refs: DataFrame, t: DataFrame | None = None, k: DataFrame | None = No
     return out.select("references", "new_topics", "new_keywords", (F.col("topics_occurrences") + F.col("keywords_occurrences")).alias("occurrences"))
 
 
-def build(pages: DataFrame, config: EngineConfig | None = None, profile: sectioning.HeaderProfile = sectioning.ITALIAN, reference_extractor: references.Extractor = references.rule_extractor, topic_extractor: topics.Extractor | None = None, embedder: embed.Embedder | None = None, known: Graph | None = None) -> Graph:
+def build(pages: DataFrame, config: EngineConfig | None = None, profile: sectioning.HeaderProfile = sectioning.ITALIAN, reference_extractor: references.Extractor = references.rule_extractor, topic_extractor: topics.Extractor | None = None, embedder: embed.Embedder | None = None, known: Graph | None = None, vectors: Ledger | None = None) -> Graph:
     """All node and edge tables of page records. Models left out: rules for references, none for topics and vectors.
 
     What a model or a heavy step makes is staged once, and nodes and edges both come from there, so they agree
-    even where a model wouldn't answer twice alike. ``known`` is an earlier graph, for the counts of what is new.
+    even where a model wouldn't answer twice alike. ``known`` is an earlier graph, for the counts of what is new; ``vectors`` a ledger of
+    the embedder's calls, which later builds share.
     """
     config = config or EngineConfig()
     nodes = structure(pages, config, profile)
@@ -113,8 +115,8 @@ def build(pages: DataFrame, config: EngineConfig | None = None, profile: section
     if embedder is not None:
         children = edges.where("type = 'HAS_SUBSECTION'")
         context = embed.chunk_context(chunks, sections, nodes["Document"], children, config.embed_scope)
-        vectors = embed.embed(context.select("chunkId", embed.enriched_text().alias("enriched")), "chunkId", "enriched", embedder, config.embedding_batch, config.max_concurrent)
-        nodes["Chunk"] = embed.set_embeddings(chunks, stage(vectors, "vectors"))
+        made = embed.embed(context.select("chunkId", embed.enriched_text().alias("enriched")), "chunkId", "enriched", embedder, config.embedding_batch, config.max_concurrent, vectors)
+        nodes["Chunk"] = embed.set_embeddings(chunks, stage(made, "vectors"))
     nodes["Document"] = nodes["Document"].drop("path")
     nodes["Section"], nodes["Chunk"] = sections.drop("nextSectionId"), nodes["Chunk"].drop("nextChunkId")
     return Graph(nodes, edges, counts(refs, t, k, known))

@@ -14,11 +14,12 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _made: dict[str, SparkSession] = {}
-_own: set[str] = set()
+_own: ContextVar[set[str] | None] = ContextVar("staged", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -42,20 +43,23 @@ def new_path(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back from there."""
     path = new_path(df.sparkSession, name)
-    _own.add(path.rsplit("/", 1)[0])
+    if (own := _own.get()) is not None:
+        own.add(path.rsplit("/", 1)[0])
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def released_after() -> Iterator[None]:
-    """Deletes, at its end, what :func:`stage` wrote within it: for a plan whose result is written by then."""
-    before = set(_own)
-    yield
-    for root in _own - before:
-        if root in _made:
-            delete(_made.pop(root), root)
-    _own.intersection_update(before)
+    """Deletes, at its end, what :func:`stage` wrote within it in this thread, also if it raises: for a plan whose result is written by then."""
+    mine = _own.set(set())
+    try:
+        yield
+    finally:
+        for root in _own.get():
+            if root in _made:
+                delete(_made.pop(root), root)
+        _own.reset(mine)
 
 
 def release(*tables: DataFrame) -> None:
@@ -69,6 +73,12 @@ def release(*tables: DataFrame) -> None:
                     del _made[r]
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether there is something at a path of any file system that Spark reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def delete(spark: SparkSession, folder: str) -> bool:
     """Delete a folder of any file system that Spark reads."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

@@ -130,7 +130,8 @@ def test_a_failed_ingest_leaves_the_version_before(spark, tmp_path, monkeypatch)
     assert graph_store.versions(spark, target) == [1] and len(os.listdir(tmp_path / "g" / "data")) == 1
 
 
-def test_many_ingests_stay_in_few_folders_and_old_ones_go(spark, tmp_path):
+def test_many_ingests_stay_in_few_folders_and_old_ones_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(graph_store, "MOST_PARTS", 2)
     target = str(tmp_path / "g")
     for i in range(graph_store.MOST_PARTS + 2):
         graph_store.ingest(pages(spark, [i]), target, buckets=1)
