@@ -129,7 +129,7 @@ def ask(rows: DataFrame, key: str, text: str, call: Call, kind: str, ledger: Led
     release(todo)
     found = ledger.items(spark)
     opening = "{" if kind.startswith(("struct", "map")) else "[" if kind.startswith("array") else ""
-    read = F.when(F.col("answer").startswith(opening), F.from_json("answer", kind))
+    read = F.when(F.col("answer").startswith(opening), F.from_json("answer", kind)) if opening else F.expr(f"try_cast(answer AS {kind})")
     error = F.coalesce("error", F.when(read.isNull(), "answer of another form"))
     return asked.join(found, "item", "left").select(F.col("_key").alias(key), read.alias("result"), error.alias("error"))
 
