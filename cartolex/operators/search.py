@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +15,11 @@ from cartolex.staging import stage
 
 #: BM25 parameters.
 K1, B = 1.2, 0.75
-#: A word, and the folders of a stored index.
-WORD, INDEX_BUCKETS = r"([\p{L}\p{N}_]+)", 64
+#: A word, in texts and queries alike.
+WORD = r"([\p{L}\p{N}_]+)"
+
+#: Words that follow one another in a text.
+Clause = tuple[str, ...]
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -46,67 +51,44 @@ def vector_top_k_of(rows: DataFrame, key: str, vector: str, query: DataFrame, k:
     return scored.where("score is not null").orderBy(F.desc("score"), key).limit(k)
 
 
-def _equals(term: str) -> Callable[[Column], Column]:
-    return lambda word: word == term
-
-
-def postings(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """The inverted index: (term, key, tf, length)."""
-    words = rows.select(key, tokens(F.col(text)).alias("w")).select(key, "w", F.size("w").alias("length"))
-    return words.select(F.explode("w").alias("term"), key, "length").groupBy("term", key).agg(F.count("*").alias("tf"), F.first("length").alias("length"))
-
+def clauses(spark: SparkSession, query: str) -> list[Clause]:
+    """A query's clauses, each once: its words, and as a clause of several words what stands between double quotes.
 
-def write_index(rows: DataFrame, key: str, text: str, path: str, buckets: int = INDEX_BUCKETS) -> None:
-    """The inverted index of ``rows`` as a table at ``path``, with the number of texts and their mean length beside it.
-
-    Postings lie in folders by a hash of their term, sorted by term, so a query reads the folders of its
-    terms only, and in them the row groups that hold the term. A term found in a third of all texts is spread over tasks by its texts.
+    Words are cut as those of texts are, by the same expression: ``dell'articolo`` is two words, ``n.`` is one.
     """
-    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
-    made = postings(rows.where(F.col(text).isNotNull()), key, text).withColumn("bucket", bucket)
-    dealt = made.repartition("bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(8)))
-    dealt.sortWithinPartitions("bucket", "term", key).write.partitionBy("bucket").parquet(f"{path}/postings")
-    lengths = rows.where(F.col(text).isNotNull()).select(F.regexp_count(F.lower(text), F.lit(WORD)).alias("length"))
-    lengths.agg(F.count("*").alias("n"), F.avg("length").alias("mean")).write.parquet(f"{path}/stats")
+    pieces = [(quoted, plain) for quoted, plain in re.findall(r'"([^"]*)"?|([^"]+)', query)]
+    cut = spark.range(1).select(F.array(*[tokens(F.lit(q or p)) for q, p in pieces], F.array().cast("array<string>"))).first()[0]
+    found = [(tuple(words),) if quoted else [(w,) for w in words] for (quoted, _), words in zip(pieces, cut, strict=False) if words]
+    return sorted({c for some in found for c in some})
 
 
-def search_index(spark: SparkSession, path: str, key: str, query: str, k: int = 10, buckets: int = INDEX_BUCKETS) -> DataFrame:
-    """The ``k`` rows that fit a query best, from a table of :func:`write_index`."""
-    terms = sorted(set(query.lower().split()))
-    own = spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in terms])).alias("t")).select(F.pmod(F.xxhash64("t"), F.lit(buckets)).cast("int"))
-    few = spark.read.parquet(f"{path}/postings").where(F.col("bucket").isin([r[0] for r in own.collect()]))  # one row a query term
-    stats = spark.read.parquet(f"{path}/stats").first()
-    return bm25_from_index(few, key, query, stats["n"], stats["mean"] or 1.0, k)
+def _count(words: Column, clause: Clause) -> Column:
+    """How often a clause stands in a text's words."""
+    if len(clause) == 1:
+        return F.size(F.filter(words, lambda w: w == clause[0]))
+    here = lambda w, i: reduce(lambda a, b: a & b, [F.coalesce(F.get(words, i + j) == x, F.lit(False)) for j, x in enumerate(clause)])
+    return F.size(F.filter(words, here))
 
 
 def bm25(rows: DataFrame, key: str, text: str, query: str, k: int = 10) -> DataFrame:
-    """The ``k`` rows that fit a query best, from the texts themselves.
+    """The ``k`` rows that fit a query best, from the texts themselves; ``"..."`` asks for words that follow one another.
 
-    Texts are read and cut into words once; lengths and counts of the query's terms are staged, and both
+    Texts are read and cut into words once; lengths and counts of the query's clauses are staged, and both
     the corpus's figures and the scores come from that narrow table.
     """
-    terms = sorted(set(query.lower().split()))
-    counts = lambda w: F.struct(F.size(w).alias("length"), *[F.size(F.filter(w, _equals(t))).alias(f"t{i}") for i, t in enumerate(terms)])
-    words = rows.where(F.col(text).isNotNull()).select(key, let(tokens(F.col(text)), counts).alias("c"))
-    counted = stage(words.select(key, "c.*"), "term_counts")
-    stats = counted.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), *[F.count_if(F.col(f"t{i}") > 0).alias(f"d{i}") for i in range(len(terms))])
-    hit = counted.where(F.greatest(F.lit(0), F.lit(0), *[F.col(f"t{i}") for i in range(len(terms))]) > 0)
+    wanted = clauses(rows.sparkSession, query)
+    counts = lambda w: F.struct(F.size(w).alias("length"), *[_count(w, c).alias(f"t{i}") for i, c in enumerate(wanted)])
+    words = rows.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), let(tokens(F.col(text)), counts).alias("c"))
+    counted = stage(words.select("_key", "c.*"), "term_counts")
+    stats = counted.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), *[F.count_if(F.col(f"t{i}") > 0).alias(f"d{i}") for i in range(len(wanted))])
+    hit = counted.where(F.greatest(F.lit(0), F.lit(0), *[F.col(f"t{i}") for i in range(len(wanted))]) > 0)
     score = F.lit(0.0)
-    for i in range(len(terms)):
+    for i in range(len(wanted)):
         idf = F.log(1 + (F.col("n") - F.col(f"d{i}") + 0.5) / (F.col(f"d{i}") + 0.5))
         f = F.col(f"t{i}")
         score = score + idf * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("length") / F.col("mean")))
-    return hit.join(F.broadcast(stats)).select(key, score.alias("score")).where("score > 0").orderBy(F.desc("score"), key).limit(k)  # stats: one row
-
-
-def bm25_from_index(index: DataFrame, key: str, query: str, n_docs: int, mean_length: float, k: int = 10) -> DataFrame:
-    """The same from a :func:`postings` table, of which only the query's terms are read."""
-    terms = sorted(set(query.lower().split()))
-    few = index.where(F.col("term").isin(terms))
-    df = few.groupBy("term").agg(F.count("*").alias("d"))
-    idf = F.log(1 + (F.lit(n_docs) - F.col("d") + 0.5) / (F.col("d") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / mean_length))
-    return few.join(F.broadcast(df), "term").groupBy(key).agg(F.sum(part).alias("score")).orderBy(F.desc("score"), key).limit(k)  # df: one row a query term
+    scored = hit.join(F.broadcast(stats)).select("_key", score.alias("score")).where("score > 0")  # stats: one row
+    return scored.orderBy(F.desc("score"), "_key").limit(k).select(F.col("_key").alias(key), "score")
 
 
 def top_by_score(edge_rows: DataFrame, dst: str, k: int = 10) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartolex.config import EngineConfig
-from cartolex.operators import embed, ledger, references, reports, topics
+from cartolex.operators import embed, ledger, references, reports, text_index, topics
 from cartolex.operators.sections import ITALIAN
 from cartolex.plans import graph_queries, graph_store, knowledge_graph
 from cartolex.plans.queries import _CHUNKS, _LINES, _TRIM, _topics_sql
@@ -167,11 +167,26 @@ d AS (SELECT t, count(*) AS d FROM f WHERE tf > 0 GROUP BY 1)
 SELECT doc_id, round(sum(ln(1 + (n - d + 0.5) / (d + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l / mean))), 6) AS score FROM f JOIN d USING (t), s WHERE tf > 0 GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10""")
 def keyword_search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-8, M-9, Q-17: the same search from a stored inverted index."""
-    from cartolex.operators import search
+    path = new_path(spark, "index")
+    text_index.write_index(table(spark, sf_dir, "documents"), "doc_id", "text", path)
+    return text_index.search(spark, path, "doc_id", "the tion ering").withColumn("score", F.round("score", 6))
+
+
+_PHRASE = "l'en, \"in the\" n. \"die\" Of"
+
 
+@query("keyword_search_phrase", r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM w),
+f AS (SELECT doc_id, t, len(list_filter(w, lambda x: x = t)) AS tf, len(w) AS l FROM w, (SELECT unnest(['l', 'en', 'n', 'die', 'of']) AS t)
+  UNION ALL SELECT doc_id, 'in the', len(list_filter(range(1, len(w)), lambda i: w[i] = 'in' AND w[i + 1] = 'the')), len(w) FROM w),
+d AS (SELECT t, count(*) AS d FROM f WHERE tf > 0 GROUP BY 1)
+SELECT doc_id, round(sum(ln(1 + (n - d + 0.5) / (d + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l / mean))), 6) AS score FROM f JOIN d USING (t), s WHERE tf > 0 GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 25""")
+def keyword_search_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-8, Q-17: a query as it is typed, with an apostrophe, full stops and a phrase, from the stored index."""
     path = new_path(spark, "index")
-    search.write_index(table(spark, sf_dir, "documents"), "doc_id", "text", path)
-    return search.search_index(spark, path, "doc_id", "the tion ering").withColumn("score", F.round("score", 6))
+    text_index.write_index(table(spark, sf_dir, "documents"), "doc_id", "text", path)
+    return text_index.search(spark, path, "doc_id", _PHRASE, 25).withColumn("score", F.round("score", 6))
 
 
 @query("csv_links", "SELECT CAST(page_id AS VARCHAR) AS \"ID\", unnest([url, url || '?again']) AS url FROM pages")

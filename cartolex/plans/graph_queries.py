@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartolex.operators import search
+from cartolex.operators import search, text_index
 from cartolex.operators.graph import label_counts
 from cartolex.plans.knowledge_graph import Graph
 
@@ -48,12 +48,12 @@ def section_scan(g: Graph, limit: int = 0) -> DataFrame:
 
 def index_chunks(g: Graph, path: str) -> None:
     """The text index of all chunks, stored once at ``path``."""
-    search.write_index(g.nodes["Chunk"], "chunkId", "content", path)
+    text_index.write_index(g.nodes["Chunk"], "chunkId", "content", path)
 
 
 def indexed_search(g: Graph, path: str, query: str, k: int = 10) -> DataFrame:
     """Like :func:`keyword_search`, from a stored index: no text is read."""
-    return search.search_index(g.edges.sparkSession, path, "chunkId", query, k)
+    return text_index.search(g.edges.sparkSession, path, "chunkId", query, k)
 
 
 def chunks_with_references(g: Graph) -> DataFrame:

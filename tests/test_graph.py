@@ -64,9 +64,7 @@ def test_topic_analysis(spark):
 def test_search(spark):
     df = spark.createDataFrame([(1, "the cat sat", [1.0, 0.0]), (2, "a dog", [0.0, 1.0]), (3, "the dog and the cat", [0.6, 0.8]), (4, None, None), (5, "", [0.0, 0.0])], "i int, t string, v array<float>")
     assert [r.i for r in search.vector_top_k(df, "i", "v", [1.0, 0.0], 2).collect()] == [1, 3]
-    direct = [(r.i, round(r.score, 9)) for r in search.bm25(df, "i", "t", "cat dog").collect()]
-    index = search.postings(df.where("t is not null"), "i", "t")
-    assert direct == [(r.i, round(r.score, 9)) for r in search.bm25_from_index(index, "i", "cat dog", 4, 10 / 4).collect()] and direct[0][0] in (2, 3)
+    assert [r.i for r in search.bm25(df, "i", "t", "cat dog").collect()] == [3, 2, 1]
     assert sorted(r.i for r in search.systematic_sample(spark.range(20).select(F.col("id").alias("i")), ["i"], 7).collect()) == [0, 7, 14]
     assert search.systematic_sample(spark.range(20), ["id"], 1, limit=0).count() == 20
 
@@ -227,10 +225,3 @@ def test_fetch_failures_are_rows(spark):
     assert got == {"http://a/x.pdf": (True, None, None), "http://a/y": (True, "content type is text/html", None), "http://b/z": (False, None, "ZeroDivisionError: division by zero")}
     content, _, error = links.http_fetcher(timeout=0.2, pause=0.0)("http://127.0.0.1:1/x")
     assert content is None and error
-
-
-def test_stored_index_finds_what_texts_do(spark, tmp_path):
-    df = spark.createDataFrame([(i, "the cat " * (i % 5) + f"w{i}") for i in range(40)] + [(99, None)], "i int, t string")
-    search.write_index(df, "i", "t", str(tmp_path / "index"))
-    rows = lambda out: [(r.i, round(r.score, 9)) for r in out.collect()]
-    assert rows(search.search_index(spark, str(tmp_path / "index"), "i", "cat w7")) == rows(search.bm25(df, "i", "t", "cat w7"))
