@@ -155,7 +155,8 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str
 
     The sample is, of each language, the ``per_language`` rows of the smallest id hashes, or fewer where there are so many
     languages that this would pass ``MOST`` in all, but one at least. It doesn't depend on how rows are dealt to tasks; rows
-    that repeat an id are one, with the least of their texts, and rows without an id are drawn by their text.
+    that repeat an id are one, with the least of their texts, and rows without an id are drawn by their text. Texts stay on the executors:
+    the driver gets their cells in use, at most 2^14 a row however long the text.
     """
     usable_rows = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     counts = {r[0]: r[1] for r in usable_rows.groupBy(lang_col).count().collect()}  # one row a language
@@ -169,9 +170,18 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str
     drawn = usable_rows.select(hashed.alias("draw"), share.alias("share"), F.col(id_col).cast("string").alias("i"), F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
     drawn = drawn.where(F.col("draw") < F.col("share") * float(1 << 30)).groupBy("l", "draw").agg(F.min(F.struct("i", "t")).alias("x"))  # repeated ids meet before the driver
     place = F.row_number().over(Window.partitionBy("l").orderBy("draw"))  # over about 1.25 times the sample
-    sample = drawn.withColumn("place", place).where(F.col("place") <= most).select("l", "draw", "x.t").toPandas().sort_values(["l", "draw"])
+    sample = drawn.withColumn("place", place).where(F.col("place") <= most).select(F.col("l").cast("string").alias("l"), "draw", "x.t")
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, texts in _features(batch.column(2)):
+                part = batch.slice(row, len(texts))
+                made = [pa.array([x[k].tobytes() for x in texts], pa.binary()) for k in range(2)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *made], ["l", "draw", "used", "counts"])
+
+    sample = sample.mapInArrow(cells, "l string, draw long, used binary, counts binary").toPandas().sort_values(["l", "draw"])
     languages = sorted(set(sample["l"]))
-    features = [x for _, part in _features(pa.array(sample.pop("t"), pa.string())) for x in part]
+    features = [(np.frombuffer(u, np.int16), np.frombuffer(n, np.int32)) for u, n in zip(sample.pop("used"), sample.pop("counts"), strict=True)]
     present = np.zeros(DIM)
     for used, _ in features:
         present[used] += 1

@@ -2,7 +2,7 @@
 
 * A token is a run of letters, of digits or of other signs. Tokens are hashed into
   ``VOCABULARY`` cells, whatever the corpus's size: random indexing needs no vocabulary, and words that share a cell share a
-  vector. With a larger corpus more rare words do; the README has the held-out AUC for several numbers of cells. Each cell's index vector has two entries of +1 or -1 among ``DIM``; a cell's
+  vector. With a larger corpus more rare words do; the README has the held-out AUC with this number of cells. Each cell's index vector has two entries of +1 or -1 among ``DIM``; a cell's
   context vector is the sum of the index vectors of all neighbours within two tokens, over **all**
   rows. Map tasks add up whole-number vectors, so sums don't depend on their order.
 * A document is the frequency-weighted mean of its tokens' unit context vectors, and the mean of

@@ -245,7 +245,7 @@ own AS (SELECT {_NODE.format("trim(url)")} AS node, html FROM pages WHERE contai
 kept AS (SELECT *, {_ADDRESS} AS plain, list_filter(string_split(regexp_extract(node, '^[^?]*\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '{url_rules.TRACKING}')) AS q FROM own),
 addressed AS (SELECT node, html, plain || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS addr FROM kept),
 keyed AS (SELECT node, addr AS key FROM addressed UNION ALL
-  SELECT node, md5(regexp_extract(html, '{url_rules.ARTICLE}', 1)) || chr(10) || regexp_extract(addr, '^[^:/?#]+://[^/?]*(.*)$', 1) FROM addressed WHERE regexp_matches(html, '{url_rules.ARTICLE}')),
+  SELECT node, md5(regexp_extract(html, '{url_rules.ARTICLE}', 1)) || chr(10) || regexp_replace(regexp_extract(addr, '^[^:/?#]+://(.*)$', 1), '{url_rules.ENTRANCE}', '') FROM addressed WHERE regexp_matches(html, '{url_rules.ARTICLE}')),
 m AS (SELECT node AS a, min(node) OVER (PARTITION BY key) AS b FROM keyed),
 l AS (SELECT a, b FROM e UNION SELECT a, b FROM m),
 u AS (SELECT a, b FROM l WHERE a <> b UNION SELECT b, a FROM l WHERE a <> b),

@@ -21,6 +21,8 @@ from cartolex.llm.scratch import cut
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Query parameters that don't change the page.
 TRACKING = r"(?i)^(?:utm_[a-z]+|ref|fbclid|gclid)="
+#: First labels of a host that make it another entrance to one site.
+ENTRANCE = r"^(?:www|m|blog)\."
 ARTICLE = r"(?is)<article\b[^>]*>(.+?)</article>"
 _QUOTED = r"""\s*=\s*["']?\s*"""
 
@@ -120,13 +122,15 @@ def address(url: Column) -> Column:
 
 
 def mirrors(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(src, dst)`` nodes of pages whose canonical addresses differ in nothing, or in their host only while they hold one article.
+    """``(src, dst)`` nodes of pages whose canonical addresses differ in nothing, or only in an :data:`ENTRANCE` to one site while they hold one article.
+
+    Equal texts on different sites make no aliases: neither redirects to the other.
 
     Each such group is joined to its smallest node; groups are pre-aggregated, so a page of many addresses costs a task one row.
     """
     at = address(F.col(url_col))
     article = F.md5(F.regexp_extract(html_col, ARTICLE, 1).cast("binary"))
-    same_text = F.when(F.col(html_col).rlike(ARTICLE), F.concat_ws("\n", article, F.regexp_extract(at, r"^[^:/?#]+://[^/?]*(.*)$", 1)))
+    same_text = F.when(F.col(html_col).rlike(ARTICLE), F.concat_ws("\n", article, F.regexp_replace(F.regexp_extract(at, r"^[^:/?#]+://(.*)$", 1), ENTRANCE, "")))
     keyed = pages.where(F.col(url_col).contains("://")).select(node(F.col(url_col)).alias("src"), F.explode(F.array(at, same_text)).alias("key")).where("key is not null")
     keyed = cut(keyed, "addresses")
     least = keyed.groupBy("key").agg(F.min("src").alias("dst"), F.max("src").alias("last")).where("dst <> last").select("key", "dst")
