@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartolex.operators import search, text_index
+from cartolex.operators import search, text_index, vector_index
 from cartolex.operators.graph import label_counts
 from cartolex.plans.knowledge_graph import Graph
 
@@ -93,6 +93,16 @@ def semantic_search(g: Graph, vector: list[float], k: int = 5) -> DataFrame:
     return search.vector_top_k(g.nodes["Chunk"], "chunkId", "embedding", vector, k)
 
 
+def index_vectors(g: Graph, path: str) -> None:
+    """The vector index of all embedded chunks, stored once at ``path``."""
+    vector_index.write_index(g.nodes["Chunk"], "chunkId", "embedding", path)
+
+
+def indexed_semantic_search(g: Graph, path: str, vector: list[float], k: int = 5) -> DataFrame:
+    """Like :func:`semantic_search`, from a stored index: about half of the lists are read, and of most vectors their codes only."""
+    return vector_index.search(g.edges.sparkSession, path, "chunkId", vector, k)
+
+
 def keyword_search(g: Graph, query: str, k: int = 10) -> DataFrame:
     """The chunks that fit a query's words best."""
     return search.bm25(g.nodes["Chunk"], "chunkId", "content", query, k)

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartolex.functions.text import normalized_id, normalized_name, strip
-from cartolex.operators import chunks, embed, graph, link, metadata, references, reports, search, sections, toc, topics, validate
+from cartolex.operators import chunks, constraints, embed, graph, link, metadata, references, reports, search, sections, toc, topics, validate, vector_index
 from cartolex.operators.sections import HeaderProfile
 from cartolex.plans import graph_queries
 from cartolex.plans.knowledge_graph import Graph
 from cartolex.plans.registry import query, table
 from cartolex.sources import links
+from cartolex.staging import new_path
 
 #: The driver's texts have no Italian headers; upper-case lines and list-like lines open sections there.
 SYNTHETIC = HeaderProfile(named=(r"permission is|copyright|the\s",), numbered=(r"[A-ZÀ-Þ]{3,}[^a-z]*$", r"[A-Z][a-z]+\.$"))
@@ -557,6 +558,15 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.vector_top_k_of(e, "vec_id", "embedding", e.where("vec_id = 0").select("embedding"), 5).withColumn("score", F.round("score", 6))
 
 
+@query("vector_search_index", "SELECT e.vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS score FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q ORDER BY list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) DESC, e.vec_id LIMIT 5")
+def vector_search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-7, Q-16: the same from a stored index, by the codes of all lists."""
+    e, path = table(spark, sf_dir, "embeddings"), new_path(spark, "vectors")
+    vector_index.write_index(e, "vec_id", "embedding", path)
+    query = e.where("vec_id = 0").first()  # one row
+    return vector_index.search(spark, path, "vec_id", query["embedding"] if query else [], 5, probed=1.0).withColumn("score", F.round("score", 6))
+
+
 @query("keyword_search_bm25", r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL),
 s AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM w),
@@ -680,3 +690,26 @@ def embed_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X-5, F-13, I-16: vectors by the offline embedder, as their components that aren't zero."""
     vectors = embed.embed(table(spark, sf_dir, "documents"), "doc_id", "text", embed.hash_embedder(64))
     return vectors.select("doc_id", F.posexplode("embedding").alias("dim", "v")).where("v <> 0").select("doc_id", "dim", F.round(F.col("v").cast("double"), 5).alias("value"))
+
+
+_SUITE = (
+    constraints.Unique("orders", ("o_orderkey",)), constraints.Unique("orders", ("o_custkey", "o_orderdate")), constraints.Exists("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    constraints.Exists("orders", "o_custkey", "customer", "c_custkey", "o_orderstatus = 'O'"), constraints.Dense("lineitem", "l_orderkey", "place"), constraints.Holds("lineitem", "l_quantity < 50"),
+)
+
+
+@query("constraint_report", """
+WITH o AS (SELECT * FROM orders WHERE o_orderkey % 7 > 0), l AS (SELECT *, l_linenumber - 1 - CASE WHEN l_orderkey % 5 = 0 AND l_linenumber > 2 THEN 1 ELSE 0 END AS place FROM lineitem), c AS (SELECT * FROM customer WHERE c_custkey % 11 > 0),
+v AS (SELECT 'orders: o_orderkey unique' AS c, count(*) AS rows FROM o GROUP BY o_orderkey HAVING count(*) > 1
+UNION ALL SELECT 'orders: o_custkey, o_orderdate unique', count(*) FROM o WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL GROUP BY o_custkey, o_orderdate HAVING count(*) > 1
+UNION ALL SELECT 'lineitem: l_orderkey in orders.o_orderkey', count(*) FROM l WHERE l_orderkey NOT IN (SELECT o_orderkey FROM o) GROUP BY l_orderkey
+UNION ALL SELECT 'orders: o_custkey in customer.c_custkey (o_orderstatus = ''O'')', count(*) FROM o WHERE o_orderstatus = 'O' AND o_custkey NOT IN (SELECT c_custkey FROM c) GROUP BY o_custkey
+UNION ALL SELECT 'lineitem: place dense in l_orderkey', count(*) FROM l GROUP BY l_orderkey HAVING list_sort(list(place)) <> range(0, count(*))
+UNION ALL SELECT 'lineitem: l_quantity < 50', count(*) FROM l WHERE l_quantity >= 50 HAVING count(*) > 0)
+SELECT c AS "constraint", count(*) AS keys, CAST(sum(rows) AS BIGINT) AS rows FROM v GROUP BY 1""")
+def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-8, M-10, A-14: what breaks declared constraints in three tables from which rows and places were taken."""
+    moved = F.when((F.col("l_orderkey") % 5 == 0) & (F.col("l_linenumber") > 2), 1).otherwise(0)
+    lineitem = table(spark, sf_dir, "lineitem").withColumn("place", F.col("l_linenumber") - 1 - moved)
+    tables = {"orders": table(spark, sf_dir, "orders").where("o_orderkey % 7 > 0"), "lineitem": lineitem, "customer": table(spark, sf_dir, "customer").where("c_custkey % 11 > 0")}
+    return constraints.report(constraints.violations(tables, _SUITE))
