@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cartolex.functions.text import normalized_id, normalized_name, strip
-from cartolex.operators import chunks, constraints, embed, graph, link, metadata, references, reports, search, sections, toc, topics, validate, vector_index
+from cartolex.operators import chunks, constraints, embed, graph, link, metadata, references, reports, resolve, search, sections, toc, topics, validate, validity, vector_index
 from cartolex.operators.sections import HeaderProfile
 from cartolex.plans import graph_queries
 from cartolex.plans.knowledge_graph import Graph
@@ -713,3 +714,41 @@ def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem").withColumn("place", F.col("l_linenumber") - 1 - moved)
     tables = {"orders": table(spark, sf_dir, "orders").where("o_orderkey % 7 > 0"), "lineitem": lineitem, "customer": table(spark, sf_dir, "customer").where("c_custkey % 11 > 0")}
     return constraints.report(constraints.violations(tables, _SUITE))
+
+
+@query("topic_resolution", r"""
+WITH RECURSIVE b AS (SELECT p_partkey AS k, regexp_replace(lower(p_name || ' ' || p_brand), '[^a-z0-9]+', '', 'g') AS n FROM part), d AS (SELECT DISTINCT n FROM b),
+l AS (SELECT a.n AS a, c.n AS b FROM d a JOIN d c ON a.n <> c.n AND levenshtein(a.n, c.n) <= CAST(floor(0.1 * greatest(length(a.n), length(c.n)) + 1e-9) AS BIGINT)),
+r(node, seen) AS (SELECT n, n FROM d UNION SELECT l.b, r.seen FROM r JOIN l ON l.a = r.node),
+g AS (SELECT node, min(seen) AS g FROM r GROUP BY 1), m AS (SELECT g, min(k) AS entity FROM b JOIN g ON node = n GROUP BY 1)
+SELECT k AS p_partkey, entity FROM b JOIN g ON node = n JOIN m USING (g)""")
+def topic_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§2.10 stretch: names of all parts that are one up to a tenth of their signs."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("name"))
+    return resolve.resolve(parts, "p_partkey", "name", 0.9)
+
+
+@query("asof_join", """
+SELECT e.event_id, c.event_id AS last_click, c.value AS click_value FROM (SELECT * FROM events WHERE event_type <> 'click') e
+ASOF LEFT JOIN (SELECT user_id, ts, max(struct_pack(event_id := event_id, value := value)).event_id AS event_id, max(struct_pack(event_id := event_id, value := value)).value AS value FROM events WHERE event_type = 'click' GROUP BY 1, 2) c ON e.user_id = c.user_id AND e.ts >= c.ts""")
+def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§2.10 stretch: every event with its user's last click before it."""
+    events = table(spark, sf_dir, "events")
+    clicks = events.where("event_type = 'click'").select("user_id", "ts", F.col("event_id").alias("last_click"), F.col("value").alias("click_value"))
+    others = events.where("event_type <> 'click'").select("event_id", "user_id", "ts")
+    return validity.as_of(others, clicks, "user_id", "ts", "ts", ["last_click", "click_value"]).select("event_id", "last_click", "click_value")
+
+
+@query("valid_on_day", """
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS i, CASE WHEN o_orderkey % 4 > 0 THEN o_orderdate END AS d FROM orders),
+v AS (SELECT k AS o_orderkey, d AS "validFrom", min(d) OVER (PARTITION BY c ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS "validUntil" FROM o)
+SELECT * FROM v WHERE "validFrom" <= TIMESTAMP '1997-06-01' AND ("validUntil" IS NULL OR "validUntil" > TIMESTAMP '1997-06-01')""")
+def valid_on_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """§2.10 stretch: orders of which each takes the place of its customer's one before, and of which some have no date: those that hold on a day."""
+    from datetime import datetime
+
+    rows = table(spark, sf_dir, "orders")
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    edges = rows.select(F.lead("o_orderkey").over(w).alias("src"), F.col("o_orderkey").alias("dst"))
+    docs = rows.select("o_orderkey", F.when(F.col("o_orderkey") % 4 > 0, F.col("o_orderdate")).alias("issued"))
+    return validity.valid_on(validity.validity(docs, edges, "o_orderkey"), datetime(1997, 6, 1))
