@@ -231,3 +231,11 @@ def model_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         said = ledger.ask(table(spark, sf_dir, "documents"), "doc_id", "text", length, "int", kept)
     rows = said.groupBy(F.when(F.col("error").isNull(), "answered").otherwise("dead").alias("state")).agg(F.count("*").alias("rows"))
     return ledger.report(spark, kept).join(rows, "state")
+
+
+@query("property_lookup", f"WITH {_BOOK} SELECT doc_id AS \"documentId\", source AS oggetto FROM book WHERE NOT answer AND i % 25 = 7")
+def property_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M-9: the documents of one type and year in a stored graph, from the buckets that hold one."""
+    target = new_path(spark, "graph")
+    graph_store.ingest(book(spark, sf_dir), target)
+    return graph_store.lookup(spark, target, "Document", type="Circolare", year=2007).select("documentId", "oggetto")

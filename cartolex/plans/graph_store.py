@@ -32,6 +32,8 @@ FROM_DOCUMENT = ("HAS_TOC", "HAS_SECTION")
 SCORED = ("DISCUSSES_TOPIC", "DISCUSSES_KEYWORD")
 EDGE_TYPES = (*FROM_DOCUMENT, "HAS_SUBSECTION", "HAS_CHUNK", "NEXT_SECTION", "NEXT_CHUNK", "REFERENCES_LAW", *SCORED)
 EDGE_SCHEMA = "src string, dst string, order int, relevanceScore double"
+#: Properties by which nodes are looked up, together or the first alone.
+INDEXED = {"Document": ("type", "year"), "LegalReference": ("type", "year"), "Topic": ("normalizedName",), "Keyword": ("normalizedName",)}
 #: A bucket with this many folders is rewritten as one when something comes to it.
 MOST_PARTS = 8
 #: Documents for each bucket of a new graph, and the least and most buckets that it gets.
@@ -115,6 +117,23 @@ def read(spark: SparkSession, target: str, version: int | None = None) -> Graph:
     return found.graph()
 
 
+def lookup(spark: SparkSession, target: str, label: str, version: int | None = None, **values) -> DataFrame:
+    """The nodes of a label with certain values of its :data:`INDEXED` properties; only buckets that hold one are read.
+
+    The property table names the buckets; it keeps what a node once was, so the nodes themselves are compared too. A value of None asks for null.
+    """
+    found = snapshot(spark, target, version)
+    if found is None:
+        raise FileNotFoundError(target)
+    if unknown := set(values) - set(INDEXED.get(label, ())):
+        raise ValueError(f"{label} isn't looked up by {', '.join(sorted(unknown))}")
+    if f"property/{label}" not in found.schemas:
+        return found.table(label) if label in found.schemas else spark.createDataFrame([], f"{NODE_KEYS[label]} string")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in values.items()], F.lit(True))
+    homes = {r[0] for r in found.table(f"property/{label}").where(same).select("_bucket").distinct().collect()}  # at most as many as there are buckets
+    return found.table(label, homes).where(same)
+
+
 def _claim(made: Snapshot) -> bool:
     """Make a version visible, whole; False if its number is taken.
 
@@ -191,6 +210,17 @@ class _Merge:
         found = _save(rows, folder, ["_bucket"], [NODE_KEYS[table]])
         self._place(table, rows.drop("_bucket").schema, {int(b): f for (b,), f in found.items()}, rewritten)
 
+    def _index(self, label: str, rows: DataFrame) -> None:
+        """Adds rows (with their buckets) to the label's property table: files of ranges of (properties, key), so a frequent value fills several."""
+        table, by = f"property/{label}", [*INDEXED[label], NODE_KEYS[label]]
+        made, own = rows.select(*by, "_bucket"), self.made.parts.setdefault(table, {0: []})
+        if len(own[0]) >= MOST_PARTS:
+            made, own[0] = made.unionByName(self.base.table(table)).distinct(), []
+        folder = f"{self.run}/{table}"
+        made.repartitionByRange(*by).sortWithinPartitions(*by).write.parquet(f"{self.base.target}/data/{folder}")
+        own[0] = [*own[0], folder]
+        self.made.schemas[table] = made.schema.json()
+
     def owned(self) -> None:
         """Documents with all that is theirs: what was there of one that comes again goes, unless stale rows are kept."""
         n = self.base.buckets
@@ -208,6 +238,8 @@ class _Merge:
             kept = old.join(new.select(NODE_KEYS[label]), NODE_KEYS[label], "left_anti") if self.keep_stale else old.join(again, "documentId", "left_anti")
             rows = new.unionByName(kept, allowMissingColumns=True)
             self._store(label, rows.withColumn("_bucket", bucket_of(F.col("documentId"), n)), rewritten)
+            if label in INDEXED:
+                self._index(label, new.withColumn("_bucket", bucket_of(F.col("documentId"), n)))
         self._edges(again, dirty)
 
     def _edges(self, again: DataFrame, dirty: set[int]) -> None:
@@ -244,6 +276,7 @@ class _Merge:
             fresh = new.join(self._old(label, touched, new).select(key), key, "left_anti")
             old = self._old(label, rewritten, new.drop("_bucket")).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
             self._store(label, fresh.unionByName(old, allowMissingColumns=True), rewritten)
+            self._index(label, fresh)
         key = F.col("referenceId")
         new = self.new.nodes["LegalReference"].withColumn("_bucket", bucket_of(key, n))
         touched = _buckets(new)
@@ -255,6 +288,7 @@ class _Merge:
         rewritten = self._rewritten("LegalReference", _buckets(changed), dirty)
         kept = old.where(F.col("_bucket").isin(*rewritten)) if rewritten else old.limit(0)
         self._store("LegalReference", changed.unionByName(kept.join(changed.select("referenceId"), "referenceId", "left_anti"), allowMissingColumns=True), rewritten)
+        self._index("LegalReference", changed)
         self.linked = _buckets(changed)
         release(changed)
 
