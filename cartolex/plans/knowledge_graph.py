@@ -36,8 +36,11 @@ def structure(pages: DataFrame, config: EngineConfig | None = None, profile: sec
     """
     config = config or EngineConfig()
     pages = pages if "path" in pages.columns else pages.withColumn("path", F.col("filename"))
-    found = metadata.documents(pages, config.as_of_year).withColumn("_file", F.col("metadata")["filename"]).withColumn("_path", F.col("path"))
-    docs = stage(graph.merge_last(found, ["documentId"], ["_file", "_path"]), "documents")
+    found = stage(metadata.documents(pages, config.as_of_year), "files")
+    file = F.struct(F.col("metadata")["filename"].alias("filename"), "path")
+    last = found.groupBy("documentId").agg(F.max(file).alias("_last"), F.count("*").alias("_n")).where("_n > 1")
+    outdone = stage(found.select("documentId", "path", file.alias("_file")).join(last, "documentId").where("_file <> _last").select("path"), "outdone")
+    docs = found.join(outdone, "path", "left_anti").select(found.columns)  # files that lose their document are few, so whole texts stay where they are
     keyed = pages.join(docs.select("documentId", "path"), "path").select("documentId", "page_no", "text")
     tocs = stage(toc.tocs(docs, keyed), "tocs")
     sections = stage(sectioning.sections(docs, tocs, profile, config.lines_per_page), "sections")

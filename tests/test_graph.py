@@ -225,3 +225,35 @@ def test_fetch_failures_are_rows(spark):
     assert got == {"http://a/x.pdf": (True, None, None), "http://a/y": (True, "content type is text/html", None), "http://b/z": (False, None, "ZeroDivisionError: division by zero")}
     content, _, error = links.http_fetcher(timeout=0.2, pause=0.0)("http://127.0.0.1:1/x")
     assert content is None and error
+
+
+def test_fetching_by_http(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Site(BaseHTTPRequestHandler):
+        def do_GET(self):
+            if self.headers["User-Agent"] != "a test":
+                return self.send_error(403)
+            status, kind, body = {"/a.pdf": (200, "application/pdf", b"%PDF"), "/page": (200, "text/html; charset=utf-8", b"<p>"), "/moved": (302, "", b""), "/loop": (302, "", b"")}.get(self.path, (404, "text/plain", b"none"))
+            self.send_response(status)
+            if status == 302:
+                self.send_header("Location", "/a.pdf" if self.path == "/moved" else "/loop")
+            self.send_header("Content-Type", kind)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    site = HTTPServer(("127.0.0.1", 0), Site)
+    threading.Thread(target=site.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{site.server_port}"
+    urls = spark.createDataFrame([(base + p,) for p in ("/a.pdf", "/page", "/moved", "/loop", "/gone", "/gone")], "url string")
+    got = {r.url.removeprefix(base): r for r in links.fetch(urls, links.http_fetcher(timeout=5.0, pause=0.0, agent="a test")).collect()}
+    site.shutdown()
+    assert set(got) == {"/a.pdf", "/page", "/moved", "/loop", "/gone"}
+    assert (bytes(got["/a.pdf"].content), got["/a.pdf"].content_type, got["/a.pdf"].warning) == (b"%PDF", "application/pdf", None)
+    assert bytes(got["/moved"].content) == b"%PDF" and got["/moved"].ok and got["/moved"].warning is None
+    assert got["/page"].ok and got["/page"].warning == "content type is text/html"
+    assert not got["/gone"].ok and "404" in got["/gone"].error and not got["/loop"].ok and "HTTPError" in got["/loop"].error
