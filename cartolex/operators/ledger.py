@@ -103,11 +103,12 @@ def ask(rows: DataFrame, key: str, text: str, call: Call, kind: str, ledger: Led
     empty; null and repeated keys are rows as any.
     """
     spark = rows.sparkSession
-    asked = stage(rows.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"), ledger.item(F.col(text)).alias("item")), "asked")
-    known = ledger.items(spark)
-    settled = known.where("state <> 'failed'").select("item")
-    distinct = asked.groupBy("item").agg(F.min("_text").alias("text"))
-    todo = stage(distinct.join(settled, "item", "left_anti"), "to_ask")
+    item = ledger.item(F.col(text))
+    asked = stage(rows.select(F.col(key).alias("_key"), item.alias("item")), "asked")  # texts stay where they are
+    settled = ledger.items(spark).where("state <> 'failed'").select("item")
+    open_items = asked.select("item").distinct().join(settled, "item", "left_anti")
+    texts = rows.select(item.alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    todo = stage(texts.join(open_items, "item", "left_semi").dropDuplicates(["item"]), "to_ask")
     count = todo.count()
     waves = -(-count // ledger.wave)
     wave = F.pmod(F.xxhash64("item"), F.lit(max(1, waves)))

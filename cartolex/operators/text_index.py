@@ -7,21 +7,24 @@ only the files of its words, and there only blocks that may still hold one of th
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartolex.functions.text import let
-from cartolex.operators.numbering import numbered
 from cartolex.operators.search import B, K1, Clause, clauses, tokens
 from cartolex.staging import release, stage
 
 BLOCK = 128
-#: Blocks in a file, about 100 MB of short lists of positions.
+#: Blocks in a file, about 100 MB of short lists of positions; what a block has of a text.
 FILE_BLOCKS = 20_000
+_TEXT = ["key", "length", "impact", "positions"]
 
 
 def impact(tf: Column, length: Column, mean: Column | float) -> Column:
@@ -47,28 +50,46 @@ def placed(words: Column) -> Column:
 
 
 def write_index(rows: DataFrame, key: str, text: str, path: str, file_blocks: int = FILE_BLOCKS) -> None:
-    """The index of all texts that aren't null, as tables at ``path``: stats, terms, blocks, and the files of blocks.
+    """The index of all texts that aren't null, as tables at ``path``: stats, blocks, the words in them, and the files of blocks.
 
-    Texts are cut once, inside their rows. Places within a word's list come from one range partitioning by word and contribution, so a word of a third of
-    all texts is dealt to as many tasks as it fills. The number of files follows the number of blocks.
+    Texts are cut once, inside their rows. One range partitioning by word and contribution is all that is shuffled, so a word of a third of
+    all texts is dealt to as many tasks as it fills, and each range is cut into blocks as it is written. The number of files follows the number of words.
     """
     spark = rows.sparkSession
     cut = rows.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), tokens(F.col(text)).alias("_w")).select("_key", F.size("_w").alias("_length"), placed(F.col("_w")).alias("_p"))
     cut = stage(cut, "cut_texts")
-    cut.agg(F.count("*").alias("n"), F.avg("_length").alias("mean")).write.parquet(f"{path}/stats")
-    mean = spark.read.parquet(f"{path}/stats").first()["mean"] or 1.0
-    each = cut.select("_key", "_length", F.explode("_p").alias("p")).select("p.term", "_key", "_length", "p.positions")
-    scored = each.withColumn("impact", impact(F.size("positions"), F.col("_length"), mean)).withColumn("_order", -F.col("impact"))
-    dealt = numbered(scored, ["_order", "_key"], ["term"], "_place")
-    terms = dealt.groupBy("term").agg(F.count("*").alias("df"), F.max("impact").alias("best"), F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    cut.agg(F.count("*").alias("n"), F.avg("_length").alias("mean"), F.coalesce(F.sum(F.size("_p")), F.lit(0)).alias("entries")).write.parquet(f"{path}/stats")
+    stats = spark.read.parquet(f"{path}/stats").first()
+    each = cut.select("_key", "_length", F.explode("_p").alias("p")).select("p.term", F.col("_key").alias("key"), F.col("_length").alias("length"), "p.positions")
+    scored = each.withColumn("impact", impact(F.size("positions"), F.col("length"), stats["mean"] or 1.0)).withColumn("_order", -F.col("impact"))
+    order = ["term", "_order", "key"]
+    dealt = scored.repartitionByRange(max(1, -(-stats["entries"] // (BLOCK * file_blocks))), *order).sortWithinPartitions(*order)
+    kind = dict(scored.dtypes)["key"]
+    made = dealt.select("term", *_TEXT).mapInArrow(_blocks, f"term string, lead boolean, n int, best double, texts array<struct<key:{kind},length:int,impact:double,positions:array<int>>>")
+    made.write.parquet(f"{path}/blocks")
+    release(cut)
+    blocks = spark.read.parquet(f"{path}/blocks")
+    terms = blocks.groupBy("term").agg(F.sum("n").alias("df"), F.max("best").alias("best"))
     terms.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
-    blocks = spark.read.parquet(f"{path}/terms").agg(F.sum("blocks")).first()[0] or 0
-    block = F.floor(F.col("_place") / BLOCK).alias("block")
-    made = dealt.groupBy("term", block).agg(F.max("impact").alias("best"), F.collect_list(F.struct(F.col("_key").alias("key"), F.col("_length").alias("length"), "impact", "positions")).alias("texts"))  # at most 128
-    made.repartitionByRange(max(1, -(-blocks // file_blocks)), "term", "block").sortWithinPartitions("term", "block").write.parquet(f"{path}/blocks")
-    own = spark.read.parquet(f"{path}/blocks").groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("term").alias("low"), F.max("term").alias("high"))
+    own = blocks.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("term").alias("low"), F.max("term").alias("high"))
     own.coalesce(1).write.parquet(f"{path}/files")  # one row a file
-    release(cut)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by word and contribution as blocks of one word each; ``lead`` marks the first of a word in its batch."""
+    for batch in batches:
+        n, term = batch.num_rows, batch.column(0)
+        if not n:
+            continue
+        change = np.ones(n, bool)
+        change[1:] = pc.not_equal(term.slice(1), term.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        begins = np.flatnonzero(change)
+        place = np.arange(n) - np.repeat(begins, np.diff(np.append(begins, n)))
+        starts = np.flatnonzero(place % BLOCK == 0)
+        ends = np.append(starts[1:], n)
+        texts = pa.ListArray.from_arrays(pa.array(np.append(starts, n), pa.int32()), pa.StructArray.from_arrays([batch.column(c) for c in _TEXT], _TEXT))
+        best = pa.array(batch.column("impact").to_numpy()[starts])
+        yield pa.RecordBatch.from_arrays([term.take(pa.array(starts)), pa.array(change[starts]), pa.array((ends - starts).astype(np.int32)), best, texts], ["term", "lead", "n", "best", "texts"])
 
 
 @dataclass
@@ -87,7 +108,7 @@ class Plan:
 def plan(spark: SparkSession, path: str, query: str, k: int = 10) -> Plan:
     """The plan of a query; see :func:`search`.
 
-    The first block of each word gives texts with at least certain scores, of which the k-th best is a bound. A block may hold one of the k best
+    The first block of each word in each range gives texts with at least certain scores, of which the k-th best is a bound. A block may hold one of the k best
     only if its best contribution and the best of all other words reach that bound together. So a frequent word's blocks are left
     unread where it stands alone or beside words of like weight; beside a much rarer word they are read, as they are with phrases, whose weights
     aren't known beforehand.
@@ -102,7 +123,7 @@ def plan(spark: SparkSession, path: str, query: str, k: int = 10) -> Plan:
     weights = {w: r["weight"] for w, r in found.items()}
     least = dict.fromkeys(weights, 0.0)
     if files and terms and not phrases:
-        texts = _texts(spark, files, F.col("term").isin(*weights) & (F.col("block") == 0))
+        texts = _texts(spark, files, F.col("term").isin(*weights) & F.col("lead"))
         sure = _summed(texts, weights).orderBy(F.desc("score")).limit(k).collect()  # k rows
         bound = sure[-1]["score"] if len(sure) == k else 0.0
         best = {w: weights[w] * found[w]["best"] for w in weights}
