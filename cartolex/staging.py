@@ -18,6 +18,8 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's own setting; off by default.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _made: dict[str, SparkSession] = {}
 _own: ContextVar[set[str] | None] = ContextVar("staged", default=None)
 
@@ -49,6 +51,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within it, each finished query deletes its own shuffle files: for writes of staged tables, whose shuffles nothing reads again."""
+    was = spark.conf.get(_FREE)
+    spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREE, was)
+
+
 @contextmanager
 def released_after() -> Iterator[None]:
     """Deletes, at its end, what :func:`stage` wrote within it in this thread, also if it raises: for a plan whose result is written by then."""
