@@ -9,10 +9,10 @@ from collections.abc import Iterable
 
 import pyarrow as pa
 
-from cartolex.staging import release, shared_folder
+from cartolex.staging import release, shared_folder, shuffles_freed
 from cartolex.staging import stage as cut
 
-__all__ = ["cut", "fresh", "give_back", "release", "shared_folder"]
+__all__ = ["cut", "fresh", "give_back", "release", "shared_folder", "shuffles_freed"]
 
 
 def fresh(taken: Iterable[str], *names: str) -> list[str]:

@@ -150,3 +150,29 @@ def test_lm_counts_stay_exact_as_words_and_pairs_grow(spark, monkeypatch):
             assert got[i].ce_background == pytest.approx(background[i], rel=1e-9) and got[i].ce_target == pytest.approx(target[i], rel=1e-9)
     new = model.score(spark.createDataFrame([("never seen",)], "text string")).first()
     assert new.n_words == 2 and new.ce_background == pytest.approx(-np.log(lm_scoring.UNIFORM / (len({w for _, t in rows for w in t.split()}) + 1)))
+
+
+def test_lm_counts_climb_and_descend_a_tree_of_several_levels(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 8_000)
+    monkeypatch.setattr(lm_scoring, "PART_BYTES", 30_000)
+    monkeypatch.setattr(lm_scoring, "FAN", 4)
+    rng = random.Random(8)
+    rows = [(i % 150, " ".join(f"w{int(rng.random() ** 2 * 900)}" for _ in range(150))) for i in range(200)]  # some ids with two texts
+    rows += [(7, f"hot id {i}") for i in range(300)] + [(900, None), (901, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = lm_scoring.train(docs, docs.where("doc_id % 3 = 1").select("doc_id"))
+    parts = lm_scoring.levels(model.blocks, model.size)
+    assert len(parts) == 3 and parts[-1] > parts[0] > 0 and all(b % a == 0 for a, b in zip(parts, parts[1:], strict=False))
+    background, target = plain_losses([t for _, t in rows], [i % 3 == 1 for i, _ in rows], 1 << 30)
+    expected = sorted((i, round(b, 9), round(t, 9)) for (i, _), b, t in zip(rows, background, target, strict=True) if b is not None)
+    for scored in (docs, docs.withColumn("more", F.lit(1))):  # counted documents themselves, and others that ask
+        got = [(r.doc_id, round(r.ce_background, 9), round(r.ce_target, 9)) for r in model.score(scored).collect() if r.n_words]
+        assert len(got) == len(expected)
+        assert np.allclose(sorted(got), expected, atol=2e-9)
+
+
+def test_lm_tree_keeps_rows_of_a_task_level():
+    for size in (1 << 29, 30 << 30, 100 << 40):
+        parts = lm_scoring.levels(-(-size // lm_scoring.BLOCK_BYTES), size)
+        assert parts[0] <= lm_scoring.FAN * lm_scoring.BLOCK_BYTES // lm_scoring.PART_BYTES
+        assert all(b // a <= lm_scoring.FAN for a, b in zip(parts, parts[1:], strict=False)) and parts[-1] < 1 << 32
