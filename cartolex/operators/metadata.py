@@ -57,15 +57,20 @@ def document_id(kind_name: Column, number: Column, year: Column) -> Column:
 
 
 def documents(pages: DataFrame, as_of_year: int = 0) -> DataFrame:
-    """Document records of page records (filename, file_size, page_no, text, and path if names repeat): one for each file."""
+    """Document records of page records (filename, file_size, page_no, text, and path if names repeat): one for each file.
+
+    Pages with a time ``modified`` make one record for each version of a file; its metadata then name time (microseconds since 1970) and path.
+    """
     year = F.lit(as_of_year) if as_of_year else F.year(F.current_date())
     named = pages if "path" in pages.columns else pages.withColumn("path", F.col("filename"))
-    whole = named.groupBy("path").agg(
+    versions = ["modified"] if "modified" in pages.columns else []
+    whole = named.groupBy("path", *versions).agg(
         F.min("filename").alias("filename"),
         F.first("file_size").alias("file_size"),
         F.count("*").cast("int").alias("pageCount"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_no", "text"))), lambda p: p["text"]), "").alias("fullText"),
     )
+    more = [F.lit("modified"), F.unix_micros(F.col("modified").cast("timestamp")).cast("string"), F.lit("path"), F.col("path")] if versions else []
     known = whole.withColumn("k", kind(F.col("filename"), F.col("fullText"), year))
     return known.select(
         document_id(F.col("k.type"), F.col("k.number"), F.col("k.year")).alias("documentId"),
@@ -79,6 +84,7 @@ def documents(pages: DataFrame, as_of_year: int = 0) -> DataFrame:
         "pageCount",
         "fullText",
         "path",
-        F.create_map(F.lit("filename"), "filename", F.lit("file_size"), F.col("file_size").cast("string")).alias("metadata"),
+        *versions,
+        F.create_map(F.lit("filename"), "filename", F.lit("file_size"), F.col("file_size").cast("string"), *more).alias("metadata"),
         F.lit(None).cast("array<float>").alias("fullTextEmbedding"),
     )

@@ -11,7 +11,7 @@ from cartolex.operators.sections import ITALIAN
 from cartolex.plans import graph_queries, graph_store, knowledge_graph
 from cartolex.plans.queries import _CHUNKS, _LINES, _TRIM, _topics_sql
 from cartolex.plans.registry import query, table
-from cartolex.sources import files, links
+from cartolex.sources import files, link_source, links
 from cartolex.staging import new_path
 
 _LEXICON = {"Leggi": ("laws", r"legge"), "Ambito": ("scope", r"ambito")}
@@ -205,6 +205,16 @@ def fetch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.download_summary(links.fetch(table(spark, sf_dir, "pages"), fetcher, max_concurrent=8))
 
 
+@query("link_source", "SELECT count(DISTINCT url) AS total, count(DISTINCT url) FILTER (url NOT LIKE 'https%') AS ok, count(DISTINCT url) FILTER (url LIKE 'https%') AS failed FROM pages")
+def link_source_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-3, X-7: every url dealt in two overlapping batches and read as a data source, with fetch_report's fetcher."""
+    urls, folder = table(spark, sf_dir, "pages").select("page_id", "url"), new_path(spark, "links")
+    link_source.deal(urls.where("page_id % 3 < 2"), folder, slots=8)
+    link_source.deal(urls, folder)
+    link_source.register(spark, lambda url: (None, "", "refused") if url.startswith("https") else (url.encode(), "application/pdf", None))
+    return reports.download_summary(spark.read.format("links").load(folder))
+
+
 @query("file_pages", "SELECT md5(text) AS text_md5, count(*) AS n FROM documents WHERE text <> '' AND NOT contains(text, chr(12)) GROUP BY 1")
 def file_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I-6, I-7, M-10: documents written as pages of text files, scanned and decoded again."""

@@ -50,6 +50,12 @@ def owner_of(kind: Column, src: Column) -> Column:
     return F.when(kind.isin(*FROM_DOCUMENT), src).otherwise(F.regexp_replace(src, r"_SEC_\d+(?:_CHK_\d+)?$", ""))
 
 
+def _version(metadata: str) -> Column:
+    """What orders the versions of a document: time, then name and path of the file. One without a time is older than all that have one."""
+    part = lambda name: F.get_json_object(metadata, f"$.{name}").alias(name)
+    return F.struct(part("modified").cast("long").alias("modified"), part("filename"), part("path"))
+
+
 @dataclass
 class Snapshot:
     """One version of a stored graph: the folders of each bucket of each table, and each table's schema."""
@@ -185,8 +191,9 @@ def _save(rows: DataFrame, folder: str, by: list[str], order: list[str]) -> dict
 class _Merge:
     """One attempt to put new tables upon a version."""
 
-    def __init__(self, base: Snapshot, new: Graph, keep_stale: bool) -> None:
-        self.base, self.new, self.keep_stale = base, new, keep_stale
+    def __init__(self, base: Snapshot, new: Graph, keep_stale: bool, newest: bool = False) -> None:
+        self.base, self.new, self.keep_stale = base, Graph(dict(new.nodes), new.edges), keep_stale
+        self.newest = newest
         self.run = uuid.uuid4().hex
         self.made = Snapshot(base.spark, base.target, base.version + 1, base.buckets, base.canonical, dict(base.schemas), {t: dict(p) for t, p in base.parts.items()})
 
@@ -221,6 +228,23 @@ class _Merge:
         own[0] = [*own[0], folder]
         self.made.schemas[table] = made.schema.json()
 
+    def _leave_late(self) -> None:
+        """Takes out documents that come too late: the graph has their version, or a newer one. References that only they cite go with them."""
+        new = self.new.nodes["Document"].select("documentId", bucket_of(F.col("documentId"), self.base.buckets).alias("_bucket"), _version("metadata").alias("_new"))
+        if "Document" not in self.base.schemas:
+            return
+        old = self.base.table("Document", _buckets(new)).select("documentId", _version("metadata").alias("_old"))
+        late = stage(new.join(old, "documentId").where("_new <= _old").select("documentId"), "late")
+        if late.isEmpty():
+            return
+        for label in OWNED:
+            if label in self.new.nodes:
+                self.new.nodes[label] = self.new.nodes[label].join(late, "documentId", "left_anti")
+        columns = self.new.edges.columns
+        self.new.edges = self.new.edges.withColumn("documentId", owner_of(F.col("type"), F.col("src"))).join(late, "documentId", "left_anti").select(columns)
+        cited = self.new.edges.where("type = 'REFERENCES_LAW'").select(F.col("dst").alias("referenceId"))
+        self.new.nodes["LegalReference"] = self.new.nodes["LegalReference"].join(cited, "referenceId", "left_semi")
+
     def owned(self) -> None:
         """Documents with all that is theirs: what was there of one that comes again goes, unless stale rows are kept."""
         n = self.base.buckets
@@ -305,6 +329,8 @@ class _Merge:
         """Write what changes and claim the next version; what was written goes if that fails."""
         done = False
         try:
+            if self.newest:
+                self._leave_late()
             self.owned()
             self.shared()
             self.links()
@@ -315,11 +341,12 @@ class _Merge:
         return done
 
 
-def ingest(pages: DataFrame, target: str, keep_stale: bool = False, buckets: int | None = None, canonical: str = "reference", **models) -> DataFrame:
+def ingest(pages: DataFrame, target: str, keep_stale: bool = False, buckets: int | None = None, canonical: str = "reference", newest: bool = False, **models) -> DataFrame:
     """Build ``pages`` and merge them into the graph at ``target``, or make it; returns one row of counts, as of the version that was there first.
 
     Of a document that comes again, all that was its goes with its old edges (those to topics only if topics are extracted now); ``keep_stale``
-    keeps what isn't written anew. References are linked over all documents. ``models`` go to
+    keeps what isn't written anew. With ``newest``, pages have a time ``modified``, and a document of which the graph holds this version
+    or a newer one is left out, so ingests may come late, again and in any order. References are linked over all documents. ``models`` go to
     :func:`cartolex.plans.knowledge_graph.build`, which runs once however often the merge has to be repeated. A new graph has
     ``buckets`` buckets, by default one for 500 documents within 16 to 4096, and the ``canonical`` mode of links; later ingests keep both.
     """
@@ -337,7 +364,7 @@ def ingest(pages: DataFrame, target: str, keep_stale: bool = False, buckets: int
         buckets = min(high, max(low, 1 << max(0, new.nodes["Document"].count() // BUCKET_DOCUMENTS).bit_length()))
     while True:
         base = snapshot(spark, target) or Snapshot(spark, target, 0, buckets or BUCKETS[0], canonical)
-        if _Merge(base, new, keep_stale).attempt():
+        if _Merge(base, new, keep_stale, newest).attempt():
             return report
 
 

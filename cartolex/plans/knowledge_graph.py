@@ -28,20 +28,29 @@ class Graph:
     counts: DataFrame | None = None
 
 
+def _same_file(left: DataFrame, right: DataFrame, one: list[str], how: str) -> DataFrame:
+    """A join on what names a version of a file; a null time equals itself."""
+    if len(one) == 1:
+        return left.join(right, one, how)
+    right = right.withColumnsRenamed({c: f"_{c}" for c in one})
+    return left.join(right, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in one]), how)
+
+
 def structure(pages: DataFrame, config: EngineConfig | None = None, profile: sectioning.HeaderProfile = sectioning.ITALIAN) -> dict[str, DataFrame]:
     """Document, TableOfContents, Section and Chunk records of page records, each staged before the next reads it.
 
-    Files that map to one document key are merged: the last file by name (then path) wins, as a whole. ``pages``
-    is read twice, so it should be a table; :func:`cartolex.sources.files.pages` stages what it decodes.
+    Files that map to one document key are merged: the last file by name (then path) wins, as a whole; if pages have a time
+    ``modified``, the newest version does, and names decide between equal times. ``pages`` is read twice, so it should be a table; :func:`cartolex.sources.files.pages` stages what it decodes.
     """
     config = config or EngineConfig()
     pages = pages if "path" in pages.columns else pages.withColumn("path", F.col("filename"))
     found = stage(metadata.documents(pages, config.as_of_year), "files")
-    file = F.struct(F.col("metadata")["filename"].alias("filename"), "path")
+    one = ["path", "modified"] if "modified" in pages.columns else ["path"]
+    file = F.struct(*one[1:], F.col("metadata")["filename"].alias("filename"), "path")
     last = found.groupBy("documentId").agg(F.max(file).alias("_last"), F.count("*").alias("_n")).where("_n > 1")
-    outdone = stage(found.select("documentId", "path", file.alias("_file")).join(last, "documentId").where("_file <> _last").select("path"), "outdone")
-    docs = found.join(outdone, "path", "left_anti").select(found.columns)  # files that lose their document are few, so whole texts stay where they are
-    keyed = pages.join(docs.select("documentId", "path"), "path").select("documentId", "page_no", "text")
+    outdone = stage(found.select("documentId", *one, file.alias("_file")).join(last, "documentId").where("_file <> _last").select(*one), "outdone")
+    docs = _same_file(found, outdone, one, "left_anti").select(found.columns)  # files that lose their document are few, so whole texts stay where they are
+    keyed = _same_file(pages, docs.select("documentId", *one), one, "inner").select("documentId", "page_no", "text")
     tocs = stage(toc.tocs(docs, keyed), "tocs")
     sections = stage(sectioning.sections(docs, tocs, profile, config.lines_per_page), "sections")
     chunks = stage(chunking.chunk_sections(sections, config.chunk_size, config.chunk_overlap), "chunks")
@@ -120,7 +129,7 @@ def build(pages: DataFrame, config: EngineConfig | None = None, profile: section
         context = embed.chunk_context(chunks, sections, nodes["Document"], children, config.embed_scope)
         made = embed.embed(context.select("chunkId", embed.enriched_text().alias("enriched")), "chunkId", "enriched", embedder, config.embedding_batch, config.max_concurrent, vectors)
         nodes["Chunk"] = embed.set_embeddings(chunks, stage(made, "vectors"))
-    nodes["Document"] = nodes["Document"].drop("path")
+    nodes["Document"] = nodes["Document"].drop("path", "modified")
     nodes["Section"], nodes["Chunk"] = sections.drop("nextSectionId"), nodes["Chunk"].drop("nextChunkId")
     return Graph(nodes, edges, counts(refs, t, k, known))
 

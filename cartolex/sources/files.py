@@ -30,26 +30,29 @@ def scan(spark: SparkSession, directory: str, pattern: str = "*.pdf", limit: int
     return files.orderBy("path").limit(limit) if limit else files
 
 
-def pages(files: DataFrame, decoder: Decoder = form_feed_decoder) -> tuple[DataFrame, DataFrame]:
+def pages(files: DataFrame, decoder: Decoder = form_feed_decoder, modified: bool = False) -> tuple[DataFrame, DataFrame]:
     """Page records, and (path, filename, error) of files that couldn't be decoded or have no page: one bad file stops nothing.
 
     Files are decoded once, into a staged table that both results read. Records carry the file's path, so
-    files of one name in two folders stay apart. One file is held in Python at a time, page by page.
+    files of one name in two folders stay apart; with ``modified`` also its time, so that of two versions the newer one counts. One file is held in Python at a time, page by page.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 path, size, content = (batch.column(c)[i].as_py() for c in range(3))
+                times = [batch.column(c).take(pa.array([i])) for c in range(3, batch.num_columns)]
                 name = path.rsplit("/", 1)[-1]
                 try:
                     rows = [(path, name, size, k + 1, t, None) for k, t in enumerate(decoder(content))]
                     rows = rows or [(path, name, size, None, None, "no pages")]
                 except Exception as e:  # reported as a row
                     rows = [(path, name, size, None, None, f"{type(e).__name__}: {e}")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], ["path", *_NAMES, "error"])
+                more = [t.take(pa.array([0] * len(rows))) for t in times]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)), *more], ["path", *_NAMES, "error", *(["modified"] if more else [])])
 
-    out = files.select("path", F.col("length").alias("file_size"), "content").mapInArrow(run, f"path string, {PAGES}, error string")
+    time = [F.col("modificationTime").alias("modified")] if modified else []
+    out = files.select("path", F.col("length").alias("file_size"), "content", *time).mapInArrow(run, f"path string, {PAGES}, error string{', modified timestamp' if modified else ''}")
     made = stage(out, "pages")
     return made.where("error is null").drop("error"), made.where("error is not null").select("path", "filename", "error")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import http.client
 import time
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +18,7 @@ LINKS = "LINK DOCUMENTI ESTRATTI"
 Fetcher = Callable[[str], tuple[bytes | None, str, str | None]]
 #: A name's stem and extension; a stem that ends with a number.
 _NAME, _NUMBERED = r"^(.*?)(\.[^.]*)?$", r"^(.*)_([1-9]\d{0,8})(\.[^.]*)?$"
-_FETCHED = {"url": pa.string(), "ok": pa.bool_(), "content": pa.binary(), "content_type": pa.string(), "warning": pa.string(), "error": pa.string()}
+FETCHED = {"url": pa.string(), "ok": pa.bool_(), "content": pa.binary(), "content_type": pa.string(), "warning": pa.string(), "error": pa.string()}
 
 
 def read_questions(spark: SparkSession, path: str, links: str = LINKS) -> DataFrame:
@@ -86,6 +86,18 @@ def http_fetcher(timeout: float = 30.0, pause: float = 0.5, agent: str = "Mozill
     return fetch_one
 
 
+def fetched(urls: Iterable[str], fetcher: Fetcher) -> Iterator[pa.RecordBatch]:
+    """One row a url, each handed on as soon as it is there; a fetcher that raises makes a row with its error."""
+    for url in urls:
+        try:
+            content, kind, error = fetcher(url)
+        except Exception as e:  # reported as a row
+            content, kind, error = None, "", f"{type(e).__name__}: {e}"
+        odd = error is None and "pdf" not in (kind or "").lower() and not url.endswith(".pdf")
+        values = (url, error is None, content, kind, f"content type is {kind}" if odd else None, error)
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, FETCHED.values(), strict=True)], list(FETCHED))
+
+
 def fetch(df: DataFrame, fetcher: Fetcher = no_network, max_concurrent: int | None = None, per_host: int = 2) -> DataFrame:
     """(url, ok, content, content_type, warning, error) of each distinct url; one that fails, or whose fetcher raises, is a row with its error.
 
@@ -96,14 +108,7 @@ def fetch(df: DataFrame, fetcher: Fetcher = no_network, max_concurrent: int | No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for url in batch.column("url").to_pylist():
-                try:
-                    content, kind, error = fetcher(url)
-                except Exception as e:  # reported as a row
-                    content, kind, error = None, "", f"{type(e).__name__}: {e}"
-                odd = error is None and "pdf" not in (kind or "").lower() and not url.endswith(".pdf")
-                values = (url, error is None, content, kind, f"content type is {kind}" if odd else None, error)
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _FETCHED.values(), strict=True)], list(_FETCHED))
+            yield from fetched(batch.column("url").to_pylist(), fetcher)
 
     host = F.regexp_extract("url", r"^[^:/?#]+://([^/?#]*)", 1)
     dealt = df.where("url is not null").select("url").distinct().select("url", host.alias("host"), F.pmod(F.xxhash64("url"), F.lit(per_host)).alias("slot"))
