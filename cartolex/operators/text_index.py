@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cartolex.functions.text import let
 from cartolex.operators.search import B, K1, Clause, clauses, tokens
-from cartolex.staging import release, stage
+from cartolex.staging import shuffles_freed, stage
 
 BLOCK = 128
 #: Blocks in a file, about 100 MB of short lists of positions; what a block has of a text.
@@ -52,22 +52,22 @@ def placed(words: Column) -> Column:
 def write_index(rows: DataFrame, key: str, text: str, path: str, file_blocks: int = FILE_BLOCKS) -> None:
     """The index of all texts that aren't null, as tables at ``path``: stats, blocks, the words in them, and the files of blocks.
 
-    Texts are cut once, inside their rows. One range partitioning by word and contribution is all that is shuffled, so a word of a third of
+    ``rows`` is read three times (for the stats, for the ranges and for the blocks), so it should be a table: cut texts would fill as much disk as the index.
+    One range partitioning by word and contribution is all that is shuffled, so a word of a third of
     all texts is dealt to as many tasks as it fills, and each range is cut into blocks as it is written. The number of files follows the number of words.
     """
     spark = rows.sparkSession
-    cut = rows.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), tokens(F.col(text)).alias("_w")).select("_key", F.size("_w").alias("_length"), placed(F.col("_w")).alias("_p"))
-    cut = stage(cut, "cut_texts")
-    cut.agg(F.count("*").alias("n"), F.avg("_length").alias("mean"), F.coalesce(F.sum(F.size("_p")), F.lit(0)).alias("entries")).write.parquet(f"{path}/stats")
+    cut = rows.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), tokens(F.col(text)).alias("_w"))
+    cut.agg(F.count("*").alias("n"), F.avg(F.size("_w")).alias("mean"), F.coalesce(F.sum(F.size(F.array_distinct("_w"))), F.lit(0)).alias("entries")).write.parquet(f"{path}/stats")
     stats = spark.read.parquet(f"{path}/stats").first()
-    each = cut.select("_key", "_length", F.explode("_p").alias("p")).select("p.term", F.col("_key").alias("key"), F.col("_length").alias("length"), "p.positions")
+    each = cut.select("_key", F.size("_w").alias("_length"), F.explode(placed(F.col("_w"))).alias("p")).select("p.term", F.col("_key").alias("key"), F.col("_length").alias("length"), "p.positions")
     scored = each.withColumn("impact", impact(F.size("positions"), F.col("length"), stats["mean"] or 1.0)).withColumn("_order", -F.col("impact"))
     order = ["term", "_order", "key"]
     dealt = scored.repartitionByRange(max(1, -(-stats["entries"] // (BLOCK * file_blocks))), *order).sortWithinPartitions(*order)
     kind = dict(scored.dtypes)["key"]
     made = dealt.select("term", *_TEXT).mapInArrow(_blocks, f"term string, lead boolean, n int, best double, texts array<struct<key:{kind},length:int,impact:double,positions:array<int>>>")
-    made.write.parquet(f"{path}/blocks")
-    release(cut)
+    with shuffles_freed(spark):
+        made.write.parquet(f"{path}/blocks")
     blocks = spark.read.parquet(f"{path}/blocks")
     terms = blocks.groupBy("term").agg(F.sum("n").alias("df"), F.max("best").alias("best"))
     terms.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
