@@ -1,8 +1,9 @@
 """A stored vector index: vectors in lists by their nearest centroid, with short codes, and an exact second look.
 
 Lists are folders, so a query reads those of its nearest centroids only. There it scores every vector by its code, a few
-small numbers that say which of 256 patterns each part of the vector is nearest to; only the best by code are compared exactly, by cosine in double
-precision. Centroids and patterns are fitted on a bounded sample; all vectors are indexed.
+small numbers that say which of 256 patterns each part of the vector is nearest to. A vector's code is stored with how far the vector lies from it, which bounds
+its cosine: the best by code are compared exactly, by cosine in double precision, and so is every other vector that the k-th of them doesn't rule out.
+Centroids and patterns are fitted on a bounded sample; all vectors are indexed.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ from cartolex.operators.search import cosine
 
 #: Vectors that centroids and patterns are fitted on, those of the smallest key hashes; patterns of a part; most lists.
 SAMPLE, PATTERNS, MOST_LISTS = 20_000, 256, 4096
-#: Share of the lists that a query looks into, and vectors compared exactly for each of the k wanted. Vectors without clusters need
+#: Share of the lists that a query looks into, and vectors compared first for each of the k wanted. Vectors without clusters need
 #: many lists (the README has recall by share); clustered ones far fewer.
 PROBED, AGAIN = 0.5, 40
+#: What rounding may add to a bound on a cosine.
+SLACK = 1e-9
 
 
 def usable(vector: Column) -> Column:
@@ -89,10 +92,11 @@ def write_index(rows: DataFrame, key: str, vector: str, path: str, lists: int |
             x = _rows(batch.column(1), dims)
             own = _near(x, centres)
             rest = x - centres[own]
-            made = [pa.array(_near(rest[:, a:b], p).astype(np.int16)) for a, b, p in zip(cuts, cuts[1:], patterns, strict=False)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made, pa.array(own.astype(np.int32))], ["key", "vector", *codes, "list"])
+            made = [_near(rest[:, a:b], p) for a, b, p in zip(cuts, cuts[1:], patterns, strict=False)]
+            off = np.sqrt(sum(((rest[:, a:b] - p[c]) ** 2).sum(1) for a, b, p, c in zip(cuts, cuts[1:], patterns, made, strict=False)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c.astype(np.int16)) for c in made), pa.array(off), pa.array(own.astype(np.int32))], ["key", "vector", *codes, "off", "list"])
 
-    schema = f"key {kind['key']}, vector {kind['vector']}, {', '.join(f'{c} smallint' for c in codes)}, list int"
+    schema = f"key {kind['key']}, vector {kind['vector']}, {', '.join(f'{c} smallint' for c in codes)}, off double, list int"
     made = found.mapInArrow(assign, schema).repartition("list", F.pmod(F.xxhash64("key"), F.lit(max(1, n // (lists * 200_000)))))  # a large list has several files
     made.sortWithinPartitions("list", "key").write.partitionBy("list").parquet(f"{path}/lists")
     model = json.dumps({"centres": centres.tolist(), "patterns": [p.tolist() for p in patterns], "cuts": cuts.tolist()})
@@ -102,7 +106,8 @@ def write_index(rows: DataFrame, key: str, vector: str, path: str, lists: int |
 def search(spark: SparkSession, path: str, key: str, query: Sequence[float], k: int = 5, probed: float = PROBED, again: int = AGAIN) -> DataFrame:
     """The ``k`` vectors nearest one query by cosine: (key, score), ties by key; scores are exact.
 
-    ``probed`` is the share of lists that are read (1: all), ``again`` how many vectors for each of the ``k`` are compared exactly after their codes. A
+    ``probed`` is the share of lists that are read: 1 gives the same rows as brute force, less may miss those in lists left unread. ``again`` vectors for each of the ``k`` are
+    compared first, those best by code; the k-th of their cosines rules out all vectors of which code and distance to it allow no more, and the rest are compared too. A
     query without a direction, or of another length, finds nothing; a vector without a key is not found.
     """
     model = json.loads(spark.read.parquet(f"{path}/model").first()["model"])
@@ -120,6 +125,9 @@ def search(spark: SparkSession, path: str, key: str, query: Sequence[float], k:
     about = by_list
     for i, t in enumerate(tables):
         about = about + F.element_at(F.lit(t), F.col(f"c{i}") + 1)
-    best = [r["key"] for r in mine.select("key", about.alias("about")).orderBy(F.desc("about"), "key").limit(k * again).collect()]  # k x again keys
-    exact = mine.where(F.col("key").isin(best)).select(F.col("key").alias(key), cosine(F.col("vector"), F.lit(given)).alias("score"))
-    return exact.orderBy(F.desc("score"), key).limit(k)
+    scored = mine.where("key is not null").select("key", "vector", "off", about.alias("about"))
+    best = [r["key"] for r in scored.select("key", "about").orderBy(F.desc("about"), "key").limit(k * again).collect()]  # k x again keys
+    exact = cosine(F.col("vector"), F.lit(given)).alias("score")
+    sure = mine.where(F.col("key").isin(best)).select(exact).orderBy(F.desc("score")).limit(k).collect()  # k rows
+    bound = sure[-1]["score"] - SLACK if len(sure) == k else -2.0
+    return scored.where(F.col("about") + F.col("off") >= bound).select(F.col("key").alias(key), exact).orderBy(F.desc("score"), key).limit(k)
