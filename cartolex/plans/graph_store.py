@@ -253,6 +253,7 @@ class _Merge:
         known = self._old("Document", self.touched, docs).select("documentId")
         again = stage(docs.join(known, "documentId", "left_semi"), "again")
         dirty, again = _buckets(again), again.select("documentId")
+        self.dirty, self.again = dirty, again
         for label in OWNED:
             new = self.new.nodes.get(label)
             if new is None:
@@ -287,8 +288,20 @@ class _Merge:
         for kind in kinds:
             self._place(f"edges/{kind}", schema, {int(b): f for (k, b), f in found.items() if k == kind}, rewritten[kind])
 
+    def _uncited(self) -> DataFrame | None:
+        """(referenceId, _bucket) of references that only replaced text cited; other documents' citations are read only if there may be one."""
+        if self.keep_stale or not self.dirty:
+            return None
+        table, own = "edges/REFERENCES_LAW", owner_of(F.lit("REFERENCES_LAW"), F.col("src"))
+        cited = lambda edges: edges.select(F.col("dst").alias("referenceId"))
+        was = cited(self.base.table(table, self.dirty).withColumn("documentId", own).join(self.again, "documentId", "left_semi")).distinct()
+        lost = stage(was.join(cited(self.new.edges.where("type = 'REFERENCES_LAW'")), "referenceId", "left_anti"), "lost")
+        if lost.isEmpty():
+            return None
+        return stage(lost.join(cited(self.made.table(table)), "referenceId", "left_anti").withColumn("_bucket", bucket_of(F.col("referenceId"), self.base.buckets)), "uncited")
+
     def shared(self) -> None:
-        """Topics and keywords stay as they were written first; a reference's last record wins."""
+        """Topics and keywords stay as they were written first; a reference's last record wins, and it goes when nothing cites it any more."""
         n = self.base.buckets
         for label in SHARED:
             if (new := self.new.nodes.get(label)) is None:
@@ -303,17 +316,21 @@ class _Merge:
             self._index(label, fresh)
         key = F.col("referenceId")
         new = self.new.nodes["LegalReference"].withColumn("_bucket", bucket_of(key, n))
-        touched = _buckets(new)
+        uncited = self._uncited()
+        emptied = set() if uncited is None else _buckets(uncited)
+        touched = _buckets(new) | emptied
         old = self._old("LegalReference", touched, new.drop("_bucket")).withColumn("_bucket", bucket_of(key, n))
         a, b = new.alias("a"), old.alias("b")
         same = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in new.columns])
         changed = stage(a.join(b, same, "left_anti"), "changed")
-        dirty = _buckets(changed.join(old.select("referenceId"), "referenceId", "left_semi"))
+        dirty = _buckets(changed.join(old.select("referenceId"), "referenceId", "left_semi")) | emptied
         rewritten = self._rewritten("LegalReference", _buckets(changed), dirty)
         kept = old.where(F.col("_bucket").isin(*rewritten)) if rewritten else old.limit(0)
+        if uncited is not None:
+            kept = kept.join(uncited.select("referenceId"), "referenceId", "left_anti")
         self._store("LegalReference", changed.unionByName(kept.join(changed.select("referenceId"), "referenceId", "left_anti"), allowMissingColumns=True), rewritten)
         self._index("LegalReference", changed)
-        self.linked = _buckets(changed)
+        self.linked = _buckets(changed) | emptied
         release(changed)
 
     def links(self) -> None:
@@ -344,8 +361,8 @@ class _Merge:
 def ingest(pages: DataFrame, target: str, keep_stale: bool = False, buckets: int | None = None, canonical: str = "reference", newest: bool = False, **models) -> DataFrame:
     """Build ``pages`` and merge them into the graph at ``target``, or make it; returns one row of counts, as of the version that was there first.
 
-    Of a document that comes again, all that was its goes with its old edges (those to topics only if topics are extracted now); ``keep_stale``
-    keeps what isn't written anew. With ``newest``, pages have a time ``modified``, and a document of which the graph holds this version
+    Of a document that comes again, all that was its goes with its old edges (those to topics only if topics are extracted now), and so do references that nothing
+    else cites; ``keep_stale`` keeps what isn't written anew. With ``newest``, pages have a time ``modified``, and a document of which the graph holds this version
     or a newer one is left out, so ingests may come late, again and in any order. References are linked over all documents. ``models`` go to
     :func:`cartolex.plans.knowledge_graph.build`, which runs once however often the merge has to be repeated. A new graph has
     ``buckets`` buckets, by default one for 500 documents within 16 to 4096, and the ``canonical`` mode of links; later ingests keep both.

@@ -65,6 +65,18 @@ def test_stale_rows_stay_if_asked_and_a_failed_ingest_changes_nothing(spark, tmp
     assert graph_store.versions(spark, target) == [1, 2, 3] and len(os.listdir(tmp_path / "g" / "data")) == 3
 
 
+def test_references_go_with_the_last_text_that_cites_them(spark, tmp_path):
+    target, law = str(tmp_path / "g"), "2. Altro\nVedi la legge n. {} del 27/12/2001 e ancora altro\n"
+    graph_store.ingest(pages(spark, [1], "uno", law.format(70) + law.format(71)).union(pages(spark, [2], "uno", law.format(71))), target, buckets=8)
+    graph_store.ingest(pages(spark, [1], "due"), target)
+    kept = lambda: {r.referenceId for r in graph_store.read(spark, target).nodes["LegalReference"].collect()}
+    assert {"EXT_LEG_70_2001", "EXT_LEG_71_2001"} & kept() == {"EXT_LEG_71_2001"}  # the second document still cites one
+    graph_store.ingest(pages(spark, [2], "due"), target, keep_stale=True)
+    assert "EXT_LEG_71_2001" in kept()
+    graph_store.ingest(pages(spark, [2], "tre"), target)
+    assert "EXT_LEG_71_2001" not in kept() and {"CIR_2_2024", "CIR_3_2024"} <= kept()
+
+
 def test_a_small_ingest_touches_few_files(spark, tmp_path, monkeypatch):
     target = str(tmp_path / "g")
     graph_store.ingest(pages(spark, range(300)), target, buckets=256)
