@@ -220,7 +220,7 @@ def file_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I-6, I-7, M-10: documents written as pages of text files, scanned and decoded again."""
     path = new_path(spark, "files")
     docs = table(spark, sf_dir, "documents").where("text <> '' and not contains(text, '\f')")
-    docs.select((F.col("doc_id") % 16).alias("shelf"), "text").repartition(4, "shelf").write.partitionBy("shelf").option("lineSep", "\f").text(path)
+    docs.select((F.col("doc_id") % 16).alias("shelf"), "text").write.partitionBy("shelf").option("maxRecordsPerFile", 1000).option("lineSep", "\f").text(path)  # more documents are more files, not larger ones
     found, _ = files.pages(files.scan(spark, path, "*.txt", recursive=True))
     return found.where("text <> ''").groupBy(F.md5(F.col("text").cast("binary")).alias("text_md5")).agg(F.count("*").alias("n"))
 

@@ -15,6 +15,9 @@ from cartolex.staging import stage
 _NAMES = ("filename", "file_size", "page_no", "text")
 _TYPES = (pa.string(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string())
 
+#: Characters of pages, and pages, that are handed on at a time.
+SLICE_CHARS, SLICE_PAGES = 1 << 20, 4096
+
 #: Takes a file's bytes and returns its pages' texts.
 Decoder = Callable[[bytes], list[str]]
 
@@ -40,16 +43,17 @@ def pages(files: DataFrame, decoder: Decoder = form_feed_decoder, modified: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                path, size, content = (batch.column(c)[i].as_py() for c in range(3))
+                path, size = (batch.column(c)[i].as_py() for c in range(2))
                 times = [batch.column(c).take(pa.array([i])) for c in range(3, batch.num_columns)]
-                name = path.rsplit("/", 1)[-1]
                 try:
-                    rows = [(path, name, size, k + 1, t, None) for k, t in enumerate(decoder(content))]
-                    rows = rows or [(path, name, size, None, None, "no pages")]
+                    texts = decoder(batch.column(2)[i].as_py())
+                    error = None if texts else "no pages"
                 except Exception as e:  # reported as a row
-                    rows = [(path, name, size, None, None, f"{type(e).__name__}: {e}")]
-                more = [t.take(pa.array([0] * len(rows))) for t in times]
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)), *more], ["path", *_NAMES, "error", *(["modified"] if more else [])])
+                    texts, error = [], f"{type(e).__name__}: {e}"
+                for first, some in _slices(texts):
+                    rows = [(path, path.rsplit("/", 1)[-1], size, k if texts else None, t, error) for k, t in enumerate(some, first + 1)]
+                    more = [t.take(pa.array([0] * len(rows))) for t in times]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)), *more], ["path", *_NAMES, "error", *(["modified"] if more else [])])
 
     time = [F.col("modificationTime").alias("modified")] if modified else []
     out = files.select("path", F.col("length").alias("file_size"), "content", *time).mapInArrow(run, f"path string, {PAGES}, error string{', modified timestamp' if modified else ''}")
@@ -57,6 +61,17 @@ def pages(files: DataFrame, decoder: Decoder = form_feed_decoder, modified: bool
     return made.where("error is null").drop("error"), made.where("error is not null").select("path", "filename", "error")
 
 
+def _slices(texts: list[str]) -> Iterator[tuple[int, list[str | None]]]:
+    """A file's pages in slices, each with its first page's place; one empty page for a file without any."""
+    first = chars = 0
+    for k, t in enumerate(texts):
+        if k > first and (chars + len(t or "") > SLICE_CHARS or k - first == SLICE_PAGES):
+            yield first, texts[first:k]
+            first, chars = k, 0
+        chars += len(t or "")
+    yield first, texts[first:] or [None]
+
+
 def pdf_decoder(content: bytes) -> list[str]:
     """A PDF's pages as texts, by ``pypdf`` or ``fitz``, whichever is installed on the executors; raises if neither is."""
     for name, read in (("fitz", _by_fitz), ("pypdf", _by_pypdf)):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartolex.config import EngineConfig
 from cartolex.operators import embed, graph, link, references, reports, search, topics, validate
-from cartolex.plans import graph_queries, knowledge_graph
+from cartolex.plans import graph_build, graph_queries, knowledge_graph
 from cartolex.sources import files, links
 from cartolex.streaming import ingest
 
@@ -257,3 +257,36 @@ def test_fetching_by_http(spark):
     assert bytes(got["/moved"].content) == b"%PDF" and got["/moved"].ok and got["/moved"].warning is None
     assert got["/page"].ok and got["/page"].warning == "content type is text/html"
     assert not got["/gone"].ok and "404" in got["/gone"].error and not got["/loop"].ok and "HTTPError" in got["/loop"].error
+
+
+def test_pages_of_a_file_are_handed_on_in_slices(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    want = [f"{i} " + "x" * (i % 7) for i in range(5000)]
+    (tmp_path / "in" / "a.txt").write_text("\f".join(want))
+    monkeypatch.setattr(files, "stage", lambda df, name: df)
+    pages, errors = files.pages(files.scan(spark, str(tmp_path / "in"), "*.txt"))
+    assert [(r.page_no, r.text) for r in pages.collect()] == [(i + 1, t) for i, t in enumerate(want)] and errors.count() == 0
+    slices = [(first, len(some)) for first, some in files._slices(["x" * 600_000] * 3 + ["y"] * 5000)]
+    assert slices == [(0, 1), (1, 1), (2, 4096), (4098, 905)] and list(files._slices([])) == [(0, [None])]
+
+
+def test_more_documents_are_more_files_not_larger_ones(spark, tmp_path, monkeypatch):
+    spark.range(2500).selectExpr("id * 16 AS doc_id", "concat('text ', id) AS text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    scanned, scan = [], files.scan
+    monkeypatch.setattr(files, "scan", lambda *a, **k: (x := scan(*a, **k), scanned.append(x))[0])
+    assert graph_build.file_pages(spark, str(tmp_path)).count() == 2500
+    assert scanned[0].count() == 3  # all of one shelf: 1000 documents a file
+
+
+def test_structure_reads_pages_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(f"f{i}.pdf", 10, n, t) for i in range(6) for n, t in ((1, f"Circolare n. {i}, 1 marzo 2024\nOGGETTO: x\n\n"), (2, "INDICE\nPREMESSA ..... 3\n"), (3, "PREMESSA\nun testo\n"))]
+    pages = spark.createDataFrame(rows, "filename string, file_size long, page_no int, text string")
+    made = knowledge_graph.structure(pages.mapInArrow(counted, pages.schema))
+    assert made["TableOfContents"].count() == 6 and made["Section"].count() == 6 and seen.value == 18
