@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 
 def strip(c: Column) -> Column:
-    """Without leading and trailing Unicode white space."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without leading and trailing Unicode white space; a text that has none at its ends isn't searched."""
+    ends = F.concat(F.substring(c, 1, 1), F.substring(c, -1, 1))
+    return F.when(ends.rlike(r"(?U)\s"), F.regexp_replace(c, r"(?U)^\s+|\s+$", "")).otherwise(c)
 
 
 def collapse(c: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartolex.functions.text import collapse, strip
+from cartolex.operators import toc
 
 #: Document types by content pattern, in this order (fixed values).
 CONTENT_PATTERNS = {"Circolare": r"Circolare.*?n[.\s]*(\d+)[/\s]*([A-Z])?.*?(\d{4})", "Risoluzione": r"Risoluzione.*?n[.\s]*(\d+).*?(\d{4})", "Risposta": r"Risposta.*?n[.\s]*(\d+).*?(\d{4})"}
@@ -43,7 +44,7 @@ def subject(content: Column) -> Column:
 
 def title(content: Column, filename: Column) -> Column:
     """The first of the first lines that is long enough and not all digits, else the file name."""
-    lines = F.transform(F.slice(F.split(content, "\n", -1), 1, TITLE_LINES), strip)
+    lines = F.transform(F.slice(F.split(content, "\n", TITLE_LINES + 1), 1, TITLE_LINES), strip)
     good = F.filter(lines, lambda s: (F.length(s) > TITLE_LEAST) & ~s.rlike(r"(?U)^\d+$"))
     return F.coalesce(F.substring(collapse(F.get(good, F.lit(0))), 1, TITLE_CHARS), filename)
 
@@ -56,9 +57,11 @@ def document_id(kind_name: Column, number: Column, year: Column) -> Column:
     return F.concat_ws("_", code, F.regexp_replace(number, r"(?U)[^\w]", "_"), year.cast("string"))
 
 
-def documents(pages: DataFrame, as_of_year: int = 0) -> DataFrame:
+def documents(pages: DataFrame, as_of_year: int = 0, toc_of: str | None = None) -> DataFrame:
     """Document records of page records (filename, file_size, page_no, text, and path if names repeat): one for each file.
 
+    With ``toc_of``, documents of that type and two pages or more have their table of contents as a struct ``toc``, made while their pages are in one row.
+
     Pages with a time ``modified`` make one record for each version of a file; its metadata then name time (microseconds since 1970) and path.
     """
     year = F.lit(as_of_year) if as_of_year else F.year(F.current_date())
@@ -68,10 +71,11 @@ def documents(pages: DataFrame, as_of_year: int = 0) -> DataFrame:
         F.min("filename").alias("filename"),
         F.first("file_size").alias("file_size"),
         F.count("*").cast("int").alias("pageCount"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_no", "text"))), lambda p: p["text"]), "").alias("fullText"),
-    )
+        F.sort_array(F.collect_list(F.struct("page_no", "text"))).alias("_pages"),
+    ).withColumn("fullText", F.array_join(F.transform("_pages", lambda p: p["text"]), ""))
     more = [F.lit("modified"), F.unix_micros(F.col("modified").cast("timestamp")).cast("string"), F.lit("path"), F.col("path")] if versions else []
     known = whole.withColumn("k", kind(F.col("filename"), F.col("fullText"), year))
+    own = [F.when((F.col("k.type") == toc_of) & (F.col("pageCount") >= 2), toc.of_pages(F.col("_pages"), F.col("pageCount"))).alias("toc")] if toc_of else []
     return known.select(
         document_id(F.col("k.type"), F.col("k.number"), F.col("k.year")).alias("documentId"),
         "k.type",
@@ -87,4 +91,5 @@ def documents(pages: DataFrame, as_of_year: int = 0) -> DataFrame:
         *versions,
         F.create_map(F.lit("filename"), "filename", F.lit("file_size"), F.col("file_size").cast("string"), *more).alias("metadata"),
         F.lit(None).cast("array<float>").alias("fullTextEmbedding"),
+        *own,
     )

@@ -120,12 +120,14 @@ def hierarchy(found: Column) -> Column:
 def sections(documents: DataFrame, tocs: DataFrame | None = None, profile: HeaderProfile = ITALIAN, lines_per_page: int = 50) -> DataFrame:
     """Section records of document records (documentId, fullText), with order and parents.
 
-    ``tocs`` takes out the sections of tables of contents; ids keep the numbers from before. ``nextSectionId``
+    ``tocs``, or columns ``startPage`` and ``endPage`` of the documents, take out the sections of tables of contents; ids keep the numbers from before. ``nextSectionId``
     is the document's following section, null for its last, so that no later step has to order sections again.
     """
-    rows = documents.select("documentId", section_array(F.col("fullText"), profile, lines_per_page).alias("found"))
     if tocs is not None:
-        rows = rows.join(tocs.select("documentId", "startPage", "endPage"), "documentId", "left")
+        documents = documents.join(tocs.select("documentId", "startPage", "endPage"), "documentId", "left")
+    bounds = [c for c in ("startPage", "endPage") if c in documents.columns]
+    rows = documents.select("documentId", section_array(F.col("fullText"), profile, lines_per_page).alias("found"), *bounds)
+    if bounds:
         rows = rows.select("documentId", without_toc(F.col("found"), F.col("startPage"), F.col("endPage")).alias("found"))
 
     key = lambda at: F.concat(F.col("documentId"), F.lit("_SEC_"), at.cast("string"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartolex.functions.text import strip
+from cartolex.functions.text import let, strip
 
 #: Patterns of the second page, of entries, and lengths that are looked at (fixed values).
 HEADER = r"(?imU)^\s*(INDICE|SOMMARIO)\s*$"
@@ -23,37 +23,56 @@ def entry_count(raw: Column) -> Column:
     return F.coalesce(F.regexp_count(raw, F.lit(ENTRY_LINE)), F.lit(0)).cast("int")
 
 
-def tocs(documents: DataFrame, pages: DataFrame, kind: str = "Circolare") -> DataFrame:
-    """Table-of-contents records of documents of one type with two pages or more.
+def of_pages(pages: Column, page_count: Column) -> Column:
+    """The table of contents of a document's pages (an array of (page_no, text), in order), as a struct; null without one.
 
-    The second page names the page where the text begins; that page must bear it out. ``pages`` has
-    (documentId, page_no, text). A page number of 0 counts as the last page, one beyond 32 bits as none.
+    The second page names the page where the text begins; that page must bear it out. A page number of 0 counts as the last page, one
+    beyond 32 bits as none. All of it happens inside the document's row.
     """
+    at = lambda n: F.get(F.filter(pages, lambda p: p["page_no"] == n), F.lit(0))["text"]
+
+    def begins(second: Column) -> Column:
+        number = lambda pattern: F.when(second.rlike(pattern), F.regexp_extract(second, pattern, 1).try_cast("int"))
+        return F.struct(second.alias("second"), number(FOREWORD).alias("p1"), number(FIRST_SECTION).alias("p2"))
+
+    def bounded(x: Column) -> Column:
+        there = lambda p, n: F.substring(at(F.when(p == 0, page_count).otherwise(p)), 1, n)
+        end = lambda p, name: F.struct((p - 1).alias("page"), F.lit(name).alias("method"))
+        foreword = F.substring(F.upper(there(x["p1"], FOREWORD_HEAD)), 1, FOREWORD_HEAD).contains("PREMESSA")
+        e = F.when(foreword, end(x["p1"], "PREMESSA")).when(there(x["p2"], FIRST_SECTION_HEAD).contains("1.1"), end(x["p2"], "FIRST_SECTION"))
+        return let(e, lambda e: F.when(e.isNotNull(), F.struct(x["second"].alias("second"), e.alias("e"), raw(e["page"]).alias("raw"))))
+
+    def raw(end: Column) -> Column:
+        inside = F.filter(pages, lambda p: p["page_no"].between(2, end))
+        return F.array_join(F.transform(inside, lambda p: F.concat(p["text"], F.lit("\n"))), "")
+
+    def record(x: Column) -> Column:
+        has = x["second"].rlike(HEADER)
+        made = F.struct(
+            strip(x["raw"]).alias("rawText"),
+            F.lit(2).alias("startPage"),
+            x["e"]["page"].alias("endPage"),
+            has.alias("hasHeader"),
+            F.when(has, F.upper(F.regexp_extract(x["second"], HEADER, 1))).alias("headerText"),
+            entry_count(x["raw"]).alias("entryCount"),
+            x["e"]["method"].alias("detectionMethod"),
+        )
+        return F.when(x.isNotNull(), made)
+
+    return let(let(let(at(F.lit(2)), begins), bounded), record)
+
+
+def records(documents: DataFrame) -> DataFrame:
+    """Table-of-contents records of documents with a column ``toc``, of :func:`of_pages`."""
+    names = ("rawText", "startPage", "endPage", "hasHeader", "headerText", "entryCount", "detectionMethod")
+    return documents.where("toc is not null").select(F.concat("documentId", F.lit("_TOC")).alias("tocId"), "documentId", *[F.col(f"toc.{c}").alias(c) for c in names])
+
+
+def tocs(documents: DataFrame, pages: DataFrame, kind: str = "Circolare") -> DataFrame:
+    """Table-of-contents records of documents of one type with two pages or more; ``pages`` has (documentId, page_no, text)."""
     few = documents.where((F.col("type") == kind) & (F.col("pageCount") >= 2)).select("documentId", "pageCount")
-    second = pages.where("page_no = 2").join(few, "documentId").select("documentId", "pageCount", F.col("text").alias("second"))
-    page_of = lambda pattern: F.when(F.col("second").rlike(pattern), F.regexp_extract("second", pattern, 1).try_cast("int"))
-    named = second.withColumn("p1", page_of(FOREWORD)).withColumn("p2", page_of(FIRST_SECTION))
-    wanted = named.select("documentId", F.explode(F.array(*[F.struct(F.lit(k).alias("method"), F.col(p).alias("p"), F.when(F.col(p) == 0, F.col("pageCount")).otherwise(F.col(p)).alias("page_no")) for k, p in ((1, "p1"), (2, "p2"))])).alias("w")).select("documentId", "w.*").where("p is not null")
-    seen = wanted.join(pages.select("documentId", "page_no", F.col("text").alias("there")), ["documentId", "page_no"])
-    first = F.substring(F.upper("there"), 1, FOREWORD_HEAD).contains("PREMESSA") & (F.col("method") == 1)
-    other = F.substring("there", 1, FIRST_SECTION_HEAD).contains("1.1") & (F.col("method") == 2)
-    ends = seen.where(first | other).groupBy("documentId").agg(F.min_by(F.struct("method", "p"), "method").alias("e"))
-    bounded = named.join(ends, "documentId").select("documentId", "second", (F.col("e.p") - 1).alias("endPage"), F.when(F.col("e.method") == 1, "PREMESSA").otherwise("FIRST_SECTION").alias("detectionMethod"))
-    inside = pages.join(bounded.select("documentId", "endPage"), "documentId").where("page_no between 2 and endPage")
-    raw = inside.groupBy("documentId").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_no", "text"))), lambda p: F.concat(p["text"], F.lit("\n"))), "").alias("raw"))
-    full = bounded.join(raw, "documentId", "left").withColumn("raw", F.coalesce("raw", F.lit("")))
-    has = F.col("second").rlike(HEADER)
-    return full.select(
-        F.concat("documentId", F.lit("_TOC")).alias("tocId"),
-        "documentId",
-        strip(F.col("raw")).alias("rawText"),
-        F.lit(2).alias("startPage"),
-        "endPage",
-        has.alias("hasHeader"),
-        F.when(has, F.upper(F.regexp_extract("second", HEADER, 1))).alias("headerText"),
-        entry_count(F.col("raw")).alias("entryCount"),
-        "detectionMethod",
-    )
+    held = pages.join(few, "documentId").groupBy("documentId", "pageCount").agg(F.sort_array(F.collect_list(F.struct("page_no", "text"))).alias("pages"))
+    return records(held.select("documentId", of_pages(F.col("pages"), F.col("pageCount")).alias("toc")))
 
 
 def on_toc_page(page: Column, start: Column, end: Column) -> Column:

@@ -40,21 +40,21 @@ def structure(pages: DataFrame, config: EngineConfig | None = None, profile: sec
     """Document, TableOfContents, Section and Chunk records of page records, each staged before the next reads it.
 
     Files that map to one document key are merged: the last file by name (then path) wins, as a whole; if pages have a time
-    ``modified``, the newest version does, and names decide between equal times. ``pages`` is read twice, so it should be a table; :func:`cartolex.sources.files.pages` stages what it decodes.
+    ``modified``, the newest version does, and names decide between equal times. ``pages`` is read and grouped once: tables of contents are found while a file's pages
+    are in one row, so whole texts are shuffled once.
     """
     config = config or EngineConfig()
     pages = pages if "path" in pages.columns else pages.withColumn("path", F.col("filename"))
-    found = stage(metadata.documents(pages, config.as_of_year), "files")
+    found = stage(metadata.documents(pages, config.as_of_year, toc_of="Circolare"), "files")
     one = ["path", "modified"] if "modified" in pages.columns else ["path"]
     file = F.struct(*one[1:], F.col("metadata")["filename"].alias("filename"), "path")
     last = found.groupBy("documentId").agg(F.max(file).alias("_last"), F.count("*").alias("_n")).where("_n > 1")
     outdone = stage(found.select("documentId", *one, file.alias("_file")).join(last, "documentId").where("_file <> _last").select(*one), "outdone")
     docs = _same_file(found, outdone, one, "left_anti").select(found.columns)  # files that lose their document are few, so whole texts stay where they are
-    keyed = _same_file(pages, docs.select("documentId", *one), one, "inner").select("documentId", "page_no", "text")
-    tocs = stage(toc.tocs(docs, keyed), "tocs")
-    sections = stage(sectioning.sections(docs, tocs, profile, config.lines_per_page), "sections")
+    bounded = docs.select("documentId", "fullText", "toc.startPage", "toc.endPage")
+    sections = stage(sectioning.sections(bounded, None, profile, config.lines_per_page), "sections")
     chunks = stage(chunking.chunk_sections(sections, config.chunk_size, config.chunk_overlap), "chunks")
-    return {"Document": docs, "TableOfContents": tocs, "Section": sections, "Chunk": chunks}
+    return {"Document": docs.drop("toc"), "TableOfContents": toc.records(docs), "Section": sections, "Chunk": chunks}
 
 
 def structural_edges(nodes: dict[str, DataFrame]) -> DataFrame:
