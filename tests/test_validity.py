@@ -36,3 +36,19 @@ def test_validity_of_chains(spark):
     assert out == {"a": (1, 5), "b": (None, 5), "c": (5, 9), "d": (9, None), "x": (3, 4), "y": (4, 3), "late": (8, 2), "new": (2, None), "z": (None, None)}
     on = lambda day: sorted(r.documentId for r in validity.valid_on(validity.validity(docs, edges), day).collect())
     assert on(1) == ["a"] and on(5) == ["c", "new"] and on(9) == ["d", "new"] and on(0) == []
+
+
+def test_validity_keeps_no_pair_of_every_chain(spark, monkeypatch):
+    rng = random.Random(3)
+    up = {(i + 1, i) for i in range(63)} | {(rng.randrange(64), rng.randrange(64, 90)) for _ in range(20)} | {(i + 1, i) for i in range(64, 90)} | {(64, 90), (70, 5)}
+    issued = {i: rng.choice([None, rng.randrange(50)]) for i in range(91)}
+    ahead = {i: {s for s, d in up if d == i} for i in issued}
+    while any(ahead[i] != (more := ahead[i].union(*[ahead[j] for j in ahead[i]])) and (ahead.__setitem__(i, more) or True) for i in ahead):
+        pass
+    want = {i: min((issued[j] for j in ahead[i] - {i} if issued[j] is not None), default=None) for i in issued}
+    docs, edges = spark.createDataFrame(sorted(issued.items()), "k int, issued int"), spark.createDataFrame(sorted(up), "src int, dst int")
+    sizes, stage = [], validity.stage
+    monkeypatch.setattr(validity, "stage", lambda df, name: (x := stage(df, name), sizes.append((name, x.count())))[0])
+    assert {r.k: r.validUntil for r in validity.validity(docs, edges, "k").collect()} == want
+    ends = [size for name, size in sizes if name == "ends"]
+    assert ends and max(ends) <= 2 * len(issued)  # not a row for every pair of a chain
