@@ -57,7 +57,7 @@ def lexicon_extractor(lexicon: dict[str, tuple[str, str]], keywords: int = 5) ->
     def extract(sections: DataFrame) -> DataFrame:
         counted = stage(sections.select("sectionId", topics_of(F.lower("content")).alias("topics"), word_counts(F.col("content")).alias("words")), "section_words")
         tf = counted.select("sectionId", F.explode("words").alias("w")).select("sectionId", "w.word", "w.n")
-        df = tf.groupBy("word").agg(F.count("*").alias("df"))
+        df = stage(tf.groupBy("word").agg(F.count("*").alias("df")), "document_frequencies")  # a table of known size: a small one is broadcast, and (section, word) rows stay where they are
         size = counted.agg(F.count("*").alias("sections"))
         weighed = tf.join(df, "word").join(F.broadcast(size)).select("sectionId", "word", (F.col("n") * (F.log((1 + F.col("sections")) / (1 + F.col("df"))) + 1)).alias("weight"))  # size: one row
         place = F.row_number().over(Window.partitionBy("sectionId").orderBy(F.desc("weight"), "word"))

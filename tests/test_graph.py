@@ -290,3 +290,10 @@ def test_structure_reads_pages_once(spark):
     pages = spark.createDataFrame(rows, "filename string, file_size long, page_no int, text string")
     made = knowledge_graph.structure(pages.mapInArrow(counted, pages.schema))
     assert made["TableOfContents"].count() == 6 and made["Section"].count() == 6 and seen.value == 18
+
+
+def test_words_meet_a_small_vocabulary_where_they_are(spark):
+    sections = spark.createDataFrame([(f"s{i}", "parole comuni a tutte " + f"rara{i} " * 3) for i in range(20)], "sectionId string, content string")
+    found = topics.lexicon_extractor({})(sections)
+    assert "hashpartitioning(word" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.sectionId: r.keywords[0]["keyword"] for r in found.collect()} == {f"s{i}": f"rara{i}" for i in range(20)}
