@@ -42,12 +42,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back from there."""
+def stage(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back from there; by default compressed as the session says."""
     path = new_path(df.sparkSession, name)
     if (own := _own.get()) is not None:
         own.add(path.rsplit("/", 1)[0])
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

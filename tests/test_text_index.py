@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import random
+from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +82,51 @@ def test_no_texts(spark, tmp_path):
     out = text_index.search(spark, str(tmp_path / "x"), "i", "a")
     assert out.columns == ["i", "score"] and out.collect() == []
     assert search.bm25(df, "i", "t", "a").collect() == []
+
+
+def test_rows_shuffled_follow_words_of_slices_not_of_texts(spark, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices([f"w{j}" for j in range(50)], k=40))) for i in range(2000)]
+    df = spark.createDataFrame(rows, "i int, t string").coalesce(2)
+    entries = sum(len(set(t.split())) for _, t in rows)
+    dealt, deal = [], type(df).repartitionByRange
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda self, *a: dealt.append(self.count()) or deal(self, *a))
+    text_index.write_index(df, "i", "t", str(tmp_path / "x"))
+    assert dealt[0] < entries / 8
+    assert found(text_index.search(spark, str(tmp_path / "x"), "i", '"w1 w2" w3')) == found(search.bm25(df, "i", "t", '"w1 w2" w3'))
+
+
+def test_keys_and_letters_of_any_kind(spark, tmp_path):
+    df = spark.createDataFrame([("b", "Perché ΣΑΣ 𝔘x، ١٢ straße İI"), ("a", "perché, perché!  _x_ ß"), ("c", "؟ … \n\t"), (None, "straße"), ("d", "x" * 70_000 + " perché")], "k string, t string")
+    text_index.write_index(df, "k", "t", str(tmp_path / "x"))
+    for q in ("perché", "ΣΑΣ", "𝔘x", "١٢", "straße", "İI", "_x_", "ß", '"perché perché"', "x" * 70_000):
+        assert found(text_index.search(spark, str(tmp_path / "x"), "k", q)) == found(search.bm25(df, "k", "t", q)) != [], q[:9]
+
+
+def test_slices_runs_and_goes_of_any_size_give_all_places(monkeypatch):
+    rng, mean = random.Random(6), 30.0
+    texts = {i: " ".join(rng.choices("abcdef", [1, 3, 9, 20, 1, 0.02], k=rng.choice([0, 1, 7, 90]))) for i in range(700)}
+    want = {(w, i): [p for p, v in enumerate(t.split()) if v == w] for i, t in texts.items() for w in set(t.split())}
+    for name, value in {"SLICE": 900, "RUN": 3, "HELD": 400}.items():
+        monkeypatch.setattr(text_index, name, value)
+    batches = [pa.RecordBatch.from_arrays([pa.array(list(texts)[a : a + 300], pa.int64()), pa.array(list(texts.values())[a : a + 300], pa.string())], ["k", "w"]) for a in (0, 300, 600, 900)]
+    rows = pa.Table.from_batches(text_index._cut(iter(batches))).to_pylist()
+    assert sum(r["n"] for r in rows if r["term"] is None) == 700 and sum(r["words"] for r in rows) == sum(len(t.split()) for t in texts.values())
+    rows = sorted((r for r in rows if r["term"]), key=lambda r: (r["term"], r["texts"][0]))
+    table = pa.Table.from_pylist([{c: r[c] for c in ("term", "texts", "counts", "steps")} for r in rows], pa.schema([("term", pa.string()), ("texts", pa.list_(pa.int64())), ("counts", pa.binary()), ("steps", pa.binary())]))
+    got, blocks = {}, pa.Table.from_batches(text_index._blocks(iter(table.to_batches(max_chunksize=37)), mean)).to_pylist()
+    led = defaultdict(int)
+    for b in blocks:
+        adds = [tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / mean)) for n, tf in zip(b["lengths"], np.diff([0, *b["ends"]]), strict=True)]
+        assert len(adds) == b["n"] <= text_index.BLOCK and adds == sorted(adds, reverse=True) and adds[0] == pytest.approx(b["best"])
+        led[b["term"]] += b["lead"]
+        for key, n, start, end in zip(b["texts"], b["lengths"], [0, *b["ends"]], b["ends"], strict=False):
+            assert (b["term"], key) not in got and n == len(texts[key].split())
+            got[b["term"], key] = b["positions"][start:end]
+    assert got == want and min(led.values()) == 1 < led["d"]
+
+
+def test_packed_numbers():
+    values = np.array([0, 1, 127, 128, 16383, 16384, 2**21 - 1, 2**21, 2**28 - 1, 2**28, 2**31 - 1, 5])
+    rows = text_index._packed(np.array([0, 3, 4]), values)
+    assert text_index._unpacked(rows).tolist() == values.tolist() and text_index._unpacked(rows.slice(1, 1)).tolist() == [128]
