@@ -1,7 +1,7 @@
 """A stored text index with positions: words, phrases, and a top-k that leaves most of a frequent word's texts unread.
 
-A word's texts lie in blocks of 128, those to which it contributes most first; a block's row also has the best contribution in
-it. Files hold ranges of (word, block), as many as the data fill, and a small table knows each file's first and last word. A query opens
+A file's texts of a word lie in blocks of 128, those to which it contributes most first; a block's row also has the best contribution in
+it. Files hold ranges of (word, text), as many as the data fill, and a small table knows each file's first and last word. A query opens
 only the files of its words, and there only blocks that may still hold one of the ``k`` best texts.
 """
 
