@@ -270,6 +270,22 @@ def test_url_sql_on_a_table_with_links(spark, tmp_path):
     assert {k for k, v in verdicts.items() if v == "block"} == {1, 2, 3, 4, 8, 15, 16, 18, 19}  # 15 follows its address with a slash; 18 is another entrance to 19's site; 7 and 8 are different sites with one text
 
 
+def test_copies_on_other_hosts_are_aliases(spark, tmp_path):
+    article = "<article><p>{}</p></article>"
+    rows = [
+        (1, "http://shop.net/de/7?page=2#x", article.format("one")), (2, "https://www.other.example.com/de/7.html?utm_source=x&page=2", article.format("one")), (3, "https://third.net/de/7/?page=2", article.format("one")),
+        (4, "http://shop.net/de/7?page=3", article.format("one")), (5, "http://shop.net/de/9?page=2", article.format("one")), (6, "http://fourth.net/de/7?page=2", article.format("two")), (7, "http://fifth.net/de/7?page=2", "one"),
+        (8, "http://k.net", article.format("root")), (9, "http://example.org/en/1", article.format("root")), (10, "http://l.net/en/1", article.format("root")), (11, "http://l.net/en/1#y", None),
+        (12, "http://p.net/de/8", article.format("three")), (13, "http://q.com/de/8", article.format("three")), (14, "http://r.org/de/8", article.format("three")), (None, "http://s.net/de/7?page=2", article.format("one")),
+    ]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.op10_url_rules(spark, str(tmp_path))
+    found = sorted([tuple(r) for r in got.collect()], key=str)
+    assert found == sql_rows(tmp_path, ["pages"], queries.ORACLES["op10_url_rules"], got.columns)
+    # 1 and 3 follow 2, 10 and 11 follow 9; 12 has an alias that is allowed
+    assert {r[0] for r in found if r[4] == "block"} == {None, 1, 2, 3, 9, 10, 11, 13}
+
+
 def test_many_rules_fit_as_plain_ones_do(spark):
     rng = random.Random(4)
     part = lambda: rng.choice(["a", "b", "cc", ""])
